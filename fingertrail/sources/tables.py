@@ -44,19 +44,22 @@ def csv_header(spark: SparkSession, path: str, comment: str | None = None) -> li
 
 
 def read_event_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
-                   comment: str | None = None) -> DataFrame:
-    """Event rows of all ``*.csv`` files of a folder, one session per file.
+                   comment: str | None = None, header: bool = True, file_glob: str = "*.csv",
+                   session_column: str | None = None) -> DataFrame:
+    """Event rows of all matching files of a folder; each file is a session, or a column names it.
 
     Files of one call share a column list: ``columns``, or the header of the first file. Rows are not
     sorted here; every ordered operation states its own order.
     """
     names = columns or csv_header(spark, path, comment)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    reader = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-              .option("pathGlobFilter", "*.csv").option("mode", "PERMISSIVE"))
+    reader = (spark.read.schema(schema).option("header", header).option("enforceSchema", True)
+              .option("pathGlobFilter", file_glob).option("mode", "PERMISSIVE"))
     if comment:
         reader = reader.option("comment", comment)
-    return _typed(reader.csv(path).withColumn("session_id", _file_name()))
+    rows = reader.csv(path)
+    session = _file_name() if session_column is None else F.col(session_column)
+    return _typed(rows.withColumn("session_id", session))
 
 
 def read_commented_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -83,7 +86,8 @@ def split_two_tables(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     if not blank:
         return listed(_typed(df)), None
     at = blank[0]
-    left, right = df.columns[:at], [c for c in df.columns[at + 1:] if c != "session_id"]
+    left = [c for c in df.columns[:at] if c != "session_id"]
+    right = [c for c in df.columns[at + 1:] if c != "session_id"]
     tail = ["session_id"] if "session_id" in df.columns else []
     events = df.select(*[F.col(f"`{c}`") for c in [*left, *tail]])
     metrics = df.select(*[F.col(f"`{c}`").alias(c.strip()) for c in right], *tail)
