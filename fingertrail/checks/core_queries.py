@@ -466,8 +466,8 @@ def parsed_row_flags(spark, sf_dir):
 
 
 @query("sequence_flag_sets", sql(FLAGS, """
-SELECT session_id, Touchdata_id, array_to_string(list_sort(list_distinct(flatten(list(string_split(flags, ','))
-         FILTER (flags <> '')))), '|') AS flag_set, bool_or(flags <> '') AS has_flags
+SELECT session_id, Touchdata_id, coalesce(array_to_string(list_sort(list_distinct(flatten(list(string_split(flags, ','))
+         FILTER (flags <> '')))), '|'), '') AS flag_set, bool_or(flags <> '') AS has_flags
 FROM flagged GROUP BY session_id, Touchdata_id"""))
 def sequence_flag_sets(spark, sf_dir):
     sets = flags.sequence_flag_sets(flagged(spark, sf_dir))

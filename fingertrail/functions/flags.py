@@ -52,7 +52,7 @@ def join_flags(flags: Column) -> Column:
 
 def parse_flags(text: Column) -> Column:
     """Flag names of a joined text; null, empty and 'nan' hold none."""
-    names = F.transform(F.split(text, ","), F.trim)
+    names = F.transform(F.split(text, ","), lambda name: F.trim(name))
     found = F.filter(names, lambda n: n != "")
     return F.when(text.isNull() | text.isin("", "nan"), F.array().cast("array<string>")).otherwise(found)
 

@@ -87,6 +87,24 @@ class LastBefore:
         return F.coalesce(local, carry)
 
 
+@dataclass(frozen=True)
+class RunningMaxBefore:
+    """Largest value on the rows before this one."""
+    value: Column
+
+    def local(self, window):
+        return F.max(self.value).over(window.rowsBetween(Window.unboundedPreceding, -1))
+
+    def summary(self, order):
+        return F.max(self.value)
+
+    def carry(self, column, window):
+        return F.max(column).over(window.rowsBetween(Window.unboundedPreceding, -1))
+
+    def join(self, local, carry, first):
+        return F.greatest(local, carry)
+
+
 @dataclass(frozen=True)
 class Previous:
     """Value on the row before this one."""
@@ -193,6 +211,7 @@ class Touches:
     keys: tuple[str, ...] = ()
     order: tuple[str, ...] = ()
     hot_rows: int = HOT_ROWS_DEFAULT
+    at_most: int | None = None  # no session of this table or of one derived from it has more rows
 
     @property
     def columns(self) -> list[str]:
@@ -296,26 +315,28 @@ class Touches:
             *hot.columns, *[c for c in table.columns if c not in keys])
 
 
-def split_sessions(df: DataFrame, hot_rows: int | None = None) -> Touches:
+def split_sessions(df: DataFrame, hot_rows: int | None = None, at_most: int | None = None) -> Touches:
     """Separate the sessions too large for one task.
 
     A table of at most ``hot_rows`` rows cannot hold such a session, so it needs no second look.
+    ``at_most`` is a known bound of the row count, which saves counting a derived table.
     """
     spark = df.sparkSession
     limit = hot_rows or int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
-    if df.count() <= limit:
-        return Touches(df, hot_rows=limit)
-    sizes = (df.groupBy(SESSION).agg(F.count(F.lit(1)).alias("_n"))
-             .filter(F.col("_n") > limit).agg(F.count(F.lit(1)), F.sum("_n")).first())
-    if not sizes[0]:
-        return Touches(df, hot_rows=limit)
-    shared_dir(spark)
+    bound = df.count() if at_most is None else at_most
+    if bound <= limit:
+        return Touches(df, hot_rows=limit, at_most=bound)
     large = (df.groupBy(SESSION).agg(F.count(F.lit(1)).alias("_n"))
-             .filter(F.col("_n") > limit).select(F.col(SESSION).alias("_hot")).checkpoint())
-    keys = F.broadcast(large)  # at most rows / limit keys
+             .filter(F.col("_n") > limit).select(F.col(SESSION).alias("_hot"), "_n"))
+    shared_dir(spark)
+    large = large.checkpoint()
+    found, rows = large.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    if not found:
+        return Touches(df, hot_rows=limit, at_most=bound)
+    keys = F.broadcast(large.select("_hot"))  # at most rows / limit keys
     match = F.col(SESSION).eqNullSafe(F.col("_hot"))
     # until an order is declared, a hash of the row spreads each large session
-    pieces = max(2, -(-int(sizes[1]) // limit))
+    pieces = max(2, -(-int(rows) // limit))
     hot = (df.join(keys, match, "left_semi")
            .withColumn(CHUNK, F.pmod(F.xxhash64(*df.columns), F.lit(pieces)).cast("int")))
-    return Touches(df.join(keys, match, "left_anti"), hot, hot_rows=limit)
+    return Touches(df.join(keys, match, "left_anti"), hot, hot_rows=limit, at_most=bound)

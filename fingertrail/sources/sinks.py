@@ -48,7 +48,7 @@ def paste_side_by_side(events: Touches, metrics: DataFrame, order: Sequence[str]
     as the pasted file has as many rows as the session has events."""
     left = events.arrange(["session_id"], list(order)).running(_pos=Position()).rows()
     kept = [c for c in coloring_output(left).columns if c != "session_id"]
-    right = (split_sessions(metrics.drop("hasCanceled"), events.hot_rows)
+    right = (split_sessions(metrics.drop("hasCanceled"), events.hot_rows, events.at_most)
              .arrange(["session_id"], ["fingerId", "seqId"]).running(_pos=Position()).rows())
     names = [c for c in right.columns if c not in ("session_id", "_pos")]
     right = right.select(F.col("session_id"), F.col("_pos"), *[F.col(c).alias(pad + c) for c in names])
@@ -81,14 +81,15 @@ def touch_documents(df: DataFrame, columns: Sequence[str], part_events: int = PA
 
 
 def session_documents(df: DataFrame, columns: Sequence[str], document_events: int = DOCUMENT_EVENTS,
-                      part_events: int = PART_EVENTS, hot_rows: int | None = None) -> DataFrame:
+                      part_events: int = PART_EVENTS, hot_rows: int | None = None,
+                      at_most: int | None = None) -> DataFrame:
     """Session documents with all touches of the session.
 
     A session above ``document_events`` events continues in further documents (``document_no``), so a
     document stays bounded and nothing is cut.
     """
     parts = touch_parts(df, columns, part_events)
-    placed = (split_sessions(parts, hot_rows).arrange(["session_id"], ["Touchdata_id", "part"])
+    placed = (split_sessions(parts, hot_rows, at_most).arrange(["session_id"], ["Touchdata_id", "part"])
               .running(_upto=RunningSum(F.col("n_events"))).rows())
     placed = placed.withColumn(
         "document_no", F.floor((F.col("_upto") - F.col("n_events")) / document_events).cast("long"))
