@@ -145,5 +145,36 @@ tflagged AS (
 """
 
 
+# step, movement and running columns of a touch
+STEPS = """,
+f1 AS (
+  SELECT *, coalesce(time - lag(time) OVER s, 0) AS time_diff, coalesce(x - lag(x) OVER s, 0) AS x_diff,
+         coalesce(y - lag(y) OVER s, 0) AS y_diff, lag(touchPhase) OVER s AS prev_phase,
+         completionPerc - lag(completionPerc) OVER s AS c_step, zone IS DISTINCT FROM lag(zone) OVER s AS z_new,
+         color IS DISTINCT FROM lag(color) OVER s AS k_new,
+         sum(time) OVER (PARTITION BY session_id, Touchdata_id ORDER BY event_index) AS cumulative_time,
+         count(*) OVER t AS n
+  FROM touch
+  WINDOW s AS (PARTITION BY session_id, Touchdata_id ORDER BY event_index),
+         t AS (PARTITION BY session_id, Touchdata_id)),
+f2 AS (
+  SELECT *, sqrt(x_diff * x_diff + y_diff * y_diff) AS distance, atan2(y_diff, x_diff) AS direction_angle,
+         sqrt(x_diff * x_diff + y_diff * y_diff) / (time_diff + 1e-8) AS velocity
+  FROM f1),
+f3 AS (
+  SELECT *, coalesce(velocity - lag(velocity) OVER s, 0) AS acceleration,
+         coalesce(direction_angle - lag(direction_angle) OVER s, 0) AS raw_turn,
+         coalesce(time_diff - lag(time_diff) OVER s, 0) AS time_acceleration,
+         sum(distance) OVER (PARTITION BY session_id, Touchdata_id ORDER BY event_index) AS cumulative_distance
+  FROM f2 WINDOW s AS (PARTITION BY session_id, Touchdata_id ORDER BY event_index))
+"""
+
+
+def tidy(expression: str, digits: int = 6) -> str:
+    """Rounding that never yields a negative zero."""
+    return (f"CASE WHEN abs({expression}) < {0.5 * 10 ** -digits} THEN 0.0::DOUBLE "
+            f"ELSE round({expression}, {digits}) END")
+
+
 def sql(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body.strip()}"

@@ -39,3 +39,8 @@ def wrap_angle(value: Column) -> Column:
     """Angle difference brought back to [-pi, pi] by one turn."""
     return (F.when(value > math.pi, value - 2 * math.pi)
             .when(value < -math.pi, value + 2 * math.pi).otherwise(value))
+
+
+def tidy(value: Column, digits: int = 6) -> Column:
+    """Rounding that never yields a negative zero."""
+    return F.when(F.abs(value) < 0.5 * 10 ** -digits, F.lit(0.0)).otherwise(F.round(value, digits))

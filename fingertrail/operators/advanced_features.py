@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import LongType, NumericType
 
 from fingertrail.functions.numeric import inverse, over_eps, step, wrap_angle
 from fingertrail.functions.phases import any_phase
@@ -65,7 +65,7 @@ def advanced_temporal_features(touches: Touches) -> Touches:
     ).drop("_time", "_diff", "_n", "_mean", "_std", "_t0", "_t1")
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def _spectral_peak(series: pd.Series) -> pd.Series:
     """Index of the strongest frequency of each windowed series; of mirrored twins the smaller."""
     def peak(values):

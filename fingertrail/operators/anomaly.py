@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fingertrail.functions.numeric import finite_or_zero
 from fingertrail.functions.phases import is_phase
-from fingertrail.operators.groups import Position, Quantile, Touches
+from fingertrail.operators.groups import HOT_ROWS_DEFAULT, Position, Quantile, Touches, table_quantiles
 from fingertrail.schema import COLORING_PHASES, EPS, TRACING_PHASES
 
 SESSION = ["session_id"]
@@ -53,28 +53,30 @@ def statistical_outliers(touches: Touches, features: list[str], share: float = 0
 
 # ---- scalers ----------------------------------------------------------------------------------
 
-def scale(df: DataFrame, features: list[str], how: str = "standard") -> DataFrame:
+def scale(df: DataFrame, features: list[str], how: str = "standard", hot_rows: int = HOT_ROWS_DEFAULT,
+          at_most: int | None = None) -> DataFrame:
     """Scaled features over the whole table: standard, robust or minmax.
 
-    One aggregation pass gives a single line of parameters. Constant features scale to 0. Quartiles of
-    the robust scaler are exact up to the row limit of ``grouped`` quantiles and approximate to 1e-4
-    of the ranks beyond, as a global percentile buffer would grow with the data.
+    The parameters are one line from combinable aggregates (exact quartiles for the robust scaler).
+    Constant features scale to 0.
     """
-    parts: list[Column] = []
     values = {name: finite_or_zero(F.col(name)) for name in features}
-    exact = how == "robust" and df.limit(5_000_001).count() <= 5_000_000
-    for name, value in values.items():
-        if how == "standard":
-            parts += [F.avg(value).alias(f"c_{name}"), F.stddev_pop(value).alias(f"w_{name}")]
-        elif how == "minmax":
-            parts += [F.min(value).alias(f"c_{name}"), (F.max(value) - F.min(value)).alias(f"w_{name}")]
-        elif how == "robust":
-            quantile = F.percentile if exact else (lambda v, q: F.percentile_approx(v, q, 10_000))
-            parts += [quantile(value, 0.5).alias(f"c_{name}"),
-                      (quantile(value, 0.75) - quantile(value, 0.25)).alias(f"w_{name}")]
-        else:
-            raise ValueError(f"unknown scaler {how}")
-    line = df.agg(*parts)
+    if how == "robust":
+        wanted = {}
+        for name, value in values.items():
+            wanted |= {f"c_{name}": Quantile(value, 0.5), f"_1_{name}": Quantile(value, 0.25),
+                       f"_3_{name}": Quantile(value, 0.75)}
+        line = table_quantiles(df, wanted, hot_rows, at_most)
+        line = line.select(*[f"c_{n}" for n in features],
+                           *[(F.col(f"_3_{n}") - F.col(f"_1_{n}")).alias(f"w_{n}") for n in features])
+    elif how == "standard":
+        line = df.agg(*[F.avg(v).alias(f"c_{n}") for n, v in values.items()],
+                      *[F.stddev_pop(v).alias(f"w_{n}") for n, v in values.items()])
+    elif how == "minmax":
+        line = df.agg(*[F.min(v).alias(f"c_{n}") for n, v in values.items()],
+                      *[(F.max(v) - F.min(v)).alias(f"w_{n}") for n, v in values.items()])
+    else:
+        raise ValueError(f"unknown scaler {how}")
     scaled = [((values[n] - F.col(f"c_{n}")) / F.when(F.col(f"w_{n}") > 0, F.col(f"w_{n}")).otherwise(1.0)).alias(n)
               for n in features]
     others = [c for c in df.columns if c not in features]

@@ -201,6 +201,15 @@ def hot_quantiles(df: DataFrame, keys, columns: dict[str, Quantile], chunk_rows:
     return result
 
 
+def table_quantiles(df: DataFrame, columns: dict[str, Quantile], hot_rows: int = HOT_ROWS_DEFAULT,
+                    at_most: int | None = None) -> DataFrame:
+    """One row of exact quantiles over a whole table of any size."""
+    if (df.count() if at_most is None else at_most) <= hot_rows:
+        return df.agg(*[F.percentile(s.value, F.lit(s.q)).alias(name) for name, s in columns.items()])
+    keyed = df.withColumn("_all", F.lit(0))
+    return hot_quantiles(keyed, ["_all"], columns, hot_rows).drop("_all")
+
+
 # ---- the two-part table -----------------------------------------------------------------------
 
 @dataclass(frozen=True)
