@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from fingertrail.checks.catalog import query
 from fingertrail.checks.feature_queries import out
-from fingertrail.checks.sql import TOUCH, TRACE, sql, tidy as t
-from fingertrail.operators import anomaly, neighbours
+from fingertrail.checks.sql import STEPS, TOUCH, TRACE, sql, tidy as t
+from fingertrail.operators import anomaly, features, forest, neighbours
 from fingertrail.operators.groups import split_sessions
 from fingertrail.operators.metrics import TOUCH as TOUCH_KEYS
 from fingertrail.sources.touch_view import base_touches, events_table, touch_view
@@ -122,3 +122,48 @@ def robust_scaler(spark, sf_dir):
 @query("minmax_scaler", sql(POINTS, _scaled_sql("min({c})", "max({c}) - min({c})")))
 def minmax_scaler(spark, sf_dir):
     return _scaled(spark, sf_dir, "minmax")
+
+
+@query("covariance_distance", sql(TOUCH + STEPS + """,
+cv AS (SELECT session_id, avg(distance) AS ma, avg(time_diff) AS mb, var_samp(distance) AS va, var_samp(time_diff) AS vb,
+         covar_samp(distance, time_diff) AS c FROM f3 GROUP BY session_id),
+md AS (SELECT event_id, session_id, sqrt((power(distance - ma, 2) * vb - 2 * (distance - ma) * (time_diff - mb) * c
+         + power(time_diff - mb, 2) * va) / (va * vb - c * c)) AS d FROM f3 JOIN cv USING (session_id))""", f"""
+SELECT event_id, {t('d')} AS anomaly_score,
+       CASE WHEN d > quantile_cont(d, 0.9) OVER (PARTITION BY session_id) THEN 'outlier' ELSE 'normal' END AS anomaly_type FROM md"""))
+def covariance_distance(spark, sf_dir):
+    rows = anomaly.covariance_distance(features.basic_features(touch_view(spark, sf_dir)), ["distance", "time_diff"])
+    return out(rows.rows(), {"anomaly_score": 6, "anomaly_type": None})
+
+
+@query("isolation_forest")
+def isolation_forest(spark, sf_dir):
+    """Share of outliers and range of scores per session; random splits have no SQL twin."""
+    rows = forest.isolation_forest(touch_view(spark, sf_dir), ["x", "y", "time", "completionPerc"]).rows()
+    return rows.groupBy("session_id").agg(
+        F.count(F.lit(1)).alias("events"), F.count_if(F.col("anomaly_type") == "outlier").alias("outliers"),
+        F.round(F.min("anomaly_score"), 6).alias("lowest"), F.round(F.max("anomaly_score"), 6).alias("highest"))
+
+
+@query("basic_cleaning")
+def basic_cleaning(spark, sf_dir):
+    """The four cleaning marks of every event."""
+    rows = anomaly.basic_cleaning(_gapped(spark, sf_dir)).rows()
+    return rows.select("event_id", "invalid_phase", "duplicate", "imputed", "outlier")
+
+
+@query("basic_cleaning_summary")
+def basic_cleaning_summary(spark, sf_dir):
+    from fingertrail.operators.reports import cleaning_summary
+    return cleaning_summary(anomaly.basic_cleaning(_gapped(spark, sf_dir)).rows())
+
+
+@query("cleaning_summary_rules", sql(TOUCH, """
+SELECT session_id, count(*) FILTER (event_id % 17 = 0) AS flagged_rows, count(*) AS total_rows,
+       round(count(*) FILTER (event_id % 17 = 0) / count(*) * 100, 2) AS flagged_percentage FROM touch GROUP BY session_id"""))
+def cleaning_summary_rules(spark, sf_dir):
+    """The summary over the marks that do not depend on a model."""
+    from fingertrail.operators.reports import cleaning_summary
+    rows = anomaly.duplicates(_gapped(spark, sf_dir), ["event_id"]).map(anomaly.invalid_phases)
+    rows = rows.with_columns(imputed=F.col("completionPerc").isNull())
+    return cleaning_summary(rows.rows(), ("imputed", "duplicate", "invalid_phase"))

@@ -12,7 +12,8 @@ from fingertrail.functions.numeric import inverse, over_eps, step, wrap_angle
 from fingertrail.functions.phases import any_phase
 from fingertrail.operators.features import (arrange_sequences, behavioral_features, movement,
                                             sequence_keys)
-from fingertrail.operators.groups import Position, Previous, Quantile, RunningSum, Touches
+from fingertrail.operators.groups import (SESSION, Position, Previous, Quantile, RunningSum, Touches,
+                                          split_sessions)
 from fingertrail.schema import COLORING_PHASES, EPS
 
 STATISTICS_OF = ["x", "y", "time", "completionPerc"]
@@ -139,14 +140,19 @@ def advanced_spatial_features(touches: Touches) -> Touches:
            "_ex", "_ey")
 
 
-def _encode(touches: Touches, column: str) -> Touches:
-    """Alphabetical 0-based code of a value among the distinct values of its session."""
-    values = touches.rows().select("session_id", column).filter(F.col(column).isNotNull()).distinct()
-    from fingertrail.operators.groups import split_sessions
-    codes = (split_sessions(values, touches.hot_rows, touches.at_most)
-             .arrange(["session_id"], [column]).running(_code=Position()).rows()
-             .select("session_id", column, F.col("_code").cast("int").alias(f"{column}_encoded")))
-    return touches.attach(codes, ["session_id", column])
+def encode_categories(touches: Touches, columns: list[str]) -> Touches:
+    """Alphabetical 0-based codes of values among the distinct values of their session.
+
+    All code tables come from the same input, so encoding several columns does not nest.
+    """
+    rows = touches
+    for name in columns:
+        values = touches.rows().select(SESSION, name).filter(F.col(name).isNotNull()).distinct()
+        codes = (split_sessions(values, touches.hot_rows, touches.at_most)
+                 .arrange([SESSION], [name]).running(_code=Position()).rows()
+                 .select(SESSION, name, F.col("_code").cast("int").alias(f"{name}_encoded")))
+        rows = rows.attach(codes, [SESSION, name])
+    return rows
 
 
 def advanced_behavioral_features(touches: Touches) -> Touches:
@@ -163,10 +169,7 @@ def advanced_behavioral_features(touches: Touches) -> Touches:
         rows = rows.totals(keys, _n=F.count(F.lit(1)), _c_std=F.stddev_samp("completion_rate")).with_columns(
             completion_consistency=_regularity("_c_std", "_n")).drop("_n", "_c_std")
     rows = rows.drop("_pn", "_p0", "_p1")
-    for name in ("zone", "color"):
-        if name in touches.columns:
-            rows = _encode(rows, name)
-    return rows
+    return encode_categories(rows, [c for c in ("zone", "color") if c in touches.columns])
 
 
 def sequence_shape_features(touches: Touches) -> Touches:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from fingertrail.functions.numeric import finite_or_zero
 from fingertrail.functions.phases import is_phase
@@ -100,3 +103,48 @@ def duplicates(touches: Touches, order: list[str]) -> Touches:
     same = ["session_id", "fingerId", "time", "x", "y"]
     rows = touches.arrange(same, order).running(_copy=Position())
     return rows.with_columns(duplicate=F.col("_copy") > 0).drop("_copy")
+
+
+# ---- covariance distance ----------------------------------------------------------------------
+
+@F.pandas_udf(ArrayType(DoubleType()))
+def _inverse(flat: pd.Series) -> pd.Series:
+    """Pseudo-inverse of square matrices given row by row; one small matrix per session."""
+    def invert(values):
+        size = int(round(len(values) ** 0.5))
+        matrix = np.asarray(values, dtype=float).reshape(size, size)
+        return np.linalg.pinv(np.nan_to_num(matrix)).ravel()
+    return flat.map(invert)
+
+
+def covariance_distance(touches: Touches, features: list[str], share: float = 0.1) -> Touches:
+    """Mahalanobis distance of each event from its session, and the farthest ``share`` as outliers."""
+    pairs = [(a, b) for a in features for b in features]
+    columns = {f"_m_{f}": F.avg(finite_or_zero(F.col(f))) for f in features}
+    columns |= {f"_v_{i}": F.covar_samp(finite_or_zero(F.col(a)), finite_or_zero(F.col(b)))
+                for i, (a, b) in enumerate(pairs)}
+    table = touches.aggregate(SESSION, **columns)
+    cells = F.array(*[F.coalesce(F.col(f"_v_{i}"), F.lit(0.0)) for i in range(len(pairs))])
+    table = table.select(*SESSION, *[f"_m_{f}" for f in features], _inverse(cells).alias("_inv"))
+    rows = touches.attach(table, SESSION)
+    off = {f: finite_or_zero(F.col(f)) - F.col(f"_m_{f}") for f in features}
+    distance2 = F.lit(0.0)
+    for i, (a, b) in enumerate(pairs):
+        distance2 = distance2 + off[a] * F.col("_inv")[i] * off[b]
+    rows = rows.with_columns(anomaly_score=F.sqrt(F.greatest(distance2, F.lit(0.0))))
+    rows = rows.totals(SESSION, _limit=Quantile(F.col("anomaly_score"), 1 - share))
+    outlier = F.col("anomaly_score") > F.col("_limit")
+    return rows.with_columns(anomaly_type=F.when(outlier, "outlier").otherwise("normal"),
+                             anomaly_confidence=F.col("anomaly_score")).drop("_inv", "_limit", *[f"_m_{f}" for f in features])
+
+
+def basic_cleaning(touches: Touches, data_type: str = "Coloring", order: list[str] | None = None) -> Touches:
+    """The basic cleaning marks: invalid_phase, duplicate, imputed (values filled) and outlier."""
+    from fingertrail.operators.forest import isolation_forest
+    from fingertrail.operators.neighbours import cleaning_features, impute_nearest
+    rows = touches.map(lambda df: invalid_phases(df, data_type))
+    rows, names = cleaning_features(duplicates(rows, order or ["event_id"]))
+    filled = impute_nearest(rows.materialise(), features=names).materialise()
+    marked = isolation_forest(filled, names, contamination=0.05)
+    return marked.with_columns(outlier=F.col("anomaly_type") == "outlier").drop(
+        "anomaly_score", "anomaly_type", "anomaly_confidence", *[n for n in names if n not in touches.columns])

@@ -251,6 +251,12 @@ class Touches:
             return self.cold
         return self.cold.unionByName(self.hot.drop(CHUNK))
 
+    def materialise(self) -> "Touches":
+        """Store the rows once (reliable checkpoint), where several later steps read them."""
+        shared_dir(self.cold.sparkSession)
+        return replace(self, cold=self.cold.checkpoint(), clustered=False,
+                       hot=None if self.hot is None else self.hot.checkpoint())
+
     def arrange(self, keys: Sequence[str], order: Sequence[str]) -> "Touches":
         """Declare the grouping and order of the following ``running`` calls.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fingertrail.functions.numeric import step
-from fingertrail.operators.advanced_features import _encode
+from fingertrail.operators.advanced_features import encode_categories
 from fingertrail.operators.groups import SESSION, Previous, Quantile, Touches, split_sessions
 from fingertrail.operators.near import CELL_ROWS, nearest
 from fingertrail.operators.segment import FINGER
@@ -20,9 +20,7 @@ def cleaning_features(touches: Touches) -> tuple[Touches, list[str]]:
     """Numeric columns, encoded categories, and steps along the finger; and their names."""
     numeric = [c for c in NUMERIC if c in touches.columns]
     categories = [c for c in CATEGORIES if c in touches.columns]
-    rows = touches
-    for name in categories:
-        rows = _encode(rows, name)
+    rows = encode_categories(touches, categories)
     rows = (rows.arrange(FINGER, time_order(touches.columns))
             .running(_t=Previous(F.col("time")), _px=Previous(F.col("x")), _py=Previous(F.col("y")))
             .with_columns(_dt=step("time", "_t"), _dd=F.sqrt(
@@ -32,12 +30,17 @@ def cleaning_features(touches: Touches) -> tuple[Touches, list[str]]:
 
 
 def impute_nearest(touches: Touches, row_id: str = "event_id", columns: tuple[str, ...] = ("completionPerc",),
-                   k: int = 5, cell_rows: int = CELL_ROWS) -> Touches:
+                   k: int = 5, cell_rows: int = CELL_ROWS, features: list[str] | None = None) -> Touches:
     """Fill missing values with the distance-weighted mean of the k nearest events of the session.
 
     Distances use all cleaning features present on both events. A neighbour at distance 0 decides alone.
+    Rows that carry the features already are given with their names.
     """
-    rows, features = cleaning_features(touches)
+    described = features is not None
+    rows = touches
+    if not described:
+        rows, features = cleaning_features(touches)
+        rows = rows.materialise()  # read for points, donors and the result
     imputed = F.lit(False)
     for name in [c for c in columns if c in touches.columns]:
         points = rows.rows().select(
@@ -56,8 +59,8 @@ def impute_nearest(touches: Touches, row_id: str = "event_id", columns: tuple[st
         imputed = imputed | (F.col(name).isNull() & F.col(f"_new_{name}").isNotNull())
     rows = rows.with_columns(imputed=imputed)
     rows = rows.with_columns(**{name: F.coalesce(name, f"_new_{name}") for name in columns if name in touches.columns})
-    gone = ["_dt", "_dd", *[f"_new_{c}" for c in columns], *[f"{c}_encoded" for c in CATEGORIES if c in touches.columns]]
-    return rows.drop(*gone)
+    rows = rows.drop(*[f"_new_{c}" for c in columns])
+    return rows if described else rows.drop(*[f for f in features if f not in touches.columns])
 
 
 def local_outlier_factor(table: DataFrame, row_id: str, features: list[str], k: int = 20, share: float = 0.1,
