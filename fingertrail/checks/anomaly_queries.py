@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from fingertrail.checks.catalog import query
 from fingertrail.checks.feature_queries import out
 from fingertrail.checks.sql import STEPS, TOUCH, TRACE, sql, tidy as t
-from fingertrail.operators import anomaly, features, forest, neighbours
-from fingertrail.operators.groups import split_sessions
+from fingertrail.operators import anomaly, cluster, compare, density, features, forest, neighbours
+from fingertrail.operators.groups import HOT_ROWS_DEFAULT, split_sessions
 from fingertrail.operators.metrics import TOUCH as TOUCH_KEYS
 from fingertrail.sources.touch_view import base_touches, events_table, touch_view
 
@@ -167,3 +167,125 @@ def cleaning_summary_rules(spark, sf_dir):
     rows = anomaly.duplicates(_gapped(spark, sf_dir), ["event_id"]).map(anomaly.invalid_phases)
     rows = rows.with_columns(imputed=F.col("completionPerc").isNull())
     return cleaning_summary(rows.rows(), ("imputed", "duplicate", "invalid_phase"))
+
+
+CLUSTER_FEATURES = ["mean_x", "duration"]
+_DB = POINTS + """,
+sc AS (SELECT session_id, Touchdata_id AS id, (mean_x - avg(mean_x) OVER ()) / stddev_pop(mean_x) OVER () AS a,
+         (duration - avg(duration) OVER ()) / stddev_pop(duration) OVER () AS b FROM pts),
+nb AS (SELECT p.session_id, p.id, q.id AS nid FROM sc p JOIN sc q ON p.session_id = q.session_id
+       AND power(p.a - q.a, 2) + power(p.b - q.b, 2) <= 0.04),
+co AS (SELECT session_id, id FROM nb GROUP BY session_id, id HAVING count(*) >= 5),
+rc AS (SELECT DISTINCT nb.session_id, nb.id FROM nb JOIN co ON co.session_id = nb.session_id AND co.id = nb.nid)"""
+
+
+def scaled_points(spark, sf_dir):
+    table, bound = touch_points(spark, sf_dir)
+    return anomaly.scale(table.select(*TOUCH_KEYS, *CLUSTER_FEATURES), CLUSTER_FEATURES, "standard", at_most=bound)
+
+
+@query("density_kinds", sql(_DB, """
+SELECT sc.session_id, sc.id AS Touchdata_id, CASE WHEN co.id IS NOT NULL THEN 'core' WHEN rc.id IS NOT NULL THEN 'border' ELSE 'noise' END AS kind
+FROM sc LEFT JOIN co ON co.session_id = sc.session_id AND co.id = sc.id LEFT JOIN rc ON rc.session_id = sc.session_id AND rc.id = sc.id"""))
+def density_kinds(spark, sf_dir):
+    """Core, border and noise touches of the density clustering."""
+    rows = density.dbscan(scaled_points(spark, sf_dir), "Touchdata_id", CLUSTER_FEATURES, eps=0.2, min_points=5)
+    return rows.select(*TOUCH_KEYS, "kind")
+
+
+@query("density_clusters", sql("RECURSIVE " + _DB + """,
+cc AS (SELECT nb.session_id, nb.id, nb.nid FROM nb JOIN co x ON x.session_id = nb.session_id AND x.id = nb.id
+       JOIN co y ON y.session_id = nb.session_id AND y.id = nb.nid),
+walk AS (SELECT session_id, id, id AS root FROM co
+         UNION SELECT walk.session_id, cc.nid, walk.root FROM walk JOIN cc ON cc.session_id = walk.session_id AND cc.id = walk.id),
+lab AS (SELECT session_id, id, min(root) AS cluster FROM walk GROUP BY session_id, id)""", """
+SELECT session_id, cluster, count(*) AS core_points FROM lab GROUP BY session_id, cluster"""))
+def density_clusters(spark, sf_dir):
+    """Clusters by their smallest core touch, with the number of core touches."""
+    rows = density.dbscan(scaled_points(spark, sf_dir), "Touchdata_id", CLUSTER_FEATURES, eps=0.2, min_points=5)
+    return rows.filter(F.col("kind") == "core").groupBy("session_id", "cluster").agg(F.count(F.lit(1)).alias("core_points"))
+
+
+def _cluster_sizes(spark, sf_dir, how):
+    rows = cluster.cluster(scaled_points(spark, sf_dir), CLUSTER_FEATURES, how)
+    return rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("touches"))
+
+
+@query("kmeans_clusters")
+def kmeans_clusters(spark, sf_dir):
+    return _cluster_sizes(spark, sf_dir, "kmeans")
+
+
+@query("gaussian_mixture_clusters")
+def gaussian_mixture_clusters(spark, sf_dir):
+    return _cluster_sizes(spark, sf_dir, "gaussian_mixture")
+
+
+@query("bisecting_clusters")
+def bisecting_clusters(spark, sf_dir):
+    return _cluster_sizes(spark, sf_dir, "bisecting")
+
+
+@query("scaler_comparison", sql(POINTS + """,
+st AS (SELECT avg(mean_x) AS m1, avg(duration) AS m2, var_pop(mean_x) AS v1, var_pop(duration) AS v2, corr(mean_x, duration) AS r,
+  median(mean_x) AS c1, median(duration) AS c2, quantile_cont(mean_x, 0.75) - quantile_cont(mean_x, 0.25) AS q1,
+  quantile_cont(duration, 0.75) - quantile_cont(duration, 0.25) AS q2, min(mean_x) AS l1, min(duration) AS l2,
+  max(mean_x) - min(mean_x) AS w1, max(duration) - min(duration) AS w2 FROM pts),
+al AS (SELECT 'standard' AS scaler, 1.0::DOUBLE AS a, 1.0::DOUBLE AS b, 0.0::DOUBLE AS ma, 0.0::DOUBLE AS mb, r FROM st
+  UNION ALL SELECT 'robust', v1 / (q1 * q1), v2 / (q2 * q2), (m1 - c1) / q1, (m2 - c2) / q2, r FROM st
+  UNION ALL SELECT 'minmax', v1 / (w1 * w1), v2 / (w2 * w2), (m1 - l1) / w1, (m2 - l2) / w2, r FROM st)""", f"""
+SELECT scaler, {t('(a + b) / 2', 5)} AS mean_variance, {t('greatest(a, b)', 5)} AS max_variance,
+       {t('(abs(ma) + abs(mb)) / 2', 5)} AS mean_absolute_mean,
+       {t('(a + b + sqrt(power(a - b, 2) + 4 * r * r * a * b)) / (a + b - sqrt(power(a - b, 2) + 4 * r * r * a * b))', 4)} AS condition_number
+FROM al"""))
+def scaler_comparison(spark, sf_dir):
+    table, bound = touch_points(spark, sf_dir)
+    lines = cluster.compare_scalers(table, CLUSTER_FEATURES, HOT_ROWS_DEFAULT, bound)
+    return out(lines, {"mean_variance": 5, "max_variance": 5, "mean_absolute_mean": 5, "condition_number": 4}, ("scaler",))
+
+
+def _anomaly_lines(spark, sf_dir):
+    touches = touch_view(spark, sf_dir)
+    rows = features.spatial_features(features.temporal_features(touches))
+    table, bound = touch_points(spark, sf_dir)
+    found = {
+        "statistical": anomaly.statistical_outliers(rows, ["x", "time_diff", "distance"]).rows(),
+        "isolation_forest": forest.isolation_forest(touches, ["x", "y", "time", "completionPerc"]).rows(),
+        "covariance": anomaly.covariance_distance(rows, ["distance", "time_diff"]).rows(),
+        "lof": neighbours.local_outlier_factor(table, "Touchdata_id", ["mean_x", "mean_y", "duration"], at_most=bound)}
+    lines = None
+    for name, marked in found.items():
+        line = cluster.anomaly_comparison_line(marked, name)
+        lines = line if lines is None else lines.unionByName(line)
+    return lines
+
+
+@query("anomaly_comparison")
+def anomaly_comparison(spark, sf_dir):
+    """One line per detector; the forest makes it a check of rows only."""
+    return _anomaly_lines(spark, sf_dir)
+
+
+@query("advanced_anomalies")
+def advanced_anomalies(spark, sf_dir):
+    """Marks of the best detector by the comparison, chosen at run time."""
+    touches = touch_view(spark, sf_dir)
+    best = compare.best_detector(touches, ["x", "y", "time", "completionPerc"])
+    rows = compare.detect_with(touches, best, ["x", "y", "time", "completionPerc"]).rows()
+    return rows.groupBy("session_id", "anomaly_type").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query("clustering_comparison")
+def clustering_comparison(spark, sf_dir):
+    """One line per clustering of the touches."""
+    return compare.compare_clusterings(scaled_points(spark, sf_dir), "Touchdata_id", CLUSTER_FEATURES)
+
+
+@query("algorithm_advice")
+def algorithm_advice(spark, sf_dir):
+    """The best scaler and clustering with their scores."""
+    table, bound = touch_points(spark, sf_dir)
+    scalers = cluster.compare_scalers(table, CLUSTER_FEATURES, HOT_ROWS_DEFAULT, bound)
+    clusterings = compare.compare_clusterings(scaled_points(spark, sf_dir), "Touchdata_id", CLUSTER_FEATURES)
+    return cluster.recommendations(scalers, "scaler", "scaler").unionByName(
+        cluster.recommendations(clusterings, "clustering"))
