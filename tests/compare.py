@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -71,6 +72,8 @@ def main(argv):
     spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8",
                                                 "spark.ui.enabled": "false", "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("HOT_ROWS"):
+        spark.conf.set("fingertrail.hotRows", os.environ["HOT_ROWS"])
     con = connect(sf_dir)
     oracles = entry.oracle_sql()
     failed = 0
