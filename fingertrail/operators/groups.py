@@ -140,10 +140,14 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int) -> DataFrame:
-    """Cut rows into contiguous stretches of (keys, order); the layout is fixed by a checkpoint."""
+def _range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int,
+                  rows: int | None = None) -> DataFrame:
+    """Cut rows into contiguous stretches of (keys, order); the layout is fixed by a checkpoint.
+
+    ``rows`` is a known bound of the row count; without one the rows are counted.
+    """
     shared_dir(df.sparkSession)
-    rows = df.count()
+    rows = df.count() if rows is None else rows
     pieces = max(2, -(-rows // chunk_rows))
     ranged = df.drop(CHUNK).repartitionByRange(int(pieces), *keys, *order)
     return ranged.withColumn(CHUNK, F.spark_partition_id()).checkpoint()
@@ -221,6 +225,8 @@ class Touches:
     order: tuple[str, ...] = ()
     hot_rows: int = HOT_ROWS_DEFAULT
     at_most: int | None = None  # no session of this table or of one derived from it has more rows
+    hot_count: int | None = None  # bound of the rows in the hot part
+    stored: bool = False  # the hot part is a checkpoint, nothing is computed on top of it
 
     @property
     def columns(self) -> list[str]:
@@ -228,7 +234,9 @@ class Touches:
 
     def map(self, fn: Callable[[DataFrame], DataFrame]) -> "Touches":
         """Apply a row-wise transformation to both parts."""
-        return replace(self, cold=fn(self.cold), hot=None if self.hot is None else fn(self.hot))
+        if self.hot is None:
+            return replace(self, cold=fn(self.cold))
+        return replace(self, cold=fn(self.cold), hot=fn(self.hot), stored=False)
 
     def with_columns(self, **columns: Column) -> "Touches":
         return self.map(lambda df: df.withColumns(columns))
@@ -255,7 +263,12 @@ class Touches:
         """Store the rows once (reliable checkpoint), where several later steps read them."""
         shared_dir(self.cold.sparkSession)
         return replace(self, cold=self.cold.checkpoint(), clustered=False,
-                       hot=None if self.hot is None else self.hot.checkpoint())
+                       hot=self._stored_hot(), stored=True)
+
+    def _stored_hot(self) -> DataFrame | None:
+        """The hot part as a checkpoint: each step reads it more than once, so what was computed since
+        the last step is stored first, which keeps work and plans linear in the number of steps."""
+        return self.hot if self.hot is None or self.stored else self.hot.checkpoint()
 
     def arrange(self, keys: Sequence[str], order: Sequence[str]) -> "Touches":
         """Declare the grouping and order of the following ``running`` calls.
@@ -265,8 +278,10 @@ class Touches:
         cold = self.cold if self.clustered else self.cold.repartition(SESSION)
         hot = self.hot
         if hot is not None and (tuple(keys), tuple(order)) != (self.keys, self.order):
-            hot = _range_chunks(hot, keys, order, self.hot_rows)
-        return replace(self, cold=cold, hot=hot, clustered=True, keys=tuple(keys), order=tuple(order))
+            hot = _range_chunks(hot, keys, order, self.hot_rows, self.hot_count)
+            return replace(self, cold=cold, hot=hot, clustered=True, keys=tuple(keys), order=tuple(order),
+                           stored=True)
+        return replace(self, cold=cold, clustered=True, keys=tuple(keys), order=tuple(order))
 
     def running(self, within: Sequence[str] | None = None, **columns) -> "Touches":
         """Add order-dependent columns; ``within`` may refine the arranged keys."""
@@ -276,9 +291,8 @@ class Touches:
             "*", *[spec.local(window).alias(name) for name, spec in columns.items()])
         hot = None
         if self.hot is not None:
-            # every step reads its input twice, so the lineage is cut to keep the work linear
-            hot = _running_hot(self.hot, keys, order, columns).checkpoint()
-        return replace(self, cold=cold, hot=hot)
+            hot = _running_hot(self._stored_hot(), keys, order, columns)
+        return replace(self, cold=cold, hot=hot, stored=False)
 
     def totals(self, within: Sequence[str], **columns) -> "Touches":
         """Add whole-group values (aggregate columns or ``Quantile``) to every row."""
@@ -292,10 +306,11 @@ class Touches:
             return spec.over(whole)
 
         cold = start.cold.select("*", *[over(spec).alias(name) for name, spec in columns.items()])
-        hot = start.hot
-        if hot is not None:
-            hot = start._attach_hot(start._aggregate_hot(within, columns), within).checkpoint()
-        return replace(start, cold=cold, hot=hot)
+        if start.hot is None:
+            return replace(start, cold=cold)
+        start = replace(start, hot=start._stored_hot(), stored=True)
+        hot = start._attach_hot(start._aggregate_hot(within, columns), within)
+        return replace(start, cold=cold, hot=hot, stored=False)
 
     def aggregate(self, keys: Sequence[str], **columns) -> DataFrame:
         """One row per group. Aggregates combine map-side, so no group travels whole."""
@@ -309,8 +324,10 @@ class Touches:
     def attach(self, table: DataFrame, keys: Sequence[str]) -> "Touches":
         """Left-join a table with one row per group to the rows."""
         cold = self.cold.join(table, list(keys), "left")
-        hot = None if self.hot is None else self._attach_hot(table, keys)
-        return replace(self, cold=cold, hot=hot)
+        if self.hot is None:
+            return replace(self, cold=cold)
+        start = replace(self, hot=self._stored_hot(), stored=True)
+        return replace(self, cold=cold, hot=start._attach_hot(table, keys), stored=False)
 
     def _aggregate_hot(self, keys, columns) -> DataFrame:
         plain = {n: s for n, s in columns.items() if not isinstance(s, Quantile)}
@@ -354,4 +371,4 @@ def split_sessions(df: DataFrame, hot_rows: int | None = None, at_most: int | No
     pieces = max(2, -(-int(rows) // limit))
     hot = (df.join(keys, match, "left_semi")
            .withColumn(CHUNK, F.pmod(F.xxhash64(*df.columns), F.lit(pieces)).cast("int")))
-    return Touches(df.join(keys, match, "left_anti"), hot, hot_rows=limit, at_most=bound)
+    return Touches(df.join(keys, match, "left_anti"), hot, hot_rows=limit, at_most=bound, hot_count=int(rows))
