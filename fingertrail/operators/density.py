@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fingertrail.operators.groups import SESSION
-from fingertrail.session import shared_dir
+from fingertrail.session import store
 
 FINE = 4  # sub-cells along each side of a cell
 SALT_ROWS = 50_000
@@ -57,7 +57,6 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     Alternates linking each node's larger neighbours to its smallest one and its smaller neighbours to
     the smallest, until nothing changes; the number of rounds grows with the logarithm of the size.
     """
-    shared_dir(edges.sparkSession)
 
     def star(pairs: DataFrame, large: bool) -> DataFrame:
         both = pairs.unionByName(pairs.select(SESSION, F.col("b").alias("a"), F.col("a").alias("b")))
@@ -69,11 +68,11 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
             moved = moved.unionByName(linked.select(SESSION, "a", F.col("_min").alias("b")))
         return moved.filter(F.col("a") != F.col("b")).distinct()
 
-    pairs = edges.select(SESSION, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter(
-        F.col("a") != F.col("b")).distinct().checkpoint()
+    pairs = store(edges.select(SESSION, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter(
+        F.col("a") != F.col("b")).distinct())
     state = None
     while True:
-        pairs = star(star(pairs, large=True), large=False).checkpoint()
+        pairs = store(star(star(pairs, large=True), large=False))
         line = pairs.agg(F.count(F.lit(1)), F.sum("b"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(line) == state:
             break
@@ -89,7 +88,6 @@ def dbscan(table: DataFrame, row_id: str, features: list[str], eps: float = 0.5,
     """
     if not 1 <= len(features) <= 4:
         raise ValueError("the grid is meant for one to four features")
-    shared_dir(table.sparkSession)
     clean = table.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features})
     side = eps / math.sqrt(len(features))
     cells = [f"_g{i}" for i in range(len(features))]
@@ -98,7 +96,7 @@ def dbscan(table: DataFrame, row_id: str, features: list[str], eps: float = 0.5,
               .agg(F.min(F.col(row_id).cast("long")).alias("pid"), F.count(F.lit(1)).alias("weight"))
               .withColumns({c: F.floor(F.col(f) / side) for c, f in zip(cells, features)}))
     sizes = points.groupBy(SESSION, *cells).agg(F.sum("weight").alias("_w"), F.count(F.lit(1)).alias("_n"))
-    points = points.join(sizes, [SESSION, *cells]).checkpoint()
+    points = store(points.join(sizes, [SESSION, *cells]))
 
     # counts of the points in sparse cells; the points of a large target cell are spread by a salt
     sparse = points.filter(F.col("_w") < min_points)
@@ -114,9 +112,9 @@ def dbscan(table: DataFrame, row_id: str, features: list[str], eps: float = 0.5,
     meets = (asking.join(target, [SESSION, "_salt", *[f"t_{c}" for c in cells]])
              .filter(_distance2(features, "", "o_") <= eps2))
     counted = meets.groupBy(SESSION, "pid").agg(F.sum("o_weight").alias("_near"))
-    points = (points.join(counted, [SESSION, "pid"], "left")
+    points = store(points.join(counted, [SESSION, "pid"], "left")
               .withColumn("_core", (F.col("_w") >= min_points) | (F.coalesce("_near", F.lit(0)) >= min_points))
-              .drop("_near").checkpoint())
+              .drop("_near"))
     core = points.filter("_core")
 
     # cells with core points are the nodes; their name is the smallest core id
@@ -124,9 +122,9 @@ def dbscan(table: DataFrame, row_id: str, features: list[str], eps: float = 0.5,
     fine = [f"_f{i}" for i in range(len(features))]
     placed = core.join(named, [SESSION, *cells]).withColumns(
         {f: F.floor(F.col(v) / (side / FINE)) for f, v in zip(fine, features)})
-    reps = placed.groupBy(SESSION, *cells, "node", *fine).agg(
+    reps = store(placed.groupBy(SESSION, *cells, "node", *fine).agg(
         F.min_by(F.struct(*features), "pid").alias("_p")).select(
-        SESSION, *cells, "node", *fine, *[F.col("_p")[f].alias(f) for f in features]).checkpoint()
+        SESSION, *cells, "node", *fine, *[F.col("_p")[f].alias(f) for f in features]))
     left = _spread(reps, cells, [o for o in _offsets(len(features), own=False) if o > tuple([0] * len(o))])
     left = _renamed(left.drop(*cells), "l_")
     right = _renamed(reps, "r_")

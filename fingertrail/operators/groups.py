@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fingertrail.session import shared_dir
+from fingertrail.session import store
 
 HOT_ROWS_CONF = "fingertrail.hotRows"
 HOT_ROWS_DEFAULT = 5_000_000
@@ -142,15 +142,14 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
 
 def _range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int,
                   rows: int | None = None) -> DataFrame:
-    """Cut rows into contiguous stretches of (keys, order); the layout is fixed by a checkpoint.
+    """Cut rows into contiguous stretches of (keys, order); the layout is fixed by storing it.
 
     ``rows`` is a known bound of the row count; without one the rows are counted.
     """
-    shared_dir(df.sparkSession)
     rows = df.count() if rows is None else rows
     pieces = max(2, -(-rows // chunk_rows))
     ranged = df.drop(CHUNK).repartitionByRange(int(pieces), *keys, *order)
-    return ranged.withColumn(CHUNK, F.spark_partition_id()).checkpoint()
+    return store(ranged.withColumn(CHUNK, F.spark_partition_id()))
 
 
 def _order_struct(order: Sequence[str]) -> Column:
@@ -226,7 +225,7 @@ class Touches:
     hot_rows: int = HOT_ROWS_DEFAULT
     at_most: int | None = None  # no session of this table or of one derived from it has more rows
     hot_count: int | None = None  # bound of the rows in the hot part
-    stored: bool = False  # the hot part is a checkpoint, nothing is computed on top of it
+    stored: bool = False  # the hot part is a stored table, nothing is computed on top of it
 
     @property
     def columns(self) -> list[str]:
@@ -260,15 +259,14 @@ class Touches:
         return self.cold.unionByName(self.hot.drop(CHUNK))
 
     def materialise(self) -> "Touches":
-        """Store the rows once (reliable checkpoint), where several later steps read them."""
-        shared_dir(self.cold.sparkSession)
-        return replace(self, cold=self.cold.checkpoint(), clustered=False,
+        """Store the rows once, where several later steps read them."""
+        return replace(self, cold=store(self.cold), clustered=False,
                        hot=self._stored_hot(), stored=True)
 
     def _stored_hot(self) -> DataFrame | None:
-        """The hot part as a checkpoint: each step reads it more than once, so what was computed since
+        """The hot part as a stored table: each step reads it more than once, so what was computed since
         the last step is stored first, which keeps work and plans linear in the number of steps."""
-        return self.hot if self.hot is None or self.stored else self.hot.checkpoint()
+        return self.hot if self.hot is None or self.stored else store(self.hot)
 
     def arrange(self, keys: Sequence[str], order: Sequence[str]) -> "Touches":
         """Declare the grouping and order of the following ``running`` calls.
@@ -360,8 +358,7 @@ def split_sessions(df: DataFrame, hot_rows: int | None = None, at_most: int | No
         return Touches(df, hot_rows=limit, at_most=bound)
     large = (df.groupBy(SESSION).agg(F.count(F.lit(1)).alias("_n"))
              .filter(F.col("_n") > limit).select(F.col(SESSION).alias("_hot"), "_n"))
-    shared_dir(spark)
-    large = large.checkpoint()
+    large = store(large)
     found, rows = large.agg(F.count(F.lit(1)), F.sum("_n")).first()
     if not found:
         return Touches(df, hot_rows=limit, at_most=bound)

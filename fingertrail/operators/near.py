@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from fingertrail.operators.groups import CHUNK, SESSION, _range_chunks
-from fingertrail.session import shared_dir
+from fingertrail.session import store
 
 CELL_ROWS = 4000
 BLOCK = 500       # cells per block in the first box comparison
@@ -156,8 +156,7 @@ def nearest(points: DataFrame, features: list[str], axes: list[str], k: int,
     # a session within one cell is done; only sessions cut into several cells go on
     if at_most is not None and at_most <= cell_rows:
         return _top(local, k)
-    shared_dir(points.sparkSession)
-    local = local.checkpoint()
+    local = store(local)
     cut = (cells.select(SESSION, CHUNK).distinct().groupBy(SESSION).agg(F.count(F.lit(1)).alias("_cells"))
            .filter(F.col("_cells") > 1).select(SESSION))
     asking = cells.filter("asks").join(cut, SESSION, "left_semi")

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fingertrail.session import shared_dir
+from fingertrail.session import store
 
 
 def _grid_transform(df: DataFrame, keys: list[str], sign: int) -> DataFrame:
@@ -54,7 +54,6 @@ def _grid_transform(df: DataFrame, keys: list[str], sign: int) -> DataFrame:
 
 def long_spectrum_peaks(rows: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, _peak) of series given as rows (keys, _pos, _n, _w)."""
-    shared_dir(rows.sparkSession)
     series = rows.select(*keys, F.col("_pos").alias("i"), F.col("_n").alias("n"), F.col("_w").alias("w"))
     size = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("n") * 2 - 1))).cast("long")
     series = series.withColumn("m", size)
@@ -73,13 +72,13 @@ def long_spectrum_peaks(rows: DataFrame, keys: list[str]) -> DataFrame:
     left = _grid_transform(signal, keys, -1)
     right = _grid_transform(kernel, keys, -1).select(
         *keys, "i", F.col("re").alias("kre"), F.col("im").alias("kim"))
-    product = left.join(right, [*keys, "i"]).select(
+    product = store(left.join(right, [*keys, "i"]).select(
         *keys, "m", "i", (F.col("re") * F.col("kre") - F.col("im") * F.col("kim")).alias("re"),
-        (F.col("re") * F.col("kim") + F.col("im") * F.col("kre")).alias("im")).checkpoint()
+        (F.col("re") * F.col("kim") + F.col("im") * F.col("kre")).alias("im")))
     lengths = series.groupBy(*keys).agg(F.max("n").alias("_len"))
-    power = (_grid_transform(product, keys, 1).join(lengths, keys)
+    power = store(_grid_transform(product, keys, 1).join(lengths, keys)
              .filter(F.col("i") <= F.col("_len") / 2)
-             .select(*keys, "i", (F.col("re") * F.col("re") + F.col("im") * F.col("im")).alias("_p"))).checkpoint()
+             .select(*keys, "i", (F.col("re") * F.col("re") + F.col("im") * F.col("im")).alias("_p")))
     best = power.groupBy(*keys).agg(F.max("_p").alias("_best"))
     return (power.join(best, keys).filter(F.col("_p") >= F.col("_best") * (1 - 1e-9))
             .groupBy(*keys).agg(F.min("i").alias("_peak")))
