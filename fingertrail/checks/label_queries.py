@@ -313,10 +313,10 @@ def usage_advice_cleaning(spark, sf_dir):
     return rows.select("event_id", F.array_join("usage_recommendations", ",").alias("usage_recommendations"))
 
 
-@query("usage_advice_pipeline", sql(DESCRIBED, f"""
+@query("usage_advice_short", sql(DESCRIBED, f"""
 SELECT event_id, concat_ws(',', {_ADVICE['cleaning'][0]}, {_ADVICE['cleaning'][2]}) AS usage_recommendations FROM described"""))
-def usage_advice_pipeline(spark, sf_dir):
-    rows = cleaning.clean_and_enhance(touch_view(spark, sf_dir), "pipeline", anomalies="simple").rows()
+def usage_advice_short(spark, sf_dir):
+    rows = cleaning.clean_and_enhance(touch_view(spark, sf_dir), "short", anomalies="simple").rows()
     return rows.select("event_id", F.array_join("usage_recommendations", ",").alias("usage_recommendations"))
 
 

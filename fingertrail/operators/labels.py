@@ -183,13 +183,13 @@ def _advice(column: str, names: dict[str, str]) -> list[Column]:
 
 
 def recommendations(variant: str = "cleaning") -> Column:
-    """Usage advice per row: variants 'cleaning' (all parts), 'pipeline' (no tap, drag, tier) and
+    """Usage advice per row: variants 'cleaning' (all parts), 'short' (no tap, drag, tier) and
     'simple' (short lists, own patterns)."""
     outlier = [flag_if(F.col("anomaly_type") == "outlier", "outlier_investigation")]
     if variant == "cleaning":
         rest = _advice("behavioral_pattern", _PATTERN_ADVICE) + outlier + _advice("quality_tier", _TIER_ADVICE)
         return F.concat(_by_score(_HIGH_ADVICE, _MIDDLE_ADVICE), flag_list(rest))
-    if variant == "pipeline":
+    if variant == "short":
         short = {k: _PATTERN_ADVICE[k] for k in ("deliberate", "erratic")}
         return F.concat(_by_score(_HIGH_ADVICE, _MIDDLE_ADVICE), flag_list(_advice("behavioral_pattern", short) + outlier))
     if variant == "simple":
