@@ -1,7 +1,6 @@
 """Neighbours, density clusters and long spectra against brute force on small data."""
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from fingertrail.operators.density import dbscan
 from fingertrail.operators.near import nearest
