@@ -1,0 +1,32 @@
+"""Registry of the queries over these operators, and of the SQL that some are checked against."""
+
+from __future__ import annotations
+
+import importlib
+import pkgutil
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    """Register a query under a name, with its equivalent SQL if there is one."""
+    def add(fn):
+        if name in QUERIES:
+            raise ValueError(f"query {name} is registered twice")
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLES[name] = sql
+        return fn
+    return add
+
+
+def load_queries() -> None:
+    """Import every operator module, which registers its query."""
+    package = importlib.import_module(__package__)
+    for module in sorted(m.name for m in pkgutil.iter_modules(package.__path__)):
+        if module.startswith("op"):
+            importlib.import_module(f"{__package__}.{module}")
