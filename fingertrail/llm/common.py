@@ -54,3 +54,16 @@ def id_remainder(doc_id: Column, mod: int) -> Column:
 def ascii_lower(text: Column) -> Column:
     upper = "".join(map(chr, range(65, 91)))
     return F.translate(text, upper, upper.lower())
+
+
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by their plain names, whatever characters these have."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """The name, with underscores added until no column has it in any case."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name += "_"
+    return name

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import per_text, table
+from fingertrail.llm.common import per_text, quoted, table
 
 MAX_TOKENS = 2048
 END_ID = 1
@@ -51,7 +51,7 @@ def pack(docs: DataFrame, text: str = "text", *, max_tokens: int = MAX_TOKENS, e
     doc_tokens, sequence_id and offset.
 
     `max_tokens` is a power of two. A null or empty text packs its end id alone. Repeated rows are packed
-    each, whatever their ids. Columns of docs that have one of the new names are left out. sequence_id is
+    each, whatever their ids. Columns of docs that have one of the new names (or _packed, _piece) are left out. sequence_id is
     unique but has gaps; the bucket of a sequence is its length.
     """
     if max_tokens & (max_tokens - 1):
@@ -76,7 +76,8 @@ def pack(docs: DataFrame, text: str = "text", *, max_tokens: int = MAX_TOKENS, e
     packed = per_text(cut, T.StructType([T.StructField("doc_tokens", T.LongType()),
                                          T.StructField("pieces", T.ArrayType(piece))]))
     new = [*piece.names, "doc_tokens", "sequence_id", "offset"]
-    kept = [c for c in docs.columns if c != text and c not in new]
+    hidden = [text, *new, "_packed", "_piece"]
+    kept = quoted([c for c in docs.columns if c.lower() not in {h.lower() for h in hidden}])
     rows = docs.select(*kept, packed(F.col(text)).alias("_packed"))
     rows = rows.select(*kept, F.col("_packed.doc_tokens").alias("doc_tokens"),
                        F.explode("_packed.pieces").alias("_piece"))

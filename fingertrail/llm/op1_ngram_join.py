@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import per_text, table
+from fingertrail.llm.common import fresh, per_text, table
 from fingertrail.llm.components import components
 from fingertrail.session import store
 
@@ -249,10 +249,11 @@ def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", word
 
     Of rows with the same id and text one stays. Rows without an id link with nothing here: each text of theirs stays once.
     """
+    own, hashed = fresh("_first", docs.columns), fresh("_text", docs.columns)
     found = join(docs, text, doc_id, words, percent).filter("doc_id is null or doc_id = component_id").select(
-        F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(found, F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")
-    return kept.withColumn("_text", F.xxhash64(text)).dropDuplicates([doc_id, "_text"]).drop("_text")
+        F.col("doc_id").alias(own)).distinct()
+    kept = docs.join(found, F.col(doc_id).eqNullSafe(F.col(own)), "left_semi")
+    return kept.withColumn(hashed, F.xxhash64(text)).dropDuplicates([doc_id, hashed]).drop(hashed)
 
 
 @query("op1_ngram_join")

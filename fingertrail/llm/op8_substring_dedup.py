@@ -11,13 +11,15 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import per_text, table
+from fingertrail.llm.common import per_text, quoted, table
 
 #: Words in a run, and the most words of a sentence before it is cut.
 RUN_WORDS, LONGEST = 30, 8
@@ -68,7 +70,7 @@ def without(text: str, foreign: list[int] | None, run_words: int = RUN_WORDS) ->
 
 
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", run_words: int = RUN_WORDS) -> DataFrame:
-    """docs with the repeats taken out of their text, and with n_sentences and n_removed (columns of these names are replaced).
+    """docs with the repeats taken out of their text, and with n_sentences and n_removed (columns of these names, _order, _foreign and _clean are left out).
 
     The first document of a run is the one with the smallest id; rows of one id count as one document, and rows
     without an id come last, as one. A text of fewer than `run_words` words is left as it is; a null text stays null.
@@ -83,16 +85,15 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", run
     clean_type = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_sentences", T.LongType()),
                                T.StructField("n_removed", T.LongType())])
     clean = _clean_udf(run_words, clean_type)
-    kept = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
-    joined = docs.select(*kept, order.alias("_order")).join(foreign, "_order", "left")
+    kept = [c for c in docs.columns if c.lower() not in ("n_sentences", "n_removed", "_order", "_foreign", "_clean")]
+    joined = docs.select(*quoted(kept), order.alias("_order")).join(foreign, "_order", "left")
     cleaned = joined.withColumn("_clean", clean(F.col(text), F.col("_foreign")))
-    return cleaned.select(*[F.when(F.col(text).isNotNull(), F.col("_clean.text")).alias(c) if c == text else F.col(c) for c in kept],
+    changed = F.when(F.col(text).isNotNull(), F.col("_clean.text")).alias(text)
+    return cleaned.select(*[changed if c == text else column for c, column in zip(kept, quoted(kept))],
                           "_clean.n_sentences", "_clean.n_removed")
 
 
 def _clean_udf(run_words: int, kind: T.StructType):
-    import pyarrow as pa
-    from pyspark.sql.pandas.types import to_arrow_type
     arrow = to_arrow_type(kind)
 
     def run(texts: pa.Array, foreign: pa.Array) -> pa.Array:
