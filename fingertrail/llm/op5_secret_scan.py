@@ -123,7 +123,7 @@ def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", share: flo
     size = F.length("found")
     ended = F.sum(F.col("gap") + size).over(Window.partitionBy("row", "kind").orderBy("place"))
     secret = F.regexp_extract("found", PATTERNS["assign"], 2)
-    holds = (F.when(F.col("kind") == 0, F.length(secret) >= 6).when(F.col("kind") == 1, size >= 20).otherwise(True))
+    holds = F.when(F.col("kind") == 0, F.length(secret) >= 6).when(F.col("kind") == 1, size >= 20).otherwise(F.col("kind") == 2)
     rows = store(rows.select("row", "doc_id", "kind", (ended - size).cast("int").alias("start"), ended.cast("int").alias("end"),
                              "found").withColumn("holds", holds))
     tested = with_battery(rows.filter("kind = 3").select("row", "start", "found"))
