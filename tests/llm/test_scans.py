@@ -80,7 +80,7 @@ def test_licences_are_found_whole_and_edited(spark):
             want.add((doc_id, name))
             words = text.split()
             if len(words) > 25:
-                edited = [w for i, w in enumerate(words) if i % 20 != 9  # leaves the words that tell versions apart]
+                edited = [w for i, w in enumerate(words) if i % 20 != 9]  # the words that tell notices apart stay
                 rows.append((doc_id + 5, " ".join(edited)))
                 want.add((doc_id + 5, name))
     rows += [(900, filler), (901, "License and copyright of the software, version 3.")]
