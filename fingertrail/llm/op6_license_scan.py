@@ -5,11 +5,13 @@ word, texts by windows at every fourth. Two windows share a band if the same shi
 under the band's permutation, which happens with a probability of their similarity s; with 16 bands of one row
 a window is found with 1 - (1 - s)^16: 0.9992 at s = 4/11, where a notice of five words stands whole in a window.
 Each candidate is then compared with the notice's exact shingles in its surroundings. All of it is
-DataFrame functions; a window without any notice shingle cannot share a band and is left out at once.
+DataFrame functions; windows with fewer notice shingles than
+any notice's containment asks for are left out at once.
 """
 
 from __future__ import annotations
 
+import math
 import random
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,23 +113,27 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", notices: d
     longest = max((r["n"] for r in known.select(F.max(F.size("own")).alias("n")).collect()), default=0) or 0
     pad = WINDOW + longest // 8
     reach = longest + pad
+    # in the window that a notice fills best stand so many of its shingles, or of a full window's
+    counts = [min(r["n"], WINDOW - 1) for r in known.select(F.size("exact").alias("n")).distinct().collect()]
+    fewest = min((math.ceil(containment * n) for n in counts), default=1)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), words_of(F.col(text)).alias("words"))
     rows = rows.withColumn("hashes", pairs(F.col("words"), hashed))
-    hits = F.filter(F.transform("hashes", lambda h, i: F.when(h.isin(shingles), i)), lambda i: i.isNotNull())
+    rows = rows.withColumn("known", F.transform("hashes", lambda h: h.isin(shingles)))
+    hits = F.filter(F.transform("known", lambda k, i: F.when(k, i)), lambda i: i.isNotNull())
     starts = F.array_distinct(F.flatten(F.transform(hits, lambda i: F.transform(
         F.sequence(F.ceil(F.greatest(i - (WINDOW - 2), F.lit(0)) / STRIDE), F.floor(i / STRIDE)),
         lambda k: (k * STRIDE).cast("int")))))
+    dense = F.filter(starts, lambda s: F.size(F.filter(F.slice("known", s + 1, F.lit(WINDOW - 1)), lambda k: k)) >= fewest)
     found = F.filter(
-        F.transform(starts, lambda s: F.struct(s.alias("start"), F.filter(
+        F.transform(dense, lambda s: F.struct(s.alias("start"), F.filter(
             band_keys(F.slice("hashes", s + 1, F.lit(WINDOW - 1))), lambda k: k.isin(keys)).alias("keys"))),
         lambda w: F.size(w["keys"]) > 0)
     windows = rows.select("row", "doc_id", F.explode(F.transform(found, lambda w: F.struct(
         w["start"].alias("start"), w["keys"].alias("keys"), F.greatest(w["start"] - reach, F.lit(0)).alias("from"),
         F.slice("words", F.greatest(w["start"] - reach, F.lit(0)) + 1, F.lit(2 * reach + WINDOW)).alias("around")))).alias("w"))
     candidates = (windows.select("row", "doc_id", "w.start", "w.from", "w.around", F.explode("w.keys").alias("key"))
-                  .join(F.broadcast(keyed), "key")
-                  .dropDuplicates(["row", "start", "license_id", "own", "offset"]))
+                  .join(F.broadcast(keyed), "key"))
     begin = F.greatest(F.col("start") - F.col("offset") - pad, F.lit(0))
     region = F.slice("around", F.greatest(begin - F.col("from"), F.lit(0)) + 1, F.size("own") + 2 * pad)
     shared = F.size(F.array_intersect("exact", pairs(region, lambda a, b: F.concat_ws(" ", a, b)))) / F.size("exact")
