@@ -60,9 +60,9 @@ def _document_lines(spark, sf_dir, columns):
     return packed.select(F.col("session_id").cast("string"), "document")
 
 
-@query("json_session_scan", sql(TOUCH, _event_sql(f"event_index % {DOCUMENT_PART}")))
+@query("json_session_scan", sql(TOUCH, _event_sql("event_index")))
 def json_session_scan(spark, sf_dir):
-    """Documents without own ids: touch from the map key, index from the position in the array."""
+    """Documents without own ids: touch from the map key, index from the position in the array and the part's offset."""
     columns = [c for c in EVENTS if c not in ("Touchdata_id", "event_index")]
     lines = _document_lines(spark, sf_dir, columns)
     return _event_rows(documents.flatten_documents(documents.parse_document_lines(lines)))

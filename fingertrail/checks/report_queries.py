@@ -359,3 +359,31 @@ def directory_job_status(spark, sf_dir):
     stored = spark.read.schema("session_id string, document string").json(path)
     _, status = process_documents(documents.parse_document_lines(stored))
     return status.select(F.col("session_id").cast("bigint").alias("session_id"), "status", "events", "flagged_rows")
+
+
+_FOLDER = TRACE_FLAGS + ", " + FLAGS.strip().replace("raw AS (", "raw_c AS (", 1).replace("FROM raw)", "FROM raw_c)", 1)
+
+
+@query("mixed_folder_job", sql(_FOLDER, """
+SELECT session_id, 'Coloring' AS data_type, touchPhase, flags, count(*) AS events, count(*) AS labelled, CAST(sum(Touchdata_id + event_index) AS BIGINT) AS checksum
+FROM flagged GROUP BY session_id, touchPhase, flags
+UNION ALL SELECT session_id + 1000000, 'Tracing', touchPhase, flags, count(*), count(*), CAST(sum(camFrame) AS BIGINT) FROM tflagged GROUP BY session_id, touchPhase, flags"""))
+def mixed_folder_job(spark, sf_dir):
+    """A folder of CSV files with three headers (Coloring, Coloring in another order, Tracing): flagged, labelled, written, read back."""
+    from fingertrail.plans.directory import process_csv_folder
+    path, target = scratch_path(spark, "mixed"), scratch_path(spark, "processed")
+    colored = touch_view(spark, sf_dir).rows().select("session_id", "event_id", *EVENTS)
+    traced = touch_view(spark, sf_dir, "tracing").rows().withColumn("session_id", F.col("session_id") + 1000000)
+    odd = F.col("session_id") % 2 == 1
+    for table in (colored.filter(~odd), colored.filter(odd).select(*reversed(colored.columns)),
+                  traced.select("fingerId", "event_id", "isDragging", "x", "y", "time", "touchPhase", "distance", "camFrame", "zone", "session_id")):
+        table.write.mode("append").option("header", True).csv(path)
+    process_csv_folder(spark, path, target, anomalies="simple", session_column="session_id")
+    result = None
+    for kind, key in (("coloring", F.col("Touchdata_id").cast("bigint") + F.col("event_index").cast("bigint")), ("tracing", F.col("camFrame").cast("bigint"))):
+        rows = spark.read.option("header", True).csv(f"{target}/{kind}/events")
+        part = rows.groupBy(F.col("session_id").cast("bigint").alias("session_id"), F.lit(kind.capitalize()).alias("data_type"),
+                            "touchPhase", F.coalesce("flags", F.lit("")).alias("flags")).agg(
+            F.count(F.lit(1)).alias("events"), F.count("research_suitability").alias("labelled"), F.sum(key).alias("checksum"))
+        result = part if result is None else result.unionByName(part)
+    return result

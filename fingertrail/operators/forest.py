@@ -105,11 +105,12 @@ def _score_rows(df: DataFrame, forests: DataFrame, features: list[str], whole: b
 
 
 def isolation_forest(touches: Touches, features: list[str], row_id: str = "event_id",
-                     contamination: float = 0.1) -> Touches:
+                     contamination: float = 0.1, pool_rows: int = POOL) -> Touches:
     """Anomaly score, type and confidence of every event, by a forest of its session.
 
-    The samples of all trees come from a pool of at most about TREES x SAMPLE rows of the session, drawn
-    by a hash of the row id, so it is the same on every run and a large session is not gathered. The
+    The samples of all trees come from a pool of about ``pool_rows`` rows of the session (all, if it has no
+    more), drawn by a hash of the row id, so it is the same on every run and a large session is not gathered.
+    A tree sees SAMPLE rows in any case; a smaller pool than TREES x SAMPLE makes trees share rows. The
     share ``contamination`` with the highest scores are outliers.
     """
     id_name = row_id if row_id in touches.columns else None
@@ -117,7 +118,7 @@ def isolation_forest(touches: Touches, features: list[str], row_id: str = "event
     rows = touches.with_columns(**{f"_f_{f}": finite_or_zero(F.col(f)) for f in features})
     sizes = touches.aggregate([SESSION], _size=F.count(F.lit(1)))
     lot = F.pmod(F.xxhash64(*key), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    pool = rows.attach(sizes, [SESSION]).filter(lot < F.lit(float(POOL)) / F.col("_size")).rows().select(
+    pool = rows.attach(sizes, [SESSION]).filter(lot < F.lit(float(pool_rows)) / F.col("_size")).rows().select(
         SESSION, *[f"_f_{f}" for f in features], *[c.alias(f"_k{i}") for i, c in enumerate(key)])
     kind = touches.cold.schema[SESSION].dataType.simpleString()
     order = [f"_k{i}" for i in range(len(key))]

@@ -320,12 +320,16 @@ class Touches:
         return cold.unionByName(self._aggregate_hot(keys, columns))
 
     def attach(self, table: DataFrame, keys: Sequence[str]) -> "Touches":
-        """Left-join a table with one row per group to the rows."""
+        """Left-join a table with one row per group to the rows.
+
+        A row with a null key gets nulls, in both parts: unlike windows and aggregates, where null keys form a group,
+        labels belong to a named group only.
+        """
         cold = self.cold.join(table, list(keys), "left")
         if self.hot is None:
             return replace(self, cold=cold)
         start = replace(self, hot=self._stored_hot(), stored=True)
-        return replace(self, cold=cold, hot=start._attach_hot(table, keys), stored=False)
+        return replace(self, cold=cold, hot=start._attach_hot(table, keys, False), stored=False)
 
     def _aggregate_hot(self, keys, columns) -> DataFrame:
         plain = {n: s for n, s in columns.items() if not isinstance(s, Quantile)}
@@ -337,10 +341,11 @@ class Touches:
             table = _null_safe(table, found, keys, "left")
         return table.select(*keys, *columns)
 
-    def _attach_hot(self, table: DataFrame, keys) -> DataFrame:
+    def _attach_hot(self, table: DataFrame, keys, match_nulls: bool = True) -> DataFrame:
         hot = self.hot
         # the chunk in the join key spreads a large group over many tasks
-        pairs = _null_safe(hot.select(*keys, CHUNK).distinct(), table, keys, "left")
+        groups = hot.select(*keys, CHUNK).distinct()
+        pairs = _null_safe(groups, table, keys, "left") if match_nulls else groups.join(table, list(keys), "left")
         return _null_safe(hot, pairs, [*keys, CHUNK], "left").select(
             *hot.columns, *[c for c in table.columns if c not in keys])
 

@@ -23,10 +23,14 @@ def _pick(df: DataFrame, order: list[str]) -> DataFrame:
     return df.select(*(["session_id"] if "session_id" in df.columns else []), *keep)
 
 
-def coloring_output(df: DataFrame) -> DataFrame:
-    """Export columns of Coloring data (or of Tracing and untyped data sent down the same path)."""
+def coloring_output(df: DataFrame, data_type: str | None = None) -> DataFrame:
+    """Export columns of Coloring data (or of Tracing and untyped data sent down the same path).
+
+    With a ``data_type`` that decides; without one the columns do, which holds only for a table of one type, as
+    united tables have the columns of both.
+    """
     columns = set(df.columns)
-    if {"distance", "camFrame"} <= columns:
+    if data_type != "Coloring" and {"distance", "camFrame"} <= columns:
         return _pick(df, TRACING_FLAGGED_ORDER)
     if {"color", "completionPerc"} <= columns:
         by_touch = {"Touchdata_id", "event_index"} <= columns

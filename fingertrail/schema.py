@@ -47,6 +47,7 @@ SESSION_DOCUMENT = T.StructType([
         T.StructField("touchData", T.MapType(_S, T.ArrayType(EVENT_STRUCT))),
         T.StructField("startTime", _D),
         T.StructField("maxTapCount", _L),
+        T.StructField("partOffset", T.MapType(_S, _L)),  # event_index of a continued touch's first event
     ])),
     T.StructField("_corrupt_record", _S),
 ])

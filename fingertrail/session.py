@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,16 +24,32 @@ def build_session(app: str = "fingertrail", master: str | None = None, **conf: s
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which need not have it installed or run in its folder."""
+    if spark.conf.get("fingertrail.shipped", None):
+        return
+    folder = Path(__file__).resolve().parent
+    archive = shutil.make_archive(str(Path(tempfile.mkdtemp(prefix="fingertrail-")) / folder.name), "zip",
+                                  folder.parent, folder.name)
+    spark.sparkContext.addPyFile(archive)
+    spark.conf.set("fingertrail.shipped", "true")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
-    Only when the session names none (local runs and tests) is a temporary folder set.
+    Only when the session names none and all executors run on this machine (local runs and tests) is a temporary
+    folder set; on a cluster executors would each write to a disk of their own.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder and not is_local(context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not folder:
         folder = tempfile.mkdtemp(prefix="fingertrail-")
     if context.getCheckpointDir() is None:
@@ -39,6 +57,11 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process; local-cluster starts executors of their own."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -13,12 +13,15 @@ EVENT_COLUMNS = ["session_id", "Touchdata_id", "event_index", *[name for name, _
 def _explode_touches(documents: DataFrame, keep_own_ids: bool) -> DataFrame:
     """(session_id, json) -> one row per event.
 
-    The key of the map names the touch and stands in for a missing fingerId. With ``keep_own_ids``
+    The key of the map names the touch and stands in for a missing fingerId; a continued touch counts on from
+    its part offset. With ``keep_own_ids``
     an event's own Touchdata_id and event_index win over the key and the position.
     """
-    touches = documents.select("session_id", F.explode("json.touchData").alias("_key", "_events"))
-    events = touches.select("session_id", "_key", F.posexplode("_events").alias("_pos", "_e"))
-    touch, index = F.col("_key"), F.col("_pos").cast("long")
+    touches = documents.select("session_id", F.col("json.partOffset").alias("_offsets"),
+                               F.explode("json.touchData").alias("_key", "_events"))
+    start = F.coalesce(F.element_at("_offsets", F.col("_key")), F.lit(0))
+    events = touches.select("session_id", "_key", start.alias("_start"), F.posexplode("_events").alias("_pos", "_e"))
+    touch, index = F.col("_key"), F.col("_start") + F.col("_pos").cast("long")
     if keep_own_ids:
         touch = F.coalesce(F.col("_e.Touchdata_id"), touch)
         index = F.coalesce(F.col("_e.event_index"), index)

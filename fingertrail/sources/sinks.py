@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fingertrail.operators.groups import Position, RunningSum, Touches, split_sessions
-from fingertrail.operators.projections import coloring_output, subset_rules
+from fingertrail.operators.projections import coloring_output, subset_rules, tracing_output
 
 PART_EVENTS = 10_000       # events of one touch held in one array
 DOCUMENT_EVENTS = 100_000  # events of one session document
+FILE_ROWS = 5_000_000      # rows of one exported file
 
 
 def flat_events(df: DataFrame) -> DataFrame:
@@ -19,24 +20,29 @@ def flat_events(df: DataFrame) -> DataFrame:
     return df.select(*sorted(c for c in df.columns if c != "session_id"), "session_id")
 
 
-def write_events(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Flat event export, one folder per session, rows in time order inside each file.
+def write_events(df: DataFrame, path: str, fmt: str = "parquet", per_session: bool = False) -> None:
+    """Flat event export, rows by session and time inside each file.
 
-    Rows are spread by a salted session key: a large session is written by many tasks, and small ones
-    do not leave a file in every task.
+    Rows are laid out by ranges of (session, time) of equal size, so files hold about ``FILE_ROWS`` rows whatever
+    the sizes of sessions, and file statistics let readers find a session. ``per_session`` makes one
+    folder per session instead, for a small number of sessions.
     """
-    salted = df.withColumn("_salt", F.pmod(F.floor(F.col("time") / 1000.0), F.lit(64)))
-    (salted.repartition("session_id", "_salt").drop("_salt").transform(flat_events)
-     .sortWithinPartitions("session_id", "time")
-     .write.mode("errorifexists").partitionBy("session_id").option("header", True).format(fmt).save(path))
+    ordered = flat_events(df).repartitionByRange("session_id", "time").sortWithinPartitions("session_id", "time")
+    writer = ordered.write.mode("errorifexists").option("header", True).option("maxRecordsPerFile", FILE_ROWS).format(fmt)
+    (writer.partitionBy("session_id") if per_session else writer).save(path)
 
 
 def write_flagged(events: DataFrame, metrics: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Flagged export: events and metrics as two tables."""
-    coloring_output(events).write.option("header", True).format(fmt).save(f"{path}/events")
+    """Flagged export of Coloring data: events and metrics as two tables."""
+    coloring_output(events, "Coloring").write.option("header", True).format(fmt).save(f"{path}/events")
     metrics.drop("hasCanceled").write.option("header", True).format(fmt).save(f"{path}/metrics")
 
 
+def write_tracing(events: DataFrame, path: str, fmt: str = "csv") -> None:
+    """Export of labelled Tracing data: one table, no sequence numbers, no metrics."""
+    tracing_output(events).write.option("header", True).format(fmt).save(f"{path}/events")
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Summary, contradiction and consistency reports: one row per session or per finding."""
     df.write.option("header", True).format(fmt).save(path)
@@ -47,7 +53,7 @@ def paste_side_by_side(events: Touches, metrics: DataFrame, order: Sequence[str]
     """Metrics beside events, matched by position in the session; surplus metric rows are cut off,
     as the pasted file has as many rows as the session has events."""
     left = events.arrange(["session_id"], list(order)).running(_pos=Position()).rows()
-    kept = [c for c in coloring_output(left).columns if c != "session_id"]
+    kept = [c for c in coloring_output(left, "Coloring").columns if c != "session_id"]
     right = (split_sessions(metrics.drop("hasCanceled"), events.hot_rows, events.at_most)
              .arrange(["session_id"], ["fingerId", "seqId"]).running(_pos=Position()).rows())
     names = [c for c in right.columns if c not in ("session_id", "_pos")]
@@ -66,17 +72,22 @@ def touch_parts(df: DataFrame, columns: Sequence[str], part_events: int = PART_E
     keyed = df.filter(F.col("Touchdata_id").isNotNull()).withColumn(
         "part", F.floor(F.col("event_index") / part_events).cast("long"))
     grouped = keyed.groupBy("session_id", "Touchdata_id", "part").agg(
-        F.count(F.lit(1)).alias("n_events"),
+        F.count(F.lit(1)).alias("n_events"), F.min("event_index").alias("first_index"),
         F.array_sort(F.collect_list(F.struct("event_index", F.struct(*columns).alias("e")))).alias("_events"),
         *[column.alias(name) for name, column in (extra or {}).items()])
     return grouped.withColumn("events", F.transform("_events", lambda e: e["e"])).drop("_events")
 
 
 def touch_documents(df: DataFrame, columns: Sequence[str], part_events: int = PART_EVENTS) -> DataFrame:
-    """One JSON document per touch part, in the shape of a session document; nulls are left out."""
+    """One JSON document per touch part, in the shape of a session document; nulls are left out.
+
+    A later part names its first event_index as ``partOffset`` of the touch, so indexes go on when read.
+    """
     parts = touch_parts(df, columns, part_events)
-    body = F.create_map(F.col("Touchdata_id").cast("string"), F.col("events"))
-    document = F.to_json(F.struct(F.struct(body.alias("touchData")).alias("json")))
+    touch = F.col("Touchdata_id").cast("string")
+    body = F.create_map(touch, F.col("events"))
+    offset = F.when(F.col("first_index") > 0, F.create_map(touch, F.col("first_index")))
+    document = F.to_json(F.struct(F.struct(body.alias("touchData"), offset.alias("partOffset")).alias("json")))
     return parts.select("session_id", "Touchdata_id", "part", "n_events", document.alias("document"))
 
 
@@ -86,7 +97,8 @@ def session_documents(df: DataFrame, columns: Sequence[str], document_events: in
     """Session documents with all touches of the session.
 
     A session above ``document_events`` events continues in further documents (``document_no``), so a
-    document stays bounded and nothing is cut.
+    document stays bounded and nothing is cut. A touch that goes on in a further document has its first
+    event_index there as ``partOffset``.
     """
     parts = touch_parts(df, columns, part_events)
     placed = (split_sessions(parts, hot_rows, at_most).arrange(["session_id"], ["Touchdata_id", "part"])
@@ -95,15 +107,18 @@ def session_documents(df: DataFrame, columns: Sequence[str], document_events: in
         "document_no", F.floor((F.col("_upto") - F.col("n_events")) / document_events).cast("long"))
     # a touch with several parts in one document gets one entry again
     per_touch = placed.groupBy("session_id", "document_no", "Touchdata_id").agg(
-        F.sum("n_events").alias("n_events"),
+        F.sum("n_events").alias("n_events"), F.min("first_index").alias("first_index"),
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", "events"))),
                               lambda p: p["events"])).alias("events"))
-    entries = F.collect_list(F.struct(F.col("Touchdata_id").cast("string"), "events"))
+    touch = F.col("Touchdata_id").cast("string")
+    entries = F.collect_list(F.struct(touch, "events"))
+    offsets = F.collect_list(F.when(F.col("first_index") > 0, F.struct(touch, "first_index")))
     return (per_touch.groupBy("session_id", "document_no")
             .agg(F.sum("n_events").alias("n_events"), F.count(F.lit(1)).alias("touches"),
-                 F.map_from_entries(entries).alias("touchData"))
+                 F.map_from_entries(entries).alias("touchData"),
+                 F.when(F.size(offsets) > 0, F.map_from_entries(offsets)).alias("partOffset"))
             .select("session_id", "document_no", "n_events", "touches",
-                    F.to_json(F.struct(F.struct("touchData").alias("json"))).alias("document")))
+                    F.to_json(F.struct(F.struct("touchData", "partOffset").alias("json"))).alias("document")))
 
 
 def write_subsets(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +13,7 @@ from pyspark.sql import types as T
 _DOUBLES = {"x", "y", "time", "accx", "accy", "accz", "completionPerc", "distance", "startTime",
             "endTime", "durationSec", "totalDistance", "ml_quality_score", "temporal_consistency",
             "spatial_consistency", "velocity", "time_diff", "anomaly_score"}
-_LONGS = {"Touchdata_id", "event_index", "camFrame", "seqId", "nPoints", "quality_score"}
+_LONGS = {"event_id", "Touchdata_id", "event_index", "camFrame", "seqId", "nPoints", "quality_score"}
 _BOOLEANS = {"isDragging"}
 
 
@@ -34,13 +37,21 @@ def _file_name() -> F.Column:
                             r"\.csv$", "")
 
 
-def csv_header(spark: SparkSession, path: str, comment: str | None = None) -> list[str]:
-    """Column names of the first file: one line is read."""
-    lines = spark.read.text(path, pathGlobFilter="*.csv")
+def csv_headers(spark: SparkSession, path: str, comment: str | None = None, file_glob: str = "*.csv") -> dict[tuple[str, ...], list[str]]:
+    """The files of a folder by their header's column names.
+
+    A file's first line is the one of smallest number in the task that reads the file's start, so this is a scan with
+    a combinable minimum. The result names every file once, as Spark's own file listing on the driver does.
+    """
+    lines = spark.read.text(path, pathGlobFilter=file_glob).filter(F.col("_metadata.file_block_start") == 0)
     if comment:
         lines = lines.filter(~F.col("value").startswith(comment))
-    first = lines.first()
-    return [] if first is None else first[0].split(",")
+    first = (lines.select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n"))
+             .groupBy("file").agg(F.min_by("value", "n").alias("header")))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect():
+        found.setdefault(tuple(next(csv.reader([row.header]), [])), []).extend(row.files)
+    return found
 
 
 def read_event_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
@@ -48,18 +59,26 @@ def read_event_csv(spark: SparkSession, path: str, columns: list[str] | None = N
                    session_column: str | None = None) -> DataFrame:
     """Event rows of all matching files of a folder; each file is a session, or a column names it.
 
-    Files of one call share a column list: ``columns``, or the header of the first file. Rows are not
-    sorted here; every ordered operation states its own order.
+    Each file is read by its own header: files of one header share a reader, and the tables are united
+    by name. With ``columns`` all files have these. Rows are not sorted here; every ordered operation
+    states its own order.
     """
-    names = columns or csv_header(spark, path, comment)
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    reader = (spark.read.schema(schema).option("header", header).option("enforceSchema", True)
-              .option("pathGlobFilter", file_glob).option("mode", "PERMISSIVE"))
-    if comment:
-        reader = reader.option("comment", comment)
-    rows = reader.csv(path)
-    session = _file_name() if session_column is None else F.col(session_column)
-    return _typed(rows.withColumn("session_id", session))
+    def read(names: list[str], files: str | list[str]) -> DataFrame:
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        reader = (spark.read.schema(schema).option("header", header).option("enforceSchema", True)
+                  .option("pathGlobFilter", file_glob).option("mode", "PERMISSIVE"))
+        if comment:
+            reader = reader.option("comment", comment)
+        session = _file_name() if session_column is None else F.col(session_column)
+        return _typed(reader.csv(files).withColumn("session_id", session))
+
+    if columns:
+        return read(columns, path)
+    layouts = csv_headers(spark, path, comment, file_glob)
+    if not layouts:
+        return read(["touchPhase", *([session_column] if session_column else [])], path)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                  [read(list(names), files) for names, files in layouts.items()])
 
 
 def read_commented_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

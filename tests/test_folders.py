@@ -1,5 +1,6 @@
 """Folder scans: one file per session, broken files, and the complete CSV job."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from fingertrail.plans.directory import process_csv_folder
@@ -38,3 +39,66 @@ def test_comment_lines(spark, tmp_path):
     (tmp_path / "a.csv").write_text("# made by a tool\n# on a day\nTouchdata_id,x,touchPhase\n1,2.5,Began\n")
     row = tables.read_commented_csv(spark, str(tmp_path)).first()
     assert (row.session_id, row.Touchdata_id, row.x, row.touchPhase) == ("a", 1, 2.5, "Began")
+
+
+def test_each_file_by_its_own_header(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "Coloring_a.csv").write_text("Touchdata_id,event_index,fingerId,time,touchPhase,x,y,color,completionPerc,zone\n" + "\n".join(
+        f"1,{i},0,{i / 10},{p},{i * 5},{i},Red,{i},Wall" for i, p in enumerate(["Began", "Moved", "Moved", "Ended"])))
+    (source / "Coloring_c.csv").write_text("x,y,time,touchPhase,\"color\",completionPerc,zone,fingerId,event_index,Touchdata_id\n" + "\n".join(
+        f"{i * 5},{i},{i / 10},{p},Red,{i},Wall,0,{i},7" for i, p in enumerate(["Began", "Moved", "Moved", "Ended"])))
+    (source / "Tracing_b.csv").write_text("fingerId,x,y,time,touchPhase,distance,camFrame,isDragging,zone\n" + "\n".join(
+        f"0,{i * 5},{i},{i / 10},{p},{i},{i},true,Wall" for i, p in enumerate(["B", "M", "M", "E"])))
+    summary = {r.filename: r for r in process_csv_folder(spark, str(source), str(tmp_path / "out"), "simple").collect()}
+    assert {k: (r.data_type, r.total_rows, r.flagged_rows) for k, r in summary.items()} == {
+        "Coloring_a": ("Coloring", 4, 0), "Coloring_c": ("Coloring", 4, 0), "Tracing_b": ("Tracing", 4, 0)}
+    traced = spark.read.option("header", True).csv(str(tmp_path / "out/tracing/events"))
+    assert traced.columns == ["session_id", "fingerId", "x", "y", "time", "touchPhase", "distance", "camFrame", "isDragging", "zone", "flags",
+                              "quality_score", "interaction_type", "anomaly_flag", "research_suitability"]
+    assert traced.filter("quality_score is null").count() == 0
+
+
+def test_document_folder_by_type(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+
+    def session(name, phases, extra):
+        events = ",".join(f'{{"x": {i}.0, "y": 2.0, "time": {i / 10}, "touchPhase": "{p}", "fingerId": 0, {extra}}}' for i, p in enumerate(phases))
+        (source / f"{name}.json").write_text(f'{{"message": "ok", "json": {{"touchData": {{"1": [{events}]}}}}}}')
+
+    session("Coloring_x", ["Began", "Moved", "Moved", "Ended"], '"color": "Red", "completionPerc": 1.0, "zone": "Wall"')
+    session("Tracing_y", ["B", "M", "E"], '"distance": 1.5, "camFrame": 3, "isDragging": true, "zone": "Wall"')
+    from fingertrail.plans.directory import process_document_folder
+    summary = {r.filename: r.data_type for r in process_document_folder(spark, str(source), str(tmp_path / "out"), "simple").collect()}
+    assert summary == {"Coloring_x": "Coloring", "Tracing_y": "Tracing"}
+    events = spark.read.option("header", True).csv(str(tmp_path / "out/coloring/events"))
+    assert {"Touchdata_id", "event_index", "color", "completionPerc", "research_suitability"} <= set(events.columns)
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark):
+    from fingertrail.session import is_local, shared_dir
+    assert is_local("local[8]") and is_local("local") and not is_local("local-cluster[2,1,1024]") and not is_local("yarn")
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "yarn"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Cluster)
+
+
+def test_labels_of_null_keys_do_not_depend_on_size(spark):
+    from fingertrail.operators.groups import split_sessions
+    rows = spark.createDataFrame([(1, "a" if k % 2 else None, k) for k in range(8)], "session_id long, key string, k long")
+    names = spark.createDataFrame([(1, "a", "yes"), (1, None, "no")], "session_id long, key string, label string")
+    found = []
+    for limit in (100, 3):
+        parts = split_sessions(rows, limit)
+        assert (parts.hot is None) == (limit == 100)
+        found.append(sorted((r.k, r.label) for r in parts.attach(names, ["session_id", "key"]).rows().collect()))
+    assert found[0] == found[1] == [(k, "yes" if k % 2 else None) for k in range(8)]
