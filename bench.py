@@ -17,7 +17,8 @@ from fingertrail.session import build_session  # noqa: E402
 HEADLINE = ["corpus_summary", "coloring_segmentation", "tracing_segmentation", "coloring_sequence_flags",
             "tracing_row_flags", "session_type_detection", "completeness", "sequence_quality_features",
             "sequence_feature_table", "sequence_quality", "consolidated_labels", "statistical_outliers",
-            "flagged_row_ranges", "csv_event_scan", "json_session_scan"]
+            "flagged_row_ranges", "csv_event_scan", "json_session_scan", "mixed_folder_job", "nearest_imputation",
+            "isolation_forest", "density_clusters"]
 
 
 def main() -> None:
