@@ -64,6 +64,37 @@ def nearest_imputation_cells(spark, sf_dir):
     return out(rows, {"completionPerc": 6, "imputed": None})
 
 
+_WIDE = TOUCH + """,
+gaps AS (SELECT * REPLACE (CASE WHEN event_id % 17 = 0 OR Touchdata_id % 9 = 0 THEN NULL ELSE completionPerc END AS completionPerc,
+                           CASE WHEN event_id % 23 = 0 THEN NULL ELSE x END AS x, CASE WHEN event_id % 29 = 0 THEN NULL ELSE y END AS y) FROM touch),
+enc AS (SELECT *, dense_rank() OVER (PARTITION BY session_id ORDER BY touchPhase) - 1 AS pe,
+          dense_rank() OVER (PARTITION BY session_id ORDER BY color) - 1 AS ce, dense_rank() OVER (PARTITION BY session_id ORDER BY zone) - 1 AS ze,
+          coalesce(time - lag(time) OVER f, 0) AS dt,
+          sqrt(power(coalesce(x - lag(x) OVER f, 0), 2) + power(coalesce(y - lag(y) OVER f, 0), 2)) AS dd
+        FROM gaps WINDOW f AS (PARTITION BY session_id, fingerId ORDER BY time, event_id)),
+terms AS (SELECT q.event_id, d.event_id AS did, c.name, CASE c.name WHEN 'x' THEN d.x WHEN 'y' THEN d.y ELSE d.completionPerc END AS given,
+            [power(q.x - d.x, 2), power(q.y - d.y, 2), power(q.time - d.time, 2), power(q.completionPerc - d.completionPerc, 2), power(q.pe - d.pe, 2),
+             power(q.ce - d.ce, 2), power(q.ze - d.ze, 2), power(q.dt - d.dt, 2), power(q.dd - d.dd, 2)] AS parts
+          FROM enc q JOIN enc d ON q.session_id = d.session_id AND q.event_id <> d.event_id, (VALUES ('x'), ('y'), ('completionPerc')) c(name)
+          WHERE (c.name = 'x' AND q.x IS NULL AND d.x IS NOT NULL) OR (c.name = 'y' AND q.y IS NULL AND d.y IS NOT NULL)
+             OR (c.name = 'completionPerc' AND q.completionPerc IS NULL AND d.completionPerc IS NOT NULL)),
+pairs AS (SELECT event_id, did, name, given, sqrt(9.0 / list_count(parts) * list_sum(parts)) AS dist FROM terms),
+best AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY event_id, name ORDER BY dist, did) <= 5),
+filled AS (SELECT event_id, name, sum(given / dist) / sum(1 / dist) AS v FROM best GROUP BY event_id, name)"""
+
+
+@query("nearest_imputation_columns", sql(_WIDE, f"""
+SELECT g.event_id, {t('coalesce(g.x, fx.v)')} AS x, {t('coalesce(g.y, fy.v)')} AS y, {t('coalesce(g.completionPerc, fc.v)')} AS completionPerc
+FROM gaps g LEFT JOIN filled fx ON fx.event_id = g.event_id AND fx.name = 'x' LEFT JOIN filled fy ON fy.event_id = g.event_id AND fy.name = 'y'
+  LEFT JOIN filled fc ON fc.event_id = g.event_id AND fc.name = 'completionPerc'"""))
+def nearest_imputation_columns(spark, sf_dir):
+    """All columns that lack values: coordinates too, and whole touches without any completion value."""
+    holes = touch_view(spark, sf_dir).with_columns(
+        completionPerc=F.when((F.col("event_id") % 17 > 0) & (F.col("Touchdata_id") % 9 > 0), F.col("completionPerc")),
+        x=F.when(F.col("event_id") % 23 > 0, F.col("x")), y=F.when(F.col("event_id") % 29 > 0, F.col("y")))
+    return out(neighbours.impute_nearest(holes, cell_rows=1500).rows(), {"x": 6, "y": 6, "completionPerc": 6})
+
+
 def touch_points(spark, sf_dir):
     """One row per touch with four features, and the bound on their number."""
     touches = touch_view(spark, sf_dir)

@@ -6,8 +6,9 @@ distance of its k-th neighbour; it then visits only the cells whose box lies wit
 are compared in two levels (blocks of cells, then cells). Only the best k of a visit leave the task.
 
 Equal points must be merged by the caller (``weight`` = number of copies), so that copies, however many,
-are one point. Missing values are allowed in ``features`` but not in ``axes``, the features used for the
-boxes: the distance over shared features, scaled up for missing ones, is never below that over the axes.
+are one point. Missing values are allowed: the distance over shared features, scaled up for missing ones, is
+never below that over the ``axes`` (the features used for the boxes) that both points have. Points that lack
+the same axes lie together; a cell that lacks an axis for some point is unbounded along it.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -24,6 +25,7 @@ from fingertrail.operators.groups import CHUNK, SESSION, _range_chunks
 from fingertrail.session import store
 
 CELL_ROWS = 4000
+TASK_ROWS = 2_000_000  # rows that one task cuts into cells, so the driver plans few partitions
 BLOCK = 500       # cells per block in the first box comparison
 _SCHEMA = "nid long, dist double, copies long"
 
@@ -46,21 +48,45 @@ def _z_order(scaled: pd.Series) -> pd.Series:
 def cells_of(points: DataFrame, axes: list[str], cell_rows: int = CELL_ROWS,
              at_most: int | None = None) -> DataFrame:
     """Points with their cell in column ``_chunk``; a table that fits one cell needs no layout."""
-    if (points.count() if at_most is None else at_most) <= cell_rows:
-        return points.withColumn(CHUNK, F.lit(0))
+    rows = points.count() if at_most is None else at_most
+    if rows <= cell_rows:
+        return points.withColumn(CHUNK, F.lit(0).cast("long"))
     spans = points.groupBy(SESSION).agg(
         *[F.min(a).alias(f"_lo_{a}") for a in axes], *[F.max(a).alias(f"_hi_{a}") for a in axes])
     joined = points.join(spans, SESSION)
     scaled = F.array(*[F.coalesce(F.try_divide(F.col(a) - F.col(f"_lo_{a}"), F.col(f"_hi_{a}") - F.col(f"_lo_{a}")),
                                   F.lit(0.0)) for a in axes])
-    coded = joined.select(*points.columns, _z_order(scaled).alias("_z"))
-    return _range_chunks(coded, [SESSION], ["_z", "pid"], cell_rows).drop("_z")
+    lacks = reduce(lambda a, b: a + b, [F.col(a).isNull().cast("int") * 2 ** i for i, a in enumerate(axes)])
+    coded = joined.select(*points.columns, lacks.alias("_lacks"), _z_order(scaled).alias("_z"))
+    order = ["_lacks", "_z", "pid"]
+    pieces = max(-(-rows // TASK_ROWS), min(-(-rows // cell_rows), points.sparkSession.sparkContext.defaultParallelism))
+    ranged = _range_chunks(coded, [SESSION], order, -(-rows // pieces), rows)
+    place = F.row_number().over(Window.partitionBy(SESSION, CHUNK).orderBy(*order)) - 1
+    cell = F.col(CHUNK).cast("long") * (2 ** 31) + F.floor(place / cell_rows)
+    return store(ranged.withColumn(CHUNK, cell).drop("_lacks", "_z"))
 
 
 def _boxes(cells: DataFrame, axes: list[str]) -> DataFrame:
+    """Extent of each cell; without limit along an axis that a point of it lacks."""
+    def side(pick, a, limit):
+        return F.when(F.count(a) < F.count(F.lit(1)), F.lit(limit)).otherwise(pick(a))
+
     return cells.groupBy(SESSION, CHUNK).agg(
-        *[F.min(a).alias(f"lo_{a}") for a in axes], *[F.max(a).alias(f"hi_{a}") for a in axes],
-        F.sum("weight").alias("_points"))
+        *[side(F.min, a, float("-inf")).alias(f"lo_{a}") for a in axes],
+        *[side(F.max, a, float("inf")).alias(f"hi_{a}") for a in axes])
+
+
+def _full_cells(cells: DataFrame, features: list[str], k: int) -> DataFrame:
+    """For each cell the nearest cell along the curve with more than k donors, and where its values lie (f_lo, f_hi)."""
+    sides = [F.min(f).alias(f"f_lo_{f}") for f in features] + [F.max(f).alias(f"f_hi_{f}") for f in features]
+    table = cells.groupBy(SESSION, CHUNK).agg(F.sum(F.when(F.col("gives"), F.col("weight"))).alias("_points"))
+    donors = cells.filter("gives").groupBy(SESSION, CHUNK).agg(*sides)
+    names = [f"f_{s}_{f}" for s in ("lo", "hi") for f in features]
+    full = F.when(F.col("_points") > k, F.struct(*names))
+    along = Window.partitionBy(SESSION).orderBy(CHUNK)
+    before = F.last(full, ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    after = F.first(full, ignorenulls=True).over(along.rowsBetween(0, Window.unboundedFollowing))
+    return table.join(donors, [SESSION, CHUNK], "left").select(SESSION, CHUNK, F.coalesce(before, after).alias("_full"))
 
 
 def _gap(a: str, left: str, right: str) -> Column:
@@ -145,7 +171,7 @@ def nearest(points: DataFrame, features: list[str], axes: list[str], k: int,
     names = list(dict.fromkeys([SESSION, "pid", "weight", "asks", "gives", *features, *axes]))
     cells = cells_of(points.select(*names), axes, cell_rows, at_most)
     kind = points.schema[SESSION].dataType.simpleString()
-    schema = f"{SESSION} {kind}, {CHUNK} int, pid long, {_SCHEMA}"
+    schema = f"{SESSION} {kind}, {CHUNK} long, pid long, {_SCHEMA}"
 
     def own(pdf: pd.DataFrame) -> pd.DataFrame:
         found = _best(pdf[pdf["asks"]], pdf[pdf["gives"]], features, k)
@@ -161,21 +187,19 @@ def nearest(points: DataFrame, features: list[str], axes: list[str], k: int,
            .filter(F.col("_cells") > 1).select(SESSION))
     asking = cells.filter("asks").join(cut, SESSION, "left_semi")
     bound = local.groupBy(SESSION, "pid").agg(F.sum("copies").alias("_found"), F.max("dist").alias("_kth"))
-    # a point with fewer than k neighbours in its cell is bounded by the far corner of a full cell
+    # a point with fewer than k neighbours in its cell is bounded by a full cell near it: the scaled distance to a
+    # donor there is at most the largest gap of a shared feature times the root of the number of features
     givers = _boxes(cells.filter("gives"), axes)
-    full = givers.filter(F.col("_points") > k).groupBy(SESSION).agg(
-        *[F.min_by(f"{s}_{a}", CHUNK).alias(f"{s}_{a}") for s in ("lo", "hi") for a in axes])
-    corner = F.sqrt(reduce(lambda p, q: p + q, [
-        F.pow(F.greatest(F.abs(F.col(a) - F.col(f"lo_{a}")), F.abs(F.col(a) - F.col(f"hi_{a}"))), 2) for a in axes]))
-    # the corner bounds the axes only; with further features it is no bound, so all cells are visited
-    far = F.coalesce(corner, F.lit(float("inf"))) if set(features) == set(axes) else F.lit(float("inf"))
+    gaps = [F.coalesce(F.greatest(F.abs(F.col(f) - F.col(f"_full.f_lo_{f}")), F.abs(F.col(f) - F.col(f"_full.f_hi_{f}"))), F.lit(0.0))
+            for f in features]
+    far = F.when(F.col("_full").isNotNull(), reduce(F.greatest, gaps) * len(features) ** 0.5).otherwise(F.lit(float("inf")))
     radius = F.when(F.coalesce("_found", F.lit(0)) >= k, F.col("_kth")).otherwise(far)
-    asking = (asking.join(bound, [SESSION, "pid"], "left").join(full, SESSION, "left")
+    asking = (asking.join(bound, [SESSION, "pid"], "left").join(_full_cells(cells, features, k), [SESSION, CHUNK], "left")
               .withColumn("radius", radius).select(*cells.columns, "radius"))
     pairs = _near_cells(asking, givers.unionByName(
         _boxes(cells.filter("asks"), axes).join(givers.select(SESSION, CHUNK), [SESSION, CHUNK], "left_anti")), axes)
-    gap2 = reduce(lambda p, q: p + q, [
-        F.pow(F.greatest(F.lit(0.0), F.col(f"lo_{a}") - F.col(a), F.col(a) - F.col(f"hi_{a}")), 2) for a in axes])
+    gap2 = reduce(lambda p, q: p + q, [F.coalesce(
+        F.pow(F.greatest(F.lit(0.0), F.col(f"lo_{a}") - F.col(a), F.col(a) - F.col(f"hi_{a}")), 2), F.lit(0.0)) for a in axes])
     visits = (asking.join(pairs, [SESSION, CHUNK]).filter(gap2 <= F.col("radius") * F.col("radius"))
               .select(SESSION, F.col("_to").alias(CHUNK), "pid", "weight", *[f for f in features]))
     # many visitors of one cell are spread over copies of the cell
@@ -200,7 +224,6 @@ def nearest(points: DataFrame, features: list[str], axes: list[str], k: int,
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
-    from pyspark.sql import Window
     window = Window.partitionBy(SESSION, "pid").orderBy("dist", "nid")
     before = F.coalesce(F.sum("copies").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return (found.withColumn("_before", before).filter(F.col("_before") < k)

@@ -29,11 +29,12 @@ def cleaning_features(touches: Touches) -> tuple[Touches, list[str]]:
     return rows, [*numeric, *[f"{c}_encoded" for c in categories], "_dt", "_dd"]
 
 
-def impute_nearest(touches: Touches, row_id: str = "event_id", columns: tuple[str, ...] = ("completionPerc",),
+def impute_nearest(touches: Touches, row_id: str = "event_id", columns: tuple[str, ...] | None = None,
                    k: int = 5, cell_rows: int = CELL_ROWS, features: list[str] | None = None) -> Touches:
     """Fill missing values with the distance-weighted mean of the k nearest events of the session.
 
-    Distances use all cleaning features present on both events. A neighbour at distance 0 decides alone.
+    Without ``columns`` these are all numeric columns that lack a value somewhere, coordinates included; each is
+    filled from events that have it, by the values as they were. Distances use all cleaning features present on both events. A neighbour at distance 0 decides alone.
     Rows that carry the features already are given with their names.
     """
     described = features is not None
@@ -42,7 +43,10 @@ def impute_nearest(touches: Touches, row_id: str = "event_id", columns: tuple[st
         rows, features = cleaning_features(touches)
         rows = rows.materialise()  # read for points, donors and the result
     imputed = F.lit(False)
-    for name in [c for c in columns if c in touches.columns]:
+    wanted = [c for c in (NUMERIC if columns is None else columns) if c in touches.columns]
+    lacking = rows.rows().agg(F.lit(0).alias("_"), *[F.count_if(F.col(c).isNull()).alias(c) for c in wanted]).first()
+    columns = [c for c in wanted if lacking[c]]
+    for name in columns:
         points = rows.rows().select(
             SESSION, F.col(row_id).cast("long").alias("pid"), F.lit(1).cast("long").alias("weight"),
             F.col(name).isNull().alias("asks"), F.col(name).isNotNull().alias("gives"),
@@ -58,7 +62,7 @@ def impute_nearest(touches: Touches, row_id: str = "event_id", columns: tuple[st
         rows = rows.with_columns(_pid=F.col(row_id).cast("long")).attach(filled, [SESSION, "_pid"]).drop("_pid")
         imputed = imputed | (F.col(name).isNull() & F.col(f"_new_{name}").isNotNull())
     rows = rows.with_columns(imputed=imputed)
-    rows = rows.with_columns(**{name: F.coalesce(name, f"_new_{name}") for name in columns if name in touches.columns})
+    rows = rows.with_columns(**{name: F.coalesce(name, f"_new_{name}") for name in columns})
     rows = rows.drop(*[f"_new_{c}" for c in columns])
     return rows if described else rows.drop(*[f for f in features if f not in touches.columns])
 

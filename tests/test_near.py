@@ -22,6 +22,28 @@ def test_nearest_equals_brute_force(spark):
         assert sorted(got[i]) == want, i
 
 
+def test_missing_values_and_extra_features(spark):
+    rng = np.random.default_rng(5)
+    data = np.r_[rng.normal(size=(160, 3)), rng.normal(size=(60, 3)) * 0.01 + 5]
+    data[rng.random(data.shape) < 0.1] = np.nan
+    data[100:140, 0] = np.nan
+    gives = rng.random(len(data)) < 0.7
+    gives[:40] = False  # whole stretches without donors
+    rows = [(1, i, 1, True, bool(g), *(None if np.isnan(v) else float(v) for v in row)) for i, (row, g) in enumerate(zip(data, gives))]
+    df = spark.createDataFrame(rows, "session_id long, pid long, weight long, asks boolean, gives boolean, a double, b double, c double")
+    got = {}
+    for r in nearest(df, ["a", "b", "c"], ["a", "b"], 4, cell_rows=25).collect():
+        got.setdefault(r.pid, []).append(round(r.dist, 9))
+    for i in range(len(data)):
+        gap = (data[i] - data) ** 2
+        shared = (~np.isnan(gap)).sum(1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            dist = np.where(shared > 0, np.sqrt(np.nansum(gap, axis=1) * 3 / shared), np.inf)
+        dist[~gives] = np.inf
+        dist[i] = np.inf
+        assert np.allclose(sorted(got.get(i, [])), np.sort(dist[np.isfinite(dist)])[:4]), i
+
+
 def test_dbscan_clusters(spark):
     rng = np.random.default_rng(2)
     data = np.r_[rng.normal(size=(60, 2)) * 0.2, rng.normal(size=(60, 2)) * 0.2 + 4, rng.uniform(-6, 10, size=(15, 2))]
