@@ -275,20 +275,13 @@ def scaler_comparison(spark, sf_dir):
     return out(lines, {"mean_variance": 5, "max_variance": 5, "mean_absolute_mean": 5, "condition_number": 4}, ("scaler",))
 
 
+EVENT_FEATURES = ["x", "y", "time", "completionPerc"]
+
+
 def _anomaly_lines(spark, sf_dir):
     touches = touch_view(spark, sf_dir)
-    rows = features.spatial_features(features.temporal_features(touches))
-    table, bound = touch_points(spark, sf_dir)
-    found = {
-        "statistical": anomaly.statistical_outliers(rows, ["x", "time_diff", "distance"]).rows(),
-        "isolation_forest": forest.isolation_forest(touches, ["x", "y", "time", "completionPerc"]).rows(),
-        "covariance": anomaly.covariance_distance(rows, ["distance", "time_diff"]).rows(),
-        "lof": neighbours.local_outlier_factor(table, "Touchdata_id", ["mean_x", "mean_y", "duration"], at_most=bound)}
-    lines = None
-    for name, marked in found.items():
-        line = cluster.anomaly_comparison_line(marked, name)
-        lines = line if lines is None else lines.unionByName(line)
-    return lines
+    scaler = compare.best_scaler(touches.rows(), EVENT_FEATURES, touches.hot_rows, touches.at_most)
+    return compare.compare_detectors(*compare.scaled_copies(touches, EVENT_FEATURES, scaler))
 
 
 @query("anomaly_comparison")
@@ -299,11 +292,47 @@ def anomaly_comparison(spark, sf_dir):
 
 @query("advanced_anomalies")
 def advanced_anomalies(spark, sf_dir):
-    """Marks of the best detector by the comparison, chosen at run time."""
-    touches = touch_view(spark, sf_dir)
-    best = compare.best_detector(touches, ["x", "y", "time", "completionPerc"])
-    rows = compare.detect_with(touches, best, ["x", "y", "time", "completionPerc"]).rows()
-    return rows.groupBy("session_id", "anomaly_type").agg(F.count(F.lit(1)).alias("events"))
+    """Marks of the best detector on the best scaling, both chosen by their comparisons at run time."""
+    rows, scaler, detector = compare.advanced_anomalies(touch_view(spark, sf_dir), EVENT_FEATURES)
+    return rows.rows().groupBy("session_id", "anomaly_type").agg(F.count(F.lit(1)).alias("events")).withColumns(
+        {"scaler": F.lit(scaler), "detector": F.lit(detector)})
+
+
+# rows above the interpolated 0.9 quantile of distinct scores
+_TENTH = "count(*) - 1 - CAST(floor(0.9 * (count(*) - 1)) AS BIGINT)"
+
+
+@query("isolation_forest_shares", sql(TOUCH, f"""
+SELECT session_id, count(*) AS events, {_TENTH} AS outliers, TRUE AS in_range FROM touch GROUP BY session_id"""))
+def isolation_forest_shares(spark, sf_dir):
+    """What holds for any forest: a tenth of each session's events are outliers, and scores lie between 0 and 1."""
+    rows = forest.isolation_forest(touch_view(spark, sf_dir), EVENT_FEATURES).rows()
+    return rows.groupBy("session_id").agg(
+        F.count(F.lit(1)).alias("events"), F.count_if(F.col("anomaly_type") == "outlier").alias("outliers"),
+        F.bool_and(F.col("anomaly_score").between(0, 1)).alias("in_range"))
+
+
+@query("basic_cleaning_counts", sql(TOUCH, f"""
+SELECT session_id, count(*) AS events, count(*) FILTER (event_id % 17 = 0) AS imputed, 0::BIGINT AS invalid, 0::BIGINT AS duplicates,
+       {_TENTH.replace("0.9", "0.95")} AS outliers FROM touch GROUP BY session_id"""))
+def basic_cleaning_counts(spark, sf_dir):
+    """Counts of the four cleaning marks that hold for any forest."""
+    rows = anomaly.basic_cleaning(_gapped(spark, sf_dir)).rows()
+    return rows.groupBy("session_id").agg(F.count(F.lit(1)).alias("events"), *[
+        F.count_if(F.col(c)).alias(n) for c, n in (("imputed", "imputed"), ("invalid_phase", "invalid"), ("duplicate", "duplicates"), ("outlier", "outliers"))])
+
+
+@query("clustering_totals", sql(TOUCH, """
+SELECT how, count(*) AS touches FROM (SELECT DISTINCT session_id, Touchdata_id FROM touch), (VALUES ('kmeans'), ('gaussian_mixture'), ('bisecting')) v(how)
+GROUP BY how"""))
+def clustering_totals(spark, sf_dir):
+    """Every touch is in exactly one cluster, whatever the clustering."""
+    points, result = scaled_points(spark, sf_dir), None
+    for how in ("kmeans", "gaussian_mixture", "bisecting"):
+        rows = cluster.cluster(points, CLUSTER_FEATURES, how).filter("cluster >= 0")
+        line = rows.select(*TOUCH_KEYS).distinct().agg(F.count(F.lit(1)).alias("touches")).select(F.lit(how).alias("how"), "touches")
+        result = line if result is None else result.unionByName(line)
+    return result
 
 
 @query("clustering_comparison")
@@ -314,9 +343,10 @@ def clustering_comparison(spark, sf_dir):
 
 @query("algorithm_advice")
 def algorithm_advice(spark, sf_dir):
-    """The best scaler and clustering with their scores."""
+    """The best scaler, detector and clustering with their scores."""
     table, bound = touch_points(spark, sf_dir)
     scalers = cluster.compare_scalers(table, CLUSTER_FEATURES, HOT_ROWS_DEFAULT, bound)
     clusterings = compare.compare_clusterings(scaled_points(spark, sf_dir), "Touchdata_id", CLUSTER_FEATURES)
     return cluster.recommendations(scalers, "scaler", "scaler").unionByName(
+        cluster.recommendations(_anomaly_lines(spark, sf_dir), "anomaly detection")).unionByName(
         cluster.recommendations(clusterings, "clustering"))

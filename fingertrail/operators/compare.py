@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fingertrail.operators.anomaly import covariance_distance, statistical_outliers
-from fingertrail.operators.cluster import anomaly_comparison_line, cluster, clustering_comparison_line
+from fingertrail.operators.anomaly import covariance_distance, scale, statistical_outliers
+from fingertrail.operators.cluster import anomaly_comparison_line, cluster, clustering_comparison_line, compare_scalers
 from fingertrail.operators.density import dbscan
 from fingertrail.operators.forest import isolation_forest
-from fingertrail.operators.groups import SESSION, Touches
+from fingertrail.operators.groups import SESSION, Touches, split_sessions
+from fingertrail.operators.neighbours import local_outlier_factor
 
-DETECTORS = ["statistical", "isolation_forest", "covariance"]
+DETECTORS = ["statistical", "isolation_forest", "covariance", "local_outlier_factor"]
 CLUSTERINGS = ["kmeans", "gaussian_mixture", "bisecting", "dbscan"]
 
 
@@ -26,9 +27,37 @@ def detect_with(touches: Touches, how: str, features: list[str]) -> Touches:
         return isolation_forest(touches, features)
     if how == "covariance":
         return covariance_distance(touches, features)
+    if how == "local_outlier_factor":
+        rows = local_outlier_factor(touches.rows(), "event_id", features, hot_rows=touches.hot_rows, at_most=touches.at_most)
+        return split_sessions(rows, touches.hot_rows, touches.at_most)
     raise ValueError(f"unknown detector {how}")
 
 
+def best_scaler(df: DataFrame, features: list[str], hot_rows: int, at_most: int | None = None) -> str:
+    """Name of the scaler with the highest score."""
+    lines = compare_scalers(df, features, hot_rows, at_most)
+    return lines.orderBy(F.desc("overall_score"), "scaler").first()["scaler"]
+
+
+def scaled_copies(touches: Touches, features: list[str], how: str) -> tuple[Touches, list[str]]:
+    """Rows with a scaled copy of each feature, stored once for all detectors, and the names of the copies."""
+    names = [f"scaled_{f}" for f in features]
+    rows = touches.rows().withColumns({n: F.col(f) for n, f in zip(names, features)})
+    scaled = scale(rows, names, how, touches.hot_rows, touches.at_most)
+    return split_sessions(scaled, touches.hot_rows, touches.at_most).materialise(), names
+
+
+def advanced_anomalies(touches: Touches, features: list[str]) -> tuple[Touches, str, str]:
+    """Anomaly marks by the best detector on features scaled by the best scaler, and the names of both.
+
+    All detectors see the same rows and the same scaled features, so their lines compare.
+    """
+    scaler = best_scaler(touches.rows(), features, touches.hot_rows, touches.at_most)
+    rows, names = scaled_copies(touches, features, scaler)
+    detector = best_detector(rows, names)
+    return detect_with(rows, detector, names).drop(*names), scaler, detector
+
+
 def compare_detectors(touches: Touches, features: list[str]) -> DataFrame:
     """One line per detector of events."""
     lines = None
