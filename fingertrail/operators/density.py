@@ -140,9 +140,12 @@ def dbscan(table: DataFrame, row_id: str, features: list[str], eps: float = 0.5,
                             [SESSION, "l_node", "r_node"], "left_semi").select(
         SESSION, "l_node", "r_node", *[f"{s}_{f}" for s in ("l", "r") for f in fine])
     members = placed.select(SESSION, "node", *fine, *features)
-    decided = (open_pairs.join(_renamed(members, "l_"), [SESSION, "l_node", *[f"l_{f}" for f in fine]])
-               .join(_renamed(members, "r_"), [SESSION, "r_node", *[f"r_{f}" for f in fine]])
-               .filter(_distance2(features, "l_", "r_") <= eps2).select(SESSION, "l_node", "r_node").distinct())
+    # a left member stays if any right member is in reach: the search stops at the first, no pair is put out
+    asked = open_pairs.join(_renamed(members, "l_"), [SESSION, "l_node", *[f"l_{f}" for f in fine]])
+    reachable = _renamed(members, "r_").withColumnsRenamed({SESSION: "_s", "r_node": "_m", **{f"r_{f}": f"_m_{f}" for f in fine}})
+    same = [(SESSION, "_s"), ("r_node", "_m"), *[(f"r_{f}", f"_m_{f}") for f in fine]]
+    decided = asked.join(reachable, reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in same])
+                         & (_distance2(features, "l_", "r_") <= eps2), "left_semi").select(SESSION, "l_node", "r_node").distinct()
     edges = linked.select(SESSION, "l_node", "r_node").unionByName(decided).toDF(SESSION, "a", "b")
     components = connected_components(edges, named.select(SESSION, "node"))
     owner = named.join(components, [SESSION, "node"]).select(SESSION, *cells, "component")
