@@ -1,7 +1,8 @@
 """N-gram Jaccard join with prefix trees.
 
 A document is the set of its word n-grams, kept as 64-bit hashes in their numeric order, which is the global order.
-Equal sets become one. Sets that can reach the threshold share a hash in their prefixes; such hashes are found
+Equal sets become one. Sets with the same two first hashes are joined first, in blocks, as most links lie there;
+then only links between different components are sought. Sets that can reach the threshold share a hash in their prefixes; such hashes are found
 by one combinable count, and a join on them gives candidate pairs after four exact bounds: sizes, places in
 the prefixes, the parity bitmaps of both sets (their distance never exceeds the symmetric difference), and no
 common hash just before. A candidate pair is checked at the home of its smaller set: sets of one home and block form a trie
@@ -29,8 +30,13 @@ from fingertrail.session import store
 WORDS, PERCENT = 3, 90
 #: Sets of one home that form a trie, and probing sets that walk it at once; more of either make further blocks.
 BLOCK = 1_000
-BITS = 256
+#: Bits of the short bitmap; sets of more than WIDE_FROM hashes have a further one of a fourth of their size or more.
+BITS, WIDE_FROM = 256, 800
 LOOK_BACK = 4
+#: Prefix hashes of more sets are joined by size band, too, so that their pairs are spread over tasks and fewer.
+FREQUENT = 256
+#: Ids of candidate documents that may be broadcast to fetch their texts; more are joined by a shuffle of the texts.
+MOST_IDS = 1_000_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -68,17 +74,20 @@ def probe_prefix(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def index_prefix(n: int, percent: int) -> int:
-    return n - -(-2 * percent * n // (100 + percent)) + 1
-
-
 def digest(s: np.ndarray) -> tuple[int, int]:
     value = xxhash.xxh3_128_intdigest(s.astype("<i8").tobytes())
     return (value >> 64) - (1 << 63), (value & ((1 << 64) - 1)) - (1 << 63)
 
 
 SKETCH = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()),
-                       T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("bits", T.ArrayType(T.LongType()))])
+                       T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("bits", T.ArrayType(T.LongType())),
+                       T.StructField("wide", T.ArrayType(T.LongType()))])
+
+
+def parity_bitmap(s: np.ndarray, bits: int) -> np.ndarray:
+    """Which of so many residues of the hashes occur an odd number of times; both halves together are that of half the bits."""
+    odd = np.bincount((s >> np.int64(17)) & np.int64(bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
 def sketches(texts: list[str], words: int, percent: int) -> list[dict]:
@@ -86,34 +95,66 @@ def sketches(texts: list[str], words: int, percent: int) -> list[dict]:
     out = []
     for s in shingle_sets(texts, words):
         if not len(s):
-            out.append({"n_shingles": 0, "k1": None, "k2": None, "prefix": None, "bits": None})
+            out.append({"n_shingles": 0, "k1": None, "k2": None, "prefix": None, "bits": None, "wide": None})
             continue
-        odd = np.bincount((s >> np.int64(17)) & np.int64(BITS - 1), minlength=BITS) & 1
+        wide = parity_bitmap(s, 1 << (len(s) // 4 - 1).bit_length()) if len(s) > WIDE_FROM else None
         k1, k2 = digest(s)
         out.append({"n_shingles": len(s), "k1": k1, "k2": k2, "prefix": s[:probe_prefix(len(s), percent)],
-                    "bits": np.packbits(odd.astype(np.uint8)).view("<i8")})
+                    "bits": parity_bitmap(s, BITS), "wide": wide})
     return out
 
 
 def candidates(reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y), y the smaller set or of equal size and smaller id, that the bounds leave; few of them twice."""
-    entries = reps.select("id", F.posexplode("prefix").alias("place", "token"))
-    shared = entries.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
+    """Pairs (x, y) of different components, y the smaller set or of equal size and smaller id, that the bounds leave.
+
+    reps has columns id, component, n_shingles, prefix, bits and wide.
+    """
+    entries = reps.select("id", F.posexplode("prefix").alias("place", "token"), F.expr(_inner("n_shingles", percent)).alias("inner"))
+    # a hash counts if another set has it and at least one of them in the shorter prefix: both counts in one sum
+    shared = (entries.groupBy("token").agg(F.sum(F.when(F.col("place") < F.col("inner"), (1 << 32) + 1).otherwise(1)).alias("c"))
+              .withColumn("inner", F.shiftright("c", 32)).withColumn("c", F.col("c") - F.shiftleft("inner", 32))
+              .filter("c > 1 and inner > 0").drop("inner"))
     bits = [F.get("bits", k).alias(f"b{k}") for k in range(BITS // 64)]
-    facts = reps.select("id", F.col("n_shingles").alias("n"), "prefix", *bits)
-    live = entries.join(shared, "token").join(facts, "id").select(
-        "token", "id", "n", "place", *[f"b{k}" for k in range(BITS // 64)],
+    facts = reps.select("id", "component", F.col("n_shingles").alias("n"), "prefix", "wide", *bits)
+    live = entries.select("id", "token").join(shared, "token").join(facts, "id").withColumn(
+        "place", F.array_position("prefix", F.col("token")).cast("int") - 1).select(
+        "token", "c", "id", "component", F.col("n").cast("int").alias("n"), "place", "wide", *[f"b{k}" for k in range(BITS // 64)],
         F.slice("prefix", F.greatest(F.col("place") + 1 - LOOK_BACK, F.lit(1)), F.least("place", F.lit(LOOK_BACK))).alias("before"))
-    x, y = live.alias("x"), live.alias("y")
+    # sizes of a pair differ by less than one band, so the larger set looks into its own and the band below
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
+    frequent = live.filter(F.col("c") > FREQUENT).withColumn("band", band)
+    looking = frequent.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
+    rare = live.filter(F.col("c") <= FREQUENT).withColumn("band", F.lit(0).cast("long"))
+    found = _bounded_pairs(rare, rare, percent).unionByName(_bounded_pairs(looking, frequent, percent))
+    return found.distinct()
+
+
+def _inner(n: str, percent: int) -> str:
+    """Length of the shorter prefix, which suffices for the smaller set of a pair."""
+    return f"({n} - ({2 * percent} * {n} + {99 + percent}) div {100 + percent} + 1)"
+
+
+def _bounded_pairs(probing: DataFrame, indexed: DataFrame, percent: int) -> DataFrame:
+    x, y = probing.alias("x"), indexed.alias("y")
     need = f"(({percent} * (x.n + y.n) + {99 + percent}) div {100 + percent})"
     distance = " + ".join(f"bit_count(x.b{k} ^ y.b{k})" for k in range(BITS // 64))
     pairs = x.join(y, F.expr(f"""
-        x.token = y.token and (y.n < x.n or y.n = x.n and y.id < x.id) and 100 * y.n >= {percent} * x.n
-        and y.place <= y.n - ({2 * percent} * y.n + {99 + percent}) div {100 + percent}
+        x.token = y.token and x.band = y.band and x.component <> y.component and (y.n < x.n or y.n = x.n and y.id < x.id) and 100 * y.n >= {percent} * x.n
+        and y.place < {_inner("y.n", percent)}
         and least(x.n - x.place, y.n - y.place) >= {need}
         and {distance} <= x.n + y.n - 2 * {need}
-        and not arrays_overlap(x.before, y.before)"""))
-    return pairs.select(F.col("x.id").alias("x"), F.col("y.id").alias("y")).distinct()
+        and not arrays_overlap(x.before, y.before)
+        and (x.wide is null or y.wide is null or {_wide_distance("x.wide", "y.wide")} <= x.n + y.n - 2 * {need})"""))
+    return pairs.select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
+
+
+def _wide_distance(a: str, b: str) -> str:
+    """Differing bits of two bitmaps, the longer one folded to the length of the other."""
+    def folded(v: str) -> str:
+        half = f"cast(size({v}) / 2 as int)"
+        return (f"if(size({v}) > least(size({a}), size({b})), "
+                f"zip_with(slice({v}, 1, {half}), slice({v}, {half} + 1, {half}), (p, q) -> p ^ q), {v})")
+    return f"aggregate(zip_with({folded(a)}, {folded(b)}, (p, q) -> bit_count(p ^ q)), 0, (s, d) -> s + d)"
 
 
 def trie_links(residents: list[np.ndarray], probes: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -181,21 +222,40 @@ def forest(ids: dict, residents: list[int], probes: list[int], percent: int) ->
     return out
 
 
-def links(reps: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """Links a, b between sets (by the id of their first document) that tie all sets which links tie at all.
+def first_links(reps: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """Links between sets whose two first hashes are the same, within blocks: most links, not all."""
+    own = reps.select("id", "k1", F.get("prefix", 0).alias("g1"), F.coalesce(F.get("prefix", 1), F.lit(0)).alias("g2"))
+    several = own.groupBy("g1", "g2").agg(F.count("*").alias("c")).filter("c > 1")
+    members = own.join(several, ["g1", "g2"]).select(
+        "g1", "g2", F.pmod(F.xxhash64("id"), F.ceil(F.col("c") / BLOCK)).alias("g3"), F.lit(2).alias("role"), "id", "k1")
+    return walk(members, docs, percent, words)
 
-    docs has columns id and value.
-    """
+
+def further_links(reps: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """Links that tie all components which links tie at all: each candidate pair meets at the home of its smaller set."""
     pairs = store(candidates(reps, percent))
-    home = reps.select(F.col("id").alias("y"), F.col("k1").alias("y1"), F.get("prefix", 0).alias("home"))
-    own = pairs.join(home, "y").join(reps.select(F.col("id").alias("x"), F.col("k1").alias("x1")), "x")
-    load = own.groupBy("home").agg(F.approx_count_distinct("y").alias("ys"), F.approx_count_distinct("x").alias("xs"))
+    home = reps.select(F.col("id").alias("y"), F.col("k1").alias("y1"), F.get("prefix", 0).alias("g1"))
+    own = store(pairs.join(home, "y").join(reps.select(F.col("id").alias("x"), F.col("k1").alias("x1")), "x"))
+    load = own.groupBy("g1").agg(F.approx_count_distinct("y").alias("ys"), F.approx_count_distinct("x").alias("xs"))
     part = lambda c, n: F.pmod(F.xxhash64(c), F.ceil(F.col(n) / BLOCK))
-    placed = own.join(load, "home").select("x", "x1", "y", "y1", "home", part("y", "ys").alias("yb"), part("x", "xs").alias("xb"))
-    members = placed.select("home", "yb", "xb", F.lit(0).alias("role"), F.col("y").alias("id"), F.col("y1").alias("k1")).unionByName(
-        placed.select("home", "yb", "xb", F.lit(1).alias("role"), F.col("x").alias("id"), F.col("x1").alias("k1"))).distinct()
-    block = ["home", "yb", "xb"]
-    texts = members.join(docs, "id").repartition(*block).sortWithinPartitions(*block, "role", "id").select(*block, "role", "id", "k1", "value")
+    placed = own.join(load, "g1").select("g1", part("y", "ys").alias("g2"), part("x", "xs").alias("g3"), "x", "x1", "y", "y1")
+    sides = F.array(F.struct(F.lit(0).alias("role"), F.col("y").alias("id"), F.col("y1").alias("k1")),
+                    F.struct(F.lit(1).alias("role"), F.col("x").alias("id"), F.col("x1").alias("k1")))
+    members = placed.select("g1", "g2", "g3", F.inline(sides)).distinct()
+    return walk(members, docs, percent, words)
+
+
+def walk(members: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """Links a, b of the forests of all blocks (g1, g2, g3): members are sets in the trie (role 0), probes (1) or both (2).
+
+    docs has columns id and value; a text is read only if its id is a member's.
+    """
+    block = ["g1", "g2", "g3"]
+    members = store(members)
+    ids = members.select("id").distinct()
+    if members.count() <= MOST_IDS:
+        docs = docs.join(F.broadcast(ids), "id", "left_semi")
+    texts = members.join(docs, "id").repartition(*block).sortWithinPartitions(*block, "id").select(*block, "role", "id", "k1", "value")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, sets, sides = None, {}, ([], [])
@@ -217,8 +277,9 @@ def links(reps: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFra
                     if not len(s) or digest(s)[0] != k1:
                         continue  # another text under the same id
                     sets[doc] = s
-                if not sides[role] or sides[role][-1] != doc:
-                    sides[role].append(doc)
+                for side in (0, 1):
+                    if role in (side, 2) and (not sides[side] or sides[side][-1] != doc):
+                        sides[side].append(doc)
         yield flush()
 
     return texts.mapInArrow(run, "a long, b long")
@@ -238,7 +299,9 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int
     first = store(first)
     reps = store(sets.join(first, ["k1", "k2"]).filter("doc_id = id").drop("doc_id"))
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), value.alias("value")).filter("id is not null and value is not null")
-    found = components(links(reps, texts, percent, words))
+    early = store(first_links(reps, texts, percent, words))
+    tied = reps.join(components(early), F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id"))
+    found = components(early.unionByName(further_links(tied.drop("node"), texts, percent, words)))
     named = first.join(found, F.col("id") == F.col("node"), "left").select("k1", "k2", F.coalesce("component", "id").alias("component"))
     out = sets.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
@@ -248,12 +311,23 @@ def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", word
     """The documents that are the first (smallest id) of their component.
 
     Of rows with the same id and text one stays. Rows without an id link with nothing here: each text of theirs stays once.
+    Texts are not shuffled for it while the ids that go, and those on several rows, are few enough to broadcast.
     """
-    own, hashed = fresh("_first", docs.columns), fresh("_text", docs.columns)
-    found = join(docs, text, doc_id, words, percent).filter("doc_id is null or doc_id = component_id").select(
-        F.col("doc_id").alias(own)).distinct()
-    kept = docs.join(found, F.col(doc_id).eqNullSafe(F.col(own)), "left_semi")
-    return kept.withColumn(hashed, F.xxhash64(text)).dropDuplicates([doc_id, hashed]).drop(hashed)
+    own, hashed = fresh("_own", docs.columns), fresh("_text", docs.columns)
+    found = store(join(docs, text, doc_id, words, percent))
+    gone = _few(found.filter("doc_id <> component_id").select(F.col("doc_id").alias(own)).distinct())
+    again = store(found.groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias("n")).filter(f"n > 1 or {own} is null").select(own))
+    kept = docs.join(gone, F.col(doc_id) == F.col(own), "left_anti")
+    if again.isEmpty():
+        return kept
+    same = F.col(doc_id).eqNullSafe(F.col(own))
+    single, several = kept.join(_few(again), same, "left_anti"), kept.join(_few(again), same, "left_semi")
+    return single.unionByName(several.withColumn(hashed, F.xxhash64(text)).dropDuplicates([doc_id, hashed]).drop(hashed))
+
+
+def _few(ids: DataFrame) -> DataFrame:
+    """Ids with a broadcast hint if there are at most MOST_IDS."""
+    return F.broadcast(ids) if ids.count() <= MOST_IDS else ids
 
 
 @query("op1_ngram_join")
