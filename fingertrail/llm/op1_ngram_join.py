@@ -13,6 +13,7 @@ no longer lift to the required overlap. A block gives back a spanning forest of
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +31,8 @@ from fingertrail.session import store
 WORDS, PERCENT = 3, 90
 #: Sets of one home that form a trie, and probing sets that walk it at once; more of either make further blocks.
 BLOCK = 1_000
-#: Bits of the short bitmap; sets of more than WIDE_FROM hashes have a further one of a fourth of their size or more.
+#: Bits of the short bitmap; sets of more than WIDE_FROM hashes have one of a fourth of their size or more instead.
 BITS, WIDE_FROM = 256, 800
-LOOK_BACK = 4
 #: Prefix hashes of more sets are joined by size band, too, so that their pairs are spread over tasks and fewer.
 FREQUENT = 256
 #: Ids of candidate documents that may be broadcast to fetch their texts; more are joined by a shuffle of the texts.
@@ -100,7 +100,7 @@ def sketches(texts: list[str], words: int, percent: int) -> list[dict]:
         wide = parity_bitmap(s, 1 << (len(s) // 4 - 1).bit_length()) if len(s) > WIDE_FROM else None
         k1, k2 = digest(s)
         out.append({"n_shingles": len(s), "k1": k1, "k2": k2, "prefix": s[:probe_prefix(len(s), percent)],
-                    "bits": parity_bitmap(s, BITS), "wide": wide})
+                    "bits": None if len(s) > WIDE_FROM else parity_bitmap(s, BITS), "wide": wide})
     return out
 
 
@@ -118,10 +118,11 @@ def candidates(reps: DataFrame, percent: int) -> DataFrame:
     facts = reps.select("id", "component", F.col("n_shingles").alias("n"), "prefix", "wide", *bits)
     live = entries.select("id", "token").join(shared, "token").join(facts, "id").withColumn(
         "place", F.array_position("prefix", F.col("token")).cast("int") - 1).select(
-        "token", "c", "id", "component", F.col("n").cast("int").alias("n"), "place", "wide", *[f"b{k}" for k in range(BITS // 64)],
-        F.slice("prefix", F.greatest(F.col("place") + 1 - LOOK_BACK, F.lit(1)), F.least("place", F.lit(LOOK_BACK))).alias("before"))
-    # sizes of a pair differ by less than one band, so the larger set looks into its own and the band below
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
+        "token", "c", "id", "component", "n", "place", "wide", *[f"b{k}" for k in range(BITS // 64)],
+        F.when(F.col("place") > 0, F.get("prefix", F.col("place") - 1)).alias("before"))
+    live = store(live)  # read from four sides
+    # a band is a little wider than the sizes of a pair may differ, so the larger set looks into its own and the band below
+    band = F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / percent) or 1.0))
     frequent = live.filter(F.col("c") > FREQUENT).withColumn("band", band)
     looking = frequent.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     rare = live.filter(F.col("c") <= FREQUENT).withColumn("band", F.lit(0).cast("long"))
@@ -142,9 +143,8 @@ def _bounded_pairs(probing: DataFrame, indexed: DataFrame, percent: int) -> Data
         x.token = y.token and x.band = y.band and x.component <> y.component and (y.n < x.n or y.n = x.n and y.id < x.id) and 100 * y.n >= {percent} * x.n
         and y.place < {_inner("y.n", percent)}
         and least(x.n - x.place, y.n - y.place) >= {need}
-        and {distance} <= x.n + y.n - 2 * {need}
-        and not arrays_overlap(x.before, y.before)
-        and (x.wide is null or y.wide is null or {_wide_distance("x.wide", "y.wide")} <= x.n + y.n - 2 * {need})"""))
+        and (x.before is null or y.before is null or x.before <> y.before)
+        and coalesce({distance}, {_wide_distance("x.wide", "y.wide")}, 0) <= x.n + y.n - 2 * {need}"""))
     return pairs.select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
 
 

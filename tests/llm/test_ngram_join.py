@@ -64,6 +64,16 @@ def test_components_equal_brute_force(spark, words, percent):
     assert {tuple(r) for r in got} == brute(rows, words, percent)
 
 
+def test_frequent_hashes_and_small_blocks_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(op, "FREQUENT", 1)
+    monkeypatch.setattr(op, "BLOCK", 3)
+    monkeypatch.setattr(op, "MOST_IDS", 0)
+    monkeypatch.setattr(op, "WIDE_FROM", 20)
+    rows = near_copies(9, groups=4, copies=14, length=90)
+    got = op.join(spark.createDataFrame(rows, SCHEMA), words=2, percent=80).collect()
+    assert {tuple(r) for r in got} == brute(rows, 2, 80)
+
+
 def test_defined_cases(spark):
     rows = [(1, None), (2, ""), (3, " \n\t"), (4, "One"), (5, "one"), (6, "one two"), (7, "ONE  two"), (None, "one two"),
             (8, "Éa b c d"), (9, "éa b c d"), (9, "éa b c d"), (None, "alone here now"), (10, "x " * 30000)]
