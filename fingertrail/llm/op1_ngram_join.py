@@ -31,8 +31,8 @@ from fingertrail.session import store
 WORDS, PERCENT = 3, 90
 #: Sets of one home that form a trie, and probing sets that walk it at once; more of either make further blocks.
 BLOCK = 1_000
-#: Bits of the short bitmap; sets of more than WIDE_FROM hashes have one of a fourth of their size or more instead.
-BITS, WIDE_FROM = 256, 800
+#: Bits of the short bitmap; sets that need more than WIDE_FROM bits have a bitmap of that size or more instead.
+BITS, WIDE_FROM = 256, 200
 #: Prefix hashes of more sets are joined by size band, too, so that their pairs are spread over tasks and fewer.
 FREQUENT = 256
 #: Ids of candidate documents that may be broadcast to fetch their texts; more are joined by a shuffle of the texts.
@@ -97,10 +97,12 @@ def sketches(texts: list[str], words: int, percent: int) -> list[dict]:
         if not len(s):
             out.append({"n_shingles": 0, "k1": None, "k2": None, "prefix": None, "bits": None, "wide": None})
             continue
-        wide = parity_bitmap(s, 1 << (len(s) // 4 - 1).bit_length()) if len(s) > WIDE_FROM else None
+        # unrelated sets differ in half of the bits, which must be more than linked sets may differ in hashes
+        need = max(64, 480 * len(s) * (100 - percent) // (100 + percent) // 100)
+        wide = parity_bitmap(s, 1 << (need - 1).bit_length()) if need > WIDE_FROM else None
         k1, k2 = digest(s)
         out.append({"n_shingles": len(s), "k1": k1, "k2": k2, "prefix": s[:probe_prefix(len(s), percent)],
-                    "bits": None if len(s) > WIDE_FROM else parity_bitmap(s, BITS), "wide": wide})
+                    "bits": parity_bitmap(s, BITS) if wide is None else None, "wide": wide})
     return out
 
 
