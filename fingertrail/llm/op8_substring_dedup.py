@@ -1,15 +1,15 @@
 """Substring deduplication by sliding sentence spans.
 
-A text is cut into sentences (long ones further, at clauses and after eight words). From every sentence starts
-a run: as many consecutive sentences as are needed for 30 words. Runs are hashed and joined over all documents; a run
+A text is cut into sentences, also at clauses. Stretches of up to ten words are cut after eight; in longer ones
+each six neighbouring gaps give up the one whose two words have the smallest hash, so that cuts depend on the words
+around them alone, and a passage of 50 words or more holds a whole run that is the same wherever it stands. From every
+sentence starts a run: as many consecutive sentences as are needed for 30 words. Runs are hashed and joined over all documents; a run
 whose first document is another one, or that stands earlier in the same text, is a repeat, and all sentences that
 a repeat covers are removed. Only hashes and ids are shuffled until the texts are joined with their own repeats.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -23,15 +23,56 @@ from fingertrail.llm.common import per_text, quoted, table
 
 #: Words in a run, and the most words of a sentence before it is cut.
 RUN_WORDS, LONGEST = 30, 8
-_SENTENCE = re.compile(r"(?:\S*[^\s.!?,;:][ \t]+){0,%d}\S+\s*" % (LONGEST - 1), re.ASCII)
+#: Stretches of more words than FIXED are cut at the smallest hash of each GAPS neighbouring gaps, others after LONGEST words.
+#: A passage of 4 * GAPS + 26 words has its whole run in it; FIXED must stay below 22 less the first run's latest start.
+FIXED, GAPS = 10, 6
+# Classes of characters: 1 space or tab, 2 other white space, 4 a mark that ends a piece; places in a word have odd factors.
+_CLASS = np.zeros(129, np.uint8)
+_CLASS[[9, 32]], _CLASS[10:14], _CLASS[[ord(c) for c in ".!?,;:"]] = 1, 2, 4
+_PLACES = np.random.default_rng(8).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def gap_keys(codes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A hash of the two words around each gap, from the codes of their letters."""
+    size = last - first + 1
+    ends = np.cumsum(size)
+    at = np.arange(ends[-1]) - np.repeat(ends - size, size)
+    letters = (codes[np.repeat(first, size) + at].astype(np.uint64) + np.uint64(1)) * _PLACES[at & 63]
+    own = np.add.reduceat(letters, ends - size)
+    keys = own[:-1] * _PLACES[0] + own[1:] * _PLACES[1]
+    return (keys ^ keys >> np.uint64(31)) * _PLACES[2]
 
 
 def sentences(text: str) -> list[str]:
     """Pieces that together are the text; white space before the first word belongs to the first piece."""
-    found = _SENTENCE.findall(text)
-    if found:
-        found[0] = text[:len(text) - sum(map(len, found))] + found[0]
-    return found
+    low = text.replace("\u0130", "i").lower()  # the one letter whose lower case is longer
+    codes = np.frombuffer(low.encode(), np.uint8) if low.isascii() else np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = _CLASS[np.minimum(codes, 128)]
+    word = kind & 3 == 0
+    first = np.flatnonzero(word & np.r_[True, ~word[:-1]])
+    if not len(first):
+        return []
+    last = np.flatnonzero(word & np.r_[~word[1:], True])
+    n = len(first)
+    cut = kind[last] == 4
+    ended = np.searchsorted(first, np.flatnonzero(kind == 2)) - 1
+    cut[ended[ended >= 0]] = True
+    cut[-1] = True
+    begins = np.r_[0, np.flatnonzero(cut)[:-1] + 1]
+    sizes = np.diff(np.r_[begins, n])
+    cut[begins[(sizes > LONGEST) & (sizes <= FIXED)] + LONGEST - 1] = True
+    if sizes.max() > FIXED:
+        stretch = np.repeat(np.where(sizes > FIXED, np.arange(len(sizes)), -1), sizes)
+        keys = gap_keys(codes, first, last)
+        windows = n - GAPS
+        least, place = keys[GAPS - 1:], np.full(windows, GAPS - 1)
+        for k in range(GAPS - 2, -1, -1):
+            less = keys[k:k + windows] < least
+            least, place = np.where(less, keys[k:k + windows], least), np.where(less, k, place)
+        whole = np.flatnonzero((stretch[:-GAPS] >= 0) & (stretch[:-GAPS] == stretch[GAPS:]))
+        cut[whole + place[whole]] = True
+    starts = [0, *first[np.flatnonzero(cut[:-1]) + 1].tolist(), len(text)]
+    return [text[a:b] for a, b in zip(starts, starts[1:])]
 
 
 def runs(parts: list[str], run_words: int = RUN_WORDS) -> list[tuple[int, int, int]]:

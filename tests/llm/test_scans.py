@@ -170,6 +170,30 @@ def test_passage_of_fifty_words_is_removed_whatever_surrounds_it(spark):
     assert [r["doc_id"] for r in got if middle in r["text"]] == [0]
 
 
+@pytest.mark.parametrize("share", [0.0, 0.02, 0.1, 0.3])
+def test_passages_planted_in_mid_sentence_share_a_run(share):
+    rng = random.Random(21)
+
+    def words(n, marks):
+        return " ".join(rng.choice("abcdefgh") * rng.randint(1, 3) + f"{rng.randint(0, 99)}" + (rng.choice(".,\n") if rng.random() < marks else "")
+                        for _ in range(n))
+
+    for size in (51, 55, 60, 80, 120):
+        for _ in range(100):
+            passage = words(size, share)
+            texts = [words(rng.randint(0, 40), rng.choice([0, share])) + " " + passage + " " + words(rng.randint(0, 40), rng.choice([0, share]))
+                     for _ in range(2)]
+            one, two = ({h for h, _, _ in dedup.runs(dedup.sentences(t))} for t in texts)
+            assert one & two, texts
+
+
+def test_mid_sentence_copy_is_removed(spark):
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(1, f"one two three {passage} and more"), (2, f"Elsewhere is another {passage} then the end")]
+    got = dedup.deduplicate(spark.createDataFrame(rows, SCHEMA)).orderBy("doc_id").collect()
+    assert got[0]["text"] == rows[0][1] and " ".join(f"p{k}" for k in range(15, 40)) not in got[1]["text"]
+
+
 def test_dedup_defined_cases(spark):
     docs = odd_rows(spark)
     got = dedup.deduplicate(docs)
