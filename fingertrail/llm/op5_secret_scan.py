@@ -1,11 +1,13 @@
 """Secret scan: plain patterns, and a battery of randomness tests over other long tokens.
 
-Tokens of 20 or more characters with a digit are tested for what a random key of their inferred encoding shows: a
+Tokens of 20 or more characters with a digit, '=' only as their closing padding, are tested for what a random key of their inferred encoding shows: a
 chi-squared test of a uniform alphabet, a runs test above and below the alphabet's middle, and a serial
 correlation of neighbouring characters, joined into one probability by Fisher's method. Within each class of encoding and length the
 step-up procedure of Benjamini and Hochberg picks the tokens that are structured rather than random, with a
 bounded share of false picks; the others are secrets. Probabilities are rounded up to a grid, so the procedure
-needs one count per class and grid step instead of a global ranking. All of it is DataFrame functions.
+needs one count per class and grid step instead of a global ranking. A token that mixes + or / with - or _ fits no
+encoding; its parts without the one pair, without the other, and without both are tested instead, and a random part
+inside another one is left out. All of it is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -31,8 +33,11 @@ PATTERNS = {
     "assign": r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
     "access": r"AKIA[A-Z0-9]+",
     "hex": r"[0-9a-f]{24,}",
-    "random": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}",
+    "random": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?:[A-Za-z0-9+/_-]{20,}+(?:=++(?![A-Za-z0-9+/_-]))?|"
+              + "|".join(rf"[A-Za-z0-9+/_-]{{{n}}}={{{20 - n},}}+(?![A-Za-z0-9+/_-])" for n in range(19, 13, -1)) + ")",
 }
+#: Parts of a token that mixes the last characters of two alphabets.
+PARTS = ["[A-Za-z0-9+/]{14,}+=*", "[A-Za-z0-9_-]{14,}+=*", "[A-Za-z0-9]{14,}+=*"]
 # Alphabets of encodings, from the narrowest.
 ALPHABETS = {
     "hex": "0123456789abcdef",
@@ -60,6 +65,17 @@ def two_sided(z: Column) -> Column:
     return 2 * normal_tail(F.least(F.abs(z), F.lit(30.0)))
 
 
+def parts(tokens: DataFrame) -> DataFrame:
+    """row, start, end and found of the parts of 20 or more characters with a digit of all mixed tokens, and whole, the token's start."""
+    mixed = tokens.filter(F.col("found").rlike("[+/]") & F.col("found").rlike("[_-]"))
+    cut = F.flatten(F.array_compact(F.array(*[matches(F.col("found"), k, pattern) for k, pattern in enumerate(PARTS)])))
+    cut = mixed.select("row", "doc_id", F.col("start").alias("whole"), F.explode(cut).alias("m")).select("row", "doc_id", "whole", "m.*")
+    size = F.length("found")
+    ended = F.col("whole") + F.sum(F.col("gap") + size).over(Window.partitionBy("row", "whole", "kind").orderBy("place"))
+    cut = cut.select("row", "doc_id", (ended - size).cast("int").alias("start"), ended.cast("int").alias("end"), "found", "whole")
+    return cut.filter((F.length("found") >= 20) & F.col("found").rlike("[0-9]")).dropDuplicates(["row", "start", "end"])
+
+
 def with_battery(tokens: DataFrame, token: str = "found") -> DataFrame:
     """tokens with encoding, length class and the joint probability `p` of the three tests if it were random."""
     raw = F.col(token)
@@ -113,7 +129,7 @@ def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", share: flo
     """One row per document: doc_id and `spans`, structs of start, kind number, kind, end and base, in this order.
 
     Code points, end exclusive. Random spans that overlap a plain one are left out. A null or empty text has
-    no spans; repeated rows, and rows without an id, give a row each.
+    no spans; repeated rows, and rows without an id, give a row each. Random parts of one token may overlap each other.
     """
     value = F.col(text)
     kinds = [*KINDS, "random"]
@@ -126,13 +142,18 @@ def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", share: flo
     holds = F.when(F.col("kind") == 0, F.length(secret) >= 6).when(F.col("kind") == 1, size >= 20).otherwise(F.col("kind") == 2)
     rows = store(rows.select("row", "doc_id", "kind", (ended - size).cast("int").alias("start"), ended.cast("int").alias("end"),
                              "found").withColumn("holds", holds))
-    tested = with_battery(rows.filter("kind = 3").select("row", "start", "found"))
+    tokens = rows.filter("kind = 3")
+    split = parts(tokens)
+    tested = with_battery(tokens.select("row", "start", "end", "found", F.col("start").alias("whole")).unionByName(split.drop("doc_id")))
     tested = tested.withColumn("step", F.least(F.floor(-F.log("p") * GRID), F.lit(LAST)).cast("int"))
     limits = structured(tested, share)  # at most one row per encoding and length class
     random = (tested.join(F.broadcast(limits), ["encoding", "length_class"], "left")
               .filter((F.col("distinct") >= DISTINCT) & (F.col("first_step").isNull() | (F.col("step") < F.col("first_step"))))
-              .select("row", "start", F.lit(True).alias("random")))
-    marked = rows.join(random, ["row", "start"], "left")
+              .select("row", "start", "end", "whole", F.lit(3).alias("kind"), F.lit(True).alias("random")))
+    outer = Window.partitionBy("row", "whole").orderBy("start", F.col("end").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    random = random.withColumn("reach", F.max("end").over(outer)).filter(F.col("reach").isNull() | (F.col("reach") < F.col("end")))
+    every = rows.unionByName(split.drop("whole").withColumns({"kind": F.lit(3), "holds": F.lit(False)}))
+    marked = every.join(random.drop("whole", "reach"), ["row", "start", "end", "kind"], "left")
     names = F.array(*map(F.lit, kinds))
     span = F.when(F.when(F.col("kind") == 3, F.col("random")).otherwise(F.col("holds")), F.struct(
         "start", "kind", F.get(names, F.col("kind")).alias("name"), "end", (F.col("kind") < 3).alias("base")))

@@ -54,6 +54,32 @@ def test_random_tokens_are_told_from_structured_ones(spark):
     assert sum(got[k] for k in range(40, len(rows))) == 0
 
 
+def test_random_values_after_names_and_in_urls(spark):
+    rng = random.Random(17)
+
+    def key(alphabet, n=40):
+        return rng.choice("0123456789") + "".join(rng.choice(alphabet) for _ in range(n - 1))
+
+    b64, url = secrets.ALPHABETS["base64"], secrets.ALPHABETS["base64url"]
+    forms = [("AWS_ACCESS_KEY_VALUE={}", b64), ("SIGNING_KEY={}", b64[:62]), ("KEY2_OF_THE_SIGNING_SERVICE={}", b64[:62]),
+             ("https://host.example/x?sig={}&n=1", b64[:62]), ("SIGNING_KEY={}==", b64), ("/api-v2/my_files/{}", url),
+             ("my-files_of-x+{}", b64[:62])]
+    rows, want = [], {}
+    for k, (form, alphabet) in enumerate(forms * 12):
+        value = key(alphabet)
+        rows.append((k, "é see " + form.format(value) + " here"))
+        want[k] = value
+    short = "7" + "".join(rng.choice(b64[:62]) for _ in range(17)) + "=="  # 20 characters with the padding
+    rows.append((900, f"see {short} here"))
+    rows += [(1000 + k, f"/the-long/road_to-nowhere/in+the_{k}/end-of-the-long-way_{k}") for k in range(5)]
+    text = dict(rows)
+    got = {r["doc_id"]: [text[r["doc_id"]][s["start"]:s["end"]] for s in r["spans"]] for r in secrets.find(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for f in range(len(forms)):
+        own = [k for k in want if k % len(forms) == f]
+        assert sum(any(want[k] in s for s in got[k]) for k in own) >= len(own) - 2, forms[f]
+    assert any(short in s for s in got[900]) and not any(got[1000 + k] for k in range(5))
+
+
 def test_battery_is_uniform_on_random_tokens(spark):
     rng = random.Random(9)
     keys = [("".join(rng.choice("0123456789abcdef") for _ in range(64)),) for _ in range(400)]
