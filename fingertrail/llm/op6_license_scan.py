@@ -136,13 +136,17 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", notices: d
                   .join(F.broadcast(keyed), "key"))
     begin = F.greatest(F.col("start") - F.col("offset") - pad, F.lit(0))
     region = F.slice("around", F.greatest(begin - F.col("from"), F.lit(0)) + 1, F.size("own") + 2 * pad)
-    shared = F.size(F.array_intersect("exact", pairs(region, lambda a, b: F.concat_ws(" ", a, b)))) / F.size("exact")
-    checked = candidates.select("row", "doc_id", "license_id", begin.cast("long").alias("first_word"), shared.alias("containment"))
+    seen = pairs(region, lambda a, b: F.concat_ws(" ", a, b))
+    shared = F.size(F.array_intersect("exact", seen)) / F.size("exact")
+    places = F.array_compact(F.transform(seen, lambda s, i: F.when(F.array_contains("exact", s), begin + i)))
+    checked = candidates.select("row", "doc_id", "license_id", begin.cast("long").alias("first_word"), shared.alias("containment"),
+                                F.when(shared >= containment, places).alias("places"))
     found = checked.filter(F.col("containment") >= containment).groupBy("row", "doc_id").agg(
-        F.collect_set(F.struct("containment", (-F.col("first_word")).alias("before"), "license_id")).alias("all"))
-    # versions of one notice differ in few shingles: where regions meet, only the closest notice stays
-    kept = F.filter("all", lambda c: ~F.exists("all", lambda d: (F.abs(d["before"] - c["before"]) <= pad)
-                                               & (d["containment"] > c["containment"])))
+        F.collect_set(F.struct("containment", (-F.col("first_word")).alias("before"), "license_id", "places")).alias("all"))
+    # versions of one notice differ in few shingles: of notices with most shingles at the same places only the closest stays
+    kept = F.filter("all", lambda c: ~F.exists("all", lambda d: (d["containment"] > c["containment"])
+                                               & (F.abs(d["before"] - c["before"]) <= longest + 2 * pad)
+                                               & (2 * F.size(F.array_intersect(c["places"], d["places"])) > F.size(c["places"]))))
     best = F.transform(F.array_distinct(F.transform(kept, lambda c: c["license_id"])), lambda name: F.array_max(
         F.filter(kept, lambda c: c["license_id"] == name)))
     return found.select("doc_id", F.explode(best).alias("b")).select(

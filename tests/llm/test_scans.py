@@ -121,6 +121,17 @@ def test_license_windows_reach_every_offset(spark):
     assert sorted(r["doc_id"] for r in got) == list(range(40)) and {r["containment"] for r in got} == {1.0}
 
 
+def test_both_licences_of_a_text_are_found(spark):
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0."
+    gpl = [licenses.NOTICES[f"GPL-{k}.0"][0 if k == 2 else 1] for k in (2, 3)]
+    rows = [(1, f"{mpl} Licensed under the MIT License."), (2, f"Licensed under the MIT License. {mpl}"),
+            (3, "some words before it " * 20 + f"{mpl} Licensed under the MIT License."), (4, gpl[0]), (5, gpl[1]), (6, f"{gpl[0]} {gpl[1]}"),
+            (7, licenses.NOTICES["LGPL-3.0"][0])]
+    got = {(r["doc_id"], r["license_id"]) for r in licenses.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    both = {(k, name) for k in (1, 2, 3) for name in ("MPL-2.0", "MIT")}
+    assert got == both | {(4, "GPL-2.0"), (5, "GPL-3.0"), (6, "GPL-2.0"), (6, "GPL-3.0"), (7, "LGPL-3.0")}
+
+
 def test_license_defined_cases(spark):
     assert licenses.scan(odd_rows(spark)).count() == 0
     rows = [(1, "Released under the MIT License."), (1, "Released under the MIT License."), (None, "Released under the MIT License.")]
