@@ -20,6 +20,8 @@ from fingertrail.llm.common import id_remainder, per_text, slices, table
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
+#: Cells of a counting table that may be laid out whole, and pairs of text and trigram that are bound at once beyond that.
+CUBE, BLOCK = 1 << 24, 1 << 13
 
 # For the characters of the basic plane: the lower-case letter, or 0 where the character is no letter. Others use str.
 _LETTER = np.zeros(1 << 16, np.uint32)
@@ -34,8 +36,8 @@ def letter_vectors(letters: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndar
     return np.stack([np.random.default_rng(int(c) + 7).choice(np.float32([-1, 1]), dimensions) for c in letters])
 
 
-def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct trigrams of some texts as rows of three letters, and how often each text has each.
+def tallies(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct trigrams of some texts as rows of three letters; then, for each pair that occurs, the text, the trigram and the count.
 
     Runs of other characters count as one gap. Texts start and end with a gap; those without letters have none.
     """
@@ -53,14 +55,33 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     inner = letters[1:-1] > 0
     code = ((small[:-2] * size + small[1:-1]) * size + small[2:])[inner]
     owner = doc[1:-1][inner]
-    used = np.flatnonzero(np.bincount(code, minlength=1))
     if not len(code):
-        return np.zeros((0, 3), np.uint32), np.zeros((len(texts), 0), np.float32)
-    place = np.zeros(used[-1] + 1, np.int64)
-    place[used] = np.arange(len(used))
-    counts = np.bincount(owner * len(used) + place[code], minlength=len(texts) * len(used))
+        return np.zeros((0, 3), np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
+    if size ** 3 <= max(CUBE, 4 * len(code)):
+        used = np.flatnonzero(np.bincount(code, minlength=1))
+        table = np.zeros(used[-1] + 1, np.int64)
+        table[used] = np.arange(len(used))
+        place = table[code]
+    else:
+        used, place = np.unique(code, return_inverse=True)
     grams = present[np.stack([used // (size * size), used // size % size, used % size], axis=1)]
-    return grams, counts.reshape(len(texts), len(used)).astype(np.float32)
+    pair = owner * len(used) + place
+    if len(texts) * len(used) <= max(CUBE, 4 * len(code)):
+        counts = np.bincount(pair, minlength=1)
+        pair = np.flatnonzero(counts)
+        counts = counts[pair]
+    else:
+        pair, counts = np.unique(pair, return_counts=True)
+    own, place = np.divmod(pair, len(used))
+    return grams, own, place, counts.astype(np.float32)
+
+
+def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct trigrams of a few texts, and how often each text has each, as a whole table."""
+    grams, own, place, counts = tallies(texts)
+    table = np.zeros((len(texts), len(grams)), np.float32)
+    table[own, place] = counts
+    return grams, table
 
 
 def gram_vectors(grams: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -72,6 +93,36 @@ def gram_vectors(grams: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
     return np.roll(v, 2, axis=1)[at[:, 0]] * np.roll(v, 1, axis=1)[at[:, 1]] * v[at[:, 2]]
 
 
+class Letters:
+    """The letters' vectors of many trigrams, from which blocks of these are bound."""
+
+    def __init__(self, grams: np.ndarray, dimensions: int):
+        letters, at = np.unique(grams, return_inverse=True)
+        own = letter_vectors(letters, dimensions).astype(np.int8) if len(letters) else np.zeros((0, dimensions), np.int8)
+        self.turned, self.at = [np.roll(own, k, axis=1) for k in (2, 1, 0)], at.reshape(-1, 3)
+
+    def bound(self, which) -> np.ndarray:
+        at = self.at[which]
+        return (self.turned[0][at[:, 0]] * self.turned[1][at[:, 1]] * self.turned[2][at[:, 2]]).astype(np.float32)
+
+
+def bundles(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
+    """The sum of each text's trigram vectors, in blocks of bounded size."""
+    grams, own, place, counts = tallies(texts)
+    out = np.zeros((len(texts), dimensions), np.float32)
+    if len(texts) * len(grams) <= CUBE and len(grams) <= 2 * CUBE // dimensions:
+        table = np.zeros((len(texts), len(grams)), np.float32)
+        table[own, place] = counts
+        return table @ gram_vectors(grams, dimensions)
+    letters = Letters(grams, dimensions)
+    for k in range(0, len(own), BLOCK):
+        block = own[k:k + BLOCK]
+        rows = letters.bound(place[k:k + BLOCK]) * counts[k:k + BLOCK, None]
+        starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+        out[block[starts]] += np.add.reduceat(rows, starts, axis=0)
+    return out
+
+
 @dataclass
 class Profiles:
     languages: list[str]
@@ -79,10 +130,9 @@ class Profiles:
     dimensions: int = DIMENSIONS
 
     def predict(self, texts: list[str]) -> list[dict]:
-        grams, counts = trigrams(texts)
-        vectors = counts @ gram_vectors(grams, self.dimensions)
+        vectors = bundles(texts, self.dimensions)
         size = np.sqrt((vectors * vectors).sum(1))
-        some = counts.sum(1) > 0
+        some = [any(map(str.isalpha, t)) for t in texts]
         if not self.languages:
             return [{"lang_pred": UNKNOWN, "score": 0.0} for _ in texts]
         cosine = vectors @ self.unit.T / np.maximum(size, 1e-9)[:, None]
@@ -105,13 +155,22 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: int
         for batch in batches:
             languages, at = batch.column("lang").to_pylist(), 0
             for part in slices(batch.column("text").to_pylist()):
-                grams, counts = trigrams(part)
-                counts /= np.maximum(counts.sum(1), 1)[:, None]
-                own = np.array(languages[at:at + len(part)])
+                grams, owner, place, counts = tallies(part)
+                share = counts / np.maximum(np.bincount(owner, counts, len(part)), 1)[owner]
+                names, own = np.unique(np.array(languages[at:at + len(part)]), return_inverse=True)
                 at += len(part)
-                vectors = gram_vectors(grams, dimensions)
-                for name in np.unique(own):
-                    total[name] = total.get(name, 0) + counts[own == name].sum(0).astype(np.float64) @ vectors
+                order = np.argsort(place, kind="stable")
+                owner, place, share = owner[order], place[order], share[order]
+                width = max(1, min(BLOCK, CUBE // len(names)))
+                vectors, letters = np.zeros((len(names), dimensions)), Letters(grams, dimensions)
+                for j in range(0, len(grams), width):
+                    x, y = np.searchsorted(place, [j, j + width])
+                    weight = np.bincount(own[owner[x:y]] * width + place[x:y] - j, share[x:y], len(names) * width)
+                    block = slice(j, j + width)
+                    bound = letters.bound(block)
+                    vectors += weight.reshape(len(names), width)[:, :len(bound)].astype(np.float32) @ bound
+                for name, vector in zip(names.tolist(), vectors):
+                    total[name] = total.get(name, 0) + vector
         for name, vector in total.items():
             yield pa.RecordBatch.from_pydict({"lang": [name] * dimensions, "d": np.arange(dimensions, dtype=np.int32),
                                               "v": np.asarray(vector, np.float64)})

@@ -186,6 +186,19 @@ def test_trigram_counts_equal_brute_force():
         assert got == dict(want), text
 
 
+def test_thousands_of_letters_equal_brute_force(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = ["".join(map(chr, 0x4E00 + rng.integers(0, 6000, 9000))) + " and more" for _ in range(3)] + ["", "plain text"]
+    grams, own, place, counts = language.tallies(texts)  # a cube of 6,000 letters has 2.16e11 cells
+    want = Counter((k, (" " + t + " ")[i:i + 3]) for k, t in enumerate(texts) if t for i in range(len(t)) if t[i] != " ")
+    names = ["".join(chr(c) if c else " " for c in g) for g in grams.tolist()]
+    assert {(int(k), names[p]): int(n) for k, p, n in zip(own, place, counts)} == dict(want)
+    whole = language.bundles(texts, 64)
+    monkeypatch.setattr(language, "CUBE", 0)
+    monkeypatch.setattr(language, "BLOCK", 100)
+    assert (language.bundles(texts, 64) == whole).all() and not whole[3].any()
+
+
 def test_binding_is_a_product_of_rotated_letters():
     v = {c: language.letter_vectors(np.array([ord(c)]), 64)[0] for c in "abc"}
     got = language.gram_vectors(np.array([[97, 98, 99]], np.uint32), 64)[0]
