@@ -17,15 +17,19 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fingertrail.llm.catalog import query
 from fingertrail.llm.common import per_text, table
+from fingertrail.session import store
 
-#: At most so many documents with a digit or an at sign are learned from, those with the smallest hash of their text.
-SAMPLE_ROWS = 3_000
+#: At most so many different pieces of clusters are learned from: of each kind of plain match, and of those without any,
+#: an equal share with the smallest hashes. A piece is at most PIECE_WORDS words of a cluster; all pieces take part.
+SAMPLE_ROWS, PIECE_WORDS = 3_000, 48
 #: Words in a segment, and by how much the chosen reading must beat leaving the segment out.
 LONGEST, MARGIN = 6, 2.0
 
@@ -264,17 +268,36 @@ def train(texts: list[str], passes_over: int = 12, rate: float = 0.3, seed: int
     return model
 
 
+def pieces(text: str) -> set[str]:
+    """All clusters of the text, long ones in pieces."""
+    return {text[part[0][0]:part[-1][1]] for words in clusters(text)
+            for part in (words[k:k + PIECE_WORDS] for k in range(0, len(words), PIECE_WORDS))}
+
+
 def fit(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> SpanField:
-    """A field learned from at most `rows` documents that have a digit or an at sign; only their clusters with
-    some text around them reach the driver, as far as `rows` and whole words allow."""
-    def around(texts: list[str]) -> list[str]:
-        return ["\n".join(value[words[0][0]:words[-1][1]] for words in clusters(value)[:50]) for value in texts]
-
-    key = F.xxhash64(text)
-    chosen = (docs.filter(F.col(text).rlike("[0-9@]")).select(key.alias("_h"), F.col(text).alias("_text"))
-              .select("_h", per_text(around, T.StringType())(F.col("_text")).alias("_part"))
-              .orderBy("_h", "_part").limit(rows).collect())
-    return train(sorted({r["_part"] for r in chosen}))
+    """A field learned from at most `rows` different pieces of clusters, the smallest hashes of each kind. A task gives
+    no more than that share of each kind, and the driver gets no more than `rows`."""
+    share = max(1, rows // (len(KINDS) + 1))
+
+    def smallest(batches):
+        best: dict[str, dict[int, str]] = {}
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                for piece in pieces(value):
+                    h = xxhash.xxh3_64_intdigest(piece) - (1 << 63)
+                    for kind in {k for _, _, k in base_spans(piece)} or {""}:
+                        own = best.setdefault(kind, {})
+                        own[h] = piece
+                        if len(own) > 4 * share:
+                            best[kind] = {x: own[x] for x in sorted(own)[:share]}
+        for kind, own in best.items():
+            kept = sorted(own)[:share]
+            yield pa.RecordBatch.from_pydict({"kind": [kind] * len(kept), "h": pa.array(kept, pa.int64()), "piece": [own[x] for x in kept]})
+
+    found = store(docs.filter(F.col(text).rlike("[0-9@]|[(\\[]at[)\\]]")).select(F.col(text).cast("string")).mapInArrow(smallest, "kind string, h long, piece string"))
+    chosen = [r["piece"] for kind in ["", *KINDS]
+              for r in found.filter(F.col("kind") == kind).select("h", "piece").distinct().orderBy("h", "piece").limit(share).collect()]
+    return train(sorted(set(chosen)))
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()),

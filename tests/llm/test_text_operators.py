@@ -130,6 +130,16 @@ def test_field_learns_rewritten_forms_and_keeps_base_spans(spark):
     assert pii.find(docs.limit(0), empty).count() == 0 and pii.all_spans("1.2.3.4", empty) == [(0, 7, "ip", True)]
 
 
+def test_field_learns_kinds_behind_copies_and_late_in_long_texts(spark):
+    numbers = " and ".join(f"{k} apples" for k in range(80))
+    rows = [(k, "the same 12 words again") for k in range(400)]
+    rows += [(1000 + k, f"{numbers} {k} then m{k}.x@site{k % 7}.example.com here") for k in range(40)]
+    model = pii.fit(spark.createDataFrame(rows, SCHEMA), rows=300)
+    assert "email" in model.weights
+    text = "now write joe.d[at]mail3.example.com today"
+    assert [(text[a:b], k) for a, b, k, _ in pii.all_spans(text, model)] == [("joe.d[at]mail3.example.com", "email")]
+
+
 def test_pii_digest(spark):
     assert pii.digest([(1, 3, "ip"), (4, 9, "card")]) == hashlib.sha256(b"ip:1:3,card:4:9").hexdigest()
 
