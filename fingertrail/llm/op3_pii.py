@@ -1,7 +1,7 @@
 """Personal data: a semi-Markov conditional random field over candidate segments.
 
-Words with a digit or an at sign, and their close neighbours, form clusters; outside them no segment can score.
-In a cluster every run of at most six words, stripped of outer punctuation, is a candidate for each kind. Features
+Words with a digit or an at sign, and up to five words on both sides, form clusters, over white space of at most four
+characters; outside them no segment can score. In a cluster every run of at most six words with such a word, stripped of outer punctuation, is a candidate for each kind. Features
 describe the whole span, and dynamic programming with bounded segments picks boundaries and kinds together.
 The field is trained on a bounded sample of documents: spans found by the plain patterns are its truth, also in
 rewritten forms that the patterns do not reach (spelled-out at signs, other number groupings). Plain spans
@@ -11,6 +11,7 @@ always stay; the field adds spans that overlap none of them.
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -30,6 +31,8 @@ from fingertrail.session import store
 #: At most so many different pieces of clusters are learned from: of each kind of plain match, and of those without any,
 #: an equal share with the smallest hashes. A piece is at most PIECE_WORDS words of a cluster; all pieces take part.
 SAMPLE_ROWS, PIECE_WORDS = 3_000, 48
+#: Characters of white space over which a cluster goes on.
+SHORT_SPACE = 4
 #: Words in a segment, and by how much the chosen reading must beat leaving the segment out.
 LONGEST, MARGIN = 6, 2.0
 
@@ -45,6 +48,7 @@ _RE = {kind: re.compile(pattern) for kind, pattern in PATTERNS.items()}
 _MAIL_HEAD = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _MAIL_TAIL = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DIGIT = re.compile(r"[0-9]")
+_SPACES = " \t\n\v\f\r"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]")
 _MAIL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -92,22 +96,56 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def clusters(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of neighbouring words that have a trigger, as (start, end) of the words; one plain word between two
-    of them ends the run."""
-    out, last = [], None
+    """Words that have a trigger with up to LONGEST - 1 words on both sides, as (start, end) of the words; runs
+    that meet are one, and longer white space ends a run."""
+    out, ahead, done = [], 0, 0  # words still to take after a trigger; where the words looked at end
+    run: list[tuple[int, int]] = []
+
+    def forward() -> bool:
+        """Take the next word after the run, if it stands near enough."""
+        word = _WORD.search(text, run[-1][1], run[-1][1] + SHORT_SPACE + 1)
+        if not word:
+            return False
+        run.append(_WORD.match(text, word.start()).span())
+        return True
+
     for hit in _TRIGGER.finditer(text):
-        if last is not None and hit.start() < last[1]:
+        if hit.start() < done:
             continue
-        start = hit.start()
-        while start > 0 and text[start - 1] not in " \t\n\v\f\r":
-            start -= 1
-        word = _WORD.match(text, start)
-        joined = last is not None and text[last[1]:start] == " "
-        last = (start, word.end())
-        if joined:
-            out[-1].append(last)
-        else:
-            out.append([last])
+        while run and ahead and run[-1][1] <= hit.start():
+            ahead = ahead - 1 if forward() else 0
+        if not run or run[-1][1] <= hit.start():
+            start = hit.start()
+            while start > 0 and text[start - 1] not in _SPACES:
+                start -= 1
+            own = [(start, _WORD.match(text, start).end())]
+            low = run[-1][1] if run else 0
+            joined = False
+            while len(own) < LONGEST:
+                end = own[-1][0]
+                at = end
+                while at > low and end - at <= SHORT_SPACE and text[at - 1] in _SPACES:
+                    at -= 1
+                if end - at > SHORT_SPACE or at == 0:
+                    break
+                if at == low:
+                    joined = bool(run)
+                    break
+                start = at
+                while start > low and text[start - 1] not in _SPACES:
+                    start -= 1
+                own.append((start, at))
+            if not joined and run and own[-1][0] > low:
+                gap = text[low:own[-1][0]]
+                joined = len(gap) <= SHORT_SPACE and not gap.strip(_SPACES)
+            if joined:
+                run += own[::-1]
+            else:
+                run = own[::-1]
+                out.append(run)
+        ahead, done = LONGEST - 1, run[-1][1]
+    while run and ahead:
+        ahead = ahead - 1 if forward() else 0
     return out
 
 
@@ -123,13 +161,15 @@ def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
-_AT = re.compile(r"@|[(\[]at[)\]]")
+_AT = re.compile(r" ?[(\[]at[)\]] ?|@")
+_DOT = re.compile(r" ?[(\[]dot[)\]] ?")
+_SPACE = re.compile(r"[\x20\x09-\x0D]+")
 _SHAPE = [(re.compile(r"[A-Za-zÀ-ɏ]+"), "a"), (re.compile(r"[0-9]"), "9")]
 
 
 def features(text: str, start: int, end: int) -> list[str]:
     """Names of the features of a whole span."""
-    span = text[start:end]
+    span = _SPACE.sub(" ", text[start:end])
     digits = "".join(_DIGIT.findall(span))
     n, letters = len(digits), sum(c.isalpha() for c in span)
     groups = [len(g) for g in re.findall(r"[0-9]+", span)]
@@ -139,7 +179,7 @@ def features(text: str, start: int, end: int) -> list[str]:
     if span[:1] == "+":
         f += ["plus", f"plus={10 <= n <= 15}"]
     if _AT.search(span) and letters:
-        local, _, host = _AT.sub("@", span).replace("[dot]", ".").replace("(dot)", ".").partition("@")
+        local, _, host = _DOT.sub(".", _AT.sub("@", span)).partition("@")
         good = bool(_MAIL_HEAD.match(local)) and bool(re.fullmatch(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", host))
         f.append(f"mail={good}")
     if letters == 0 and len(groups) == 4 and span.count(".") == 3 and len(marks) == 1:
@@ -151,6 +191,20 @@ def features(text: str, start: int, end: int) -> list[str]:
     return f
 
 
+def candidates(text: str, words: list[tuple[int, int]]):
+    """(first word, word after, start, end) of each run of a cluster's words that could be a span: it has a trigger,
+    and without outer punctuation it still reaches into its first and last word."""
+    near, nearest = [0] * len(words), len(words) + LONGEST
+    for k in range(len(words) - 1, -1, -1):
+        nearest = k if _TRIGGER.search(text, *words[k]) else nearest
+        near[k] = nearest
+    for i in range(len(words)):
+        for j in range(max(i, near[i]) + 1, min(i + LONGEST, len(words)) + 1):
+            a, b = trimmed(text, words[i][0], words[j - 1][1])
+            if 5 <= b - a <= 120 and (j == i + 1 or a < words[i][1] and b > words[j - 1][0]):
+                yield i, j, a, b
+
+
 @dataclass
 class SpanField:
     """Weights by kind and feature; a feature that training never saw in a span of any kind speaks against it."""
@@ -164,13 +218,9 @@ class SpanField:
     def segments(self, text: str, words: list[tuple[int, int]]) -> dict[tuple[int, int], list[tuple[float, str, int, int]]]:
         """Scored candidates of a cluster by (first word, word after)."""
         out = {}
-        for i in range(len(words)):
-            for j in range(i + 1, min(i + LONGEST, len(words)) + 1):
-                a, b = trimmed(text, words[i][0], words[j - 1][1])
-                if b - a < 5 or b - a > 120 or j > i + 1 and (a >= words[i][1] or b <= words[j - 1][0]):
-                    continue
-                names = features(text, a, b)
-                out[i, j] = [(self.score(k, names), k, a, b) for k in self.weights]
+        for i, j, a, b in candidates(text, words):
+            names = features(text, a, b)
+            out[i, j] = [(self.score(k, names), k, a, b) for k in self.weights]
         return out
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
@@ -207,11 +257,14 @@ def varied(text: str, rng: random.Random) -> tuple[str, list[tuple[int, int, str
         if rng.random() < 0.5:
             digits = "".join(_DIGIT.findall(span))
             if kind == "email":
-                span = span.replace("@", rng.choice(["(at)", "[at]"]))
+                sign, dot = rng.choice([("(at)", "."), ("[at]", "."), (" (at) ", "."), (" [at] ", "."), (" (at) ", " (dot) "), (" [at] ", " [dot] ")])
+                local, _, host = span.partition("@")
+                span = local + sign + host.replace(".", dot if host.count(".") == 1 else ".")
             elif kind == "phone" and len(digits) >= 10:
                 d = digits[-10:]
                 span = rng.choice([f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}",
                                    f"{digits[:-10] or 1} ({d[:3]}) {d[3:6]}-{d[6:]}"])
+                span = span.replace(" ", rng.choice([" ", "  ", "\t", "\n"]))
             elif kind == "card":
                 span = rng.choice(["/", "."]).join(digits[k:k + 4] for k in range(0, len(digits), 4))
         out += [text[at:a], span]
@@ -222,6 +275,11 @@ def varied(text: str, rng: random.Random) -> tuple[str, list[tuple[int, int, str
     return "".join([*out, text[at:]]), truth
 
 
+def _log_sum(values: list[float]) -> float:
+    most = max(values)
+    return most + math.log(sum(math.exp(v - most) for v in values)) if len(values) > 1 else most
+
+
 def train(texts: list[str], passes_over: int = 12, rate: float = 0.3, seed: int = 5) -> SpanField:
     """Stochastic ascent on the conditional likelihood, with forward-backward sums over all segmentations of a cluster."""
     rng = random.Random(seed)
@@ -237,34 +295,41 @@ def train(texts: list[str], passes_over: int = 12, rate: float = 0.3, seed: int
     if not kinds:
         return model
     model.weights = {k: {} for k in KINDS if kinds[k]}
-    prepared = []
+    prepared, place = [], {}
     for value, words, truth in examples:
         cuts = {}
-        for i in range(len(words)):
-            for j in range(i + 1, min(i + LONGEST, len(words)) + 1):
-                a, b = trimmed(value, words[i][0], words[j - 1][1])
-                if 5 <= b - a <= 120:
-                    cuts[i, j] = (features(value, a, b), {k for k in model.weights if (a, b, k) in truth})
-        prepared.append((len(words), cuts))
+        for i, j, a, b in candidates(value, words):
+            cuts[i, j] = (features(value, a, b), {k for k in model.weights if (a, b, k) in truth})
+        names = [[place.setdefault(f, len(place)) for f in fs] for fs, _ in cuts.values()]
+        if names:
+            prepared.append((len(words), list(cuts), np.array([f for fs in names for f in fs]), np.cumsum([0, *map(len, names)])[:-1],
+                             np.array([[k in true for _, true in cuts.values()] for k in model.weights], float), [len(fs) for fs in names]))
+    weights = np.zeros((len(model.weights), len(place)))
+    touched = np.zeros(weights.shape, bool)
     for _ in range(passes_over):
         rng.shuffle(prepared)
-        for n, cuts in prepared:
-            scores = {ij: {k: sum(model.weights[k].get(f, 0.0) for f in names) for k in model.weights}
-                      for ij, (names, _) in cuts.items()}
-            ahead, behind = [0.0] + [-np.inf] * n, [-np.inf] * n + [0.0]
+        for n, cuts, names, starts, true, sizes in prepared:
+            scores = np.add.reduceat(weights[:, names], starts, axis=1)
+            most = scores.max(0)
+            total = (most + np.log(np.exp(scores - most).sum(0))).tolist()  # of all kinds
+            ahead, behind = [0.0] * (n + 1), [0.0] * (n + 1)
+            into, out = [[] for _ in range(n + 1)], [[] for _ in range(n + 1)]
+            for (i, j), s in zip(cuts, total):
+                into[j].append((i, s))
+                out[i].append((j, s))
             for j in range(1, n + 1):
-                ahead[j] = np.logaddexp.reduce([ahead[j - 1], *(ahead[i] + s for i in range(max(0, j - LONGEST), j)
-                                                                for s in scores.get((i, j), {}).values())])
+                ahead[j] = _log_sum([ahead[j - 1], *(ahead[i] + s for i, s in into[j])])
             for i in range(n - 1, -1, -1):
-                behind[i] = np.logaddexp.reduce([behind[i + 1], *(behind[j] + s for j in range(i + 1, min(i + LONGEST, n) + 1)
-                                                                  for s in scores.get((i, j), {}).values())])
-            for (i, j), (names, true) in cuts.items():
-                for k, s in scores[i, j].items():
-                    step = rate * ((k in true) - float(np.exp(ahead[i] + s + behind[j] - ahead[n])))
-                    if abs(step) > 1e-4:
-                        own = model.weights[k]
-                        for f in names:
-                            own[f] = own.get(f, 0.0) + step
+                behind[i] = _log_sum([behind[i + 1], *(behind[j] + s for j, s in out[i])])
+            around = np.array([ahead[i] + behind[j] for i, j in cuts]) - ahead[n]
+            step = rate * (true - np.exp(scores + around))
+            step[np.abs(step) <= 1e-4] = 0
+            moved = np.repeat(step, sizes, axis=1)
+            for k in np.flatnonzero(step.any(1)):
+                np.add.at(weights[k], names, moved[k])
+                touched[k, names[moved[k] != 0]] = True
+    for k, kind in enumerate(model.weights):
+        model.weights[kind] = {f: float(weights[k, p]) for f, p in place.items() if touched[k, p]}
     return model
 
 

@@ -140,6 +140,26 @@ def test_field_learns_kinds_behind_copies_and_late_in_long_texts(spark):
     assert [(text[a:b], k) for a, b, k, _ in pii.all_spans(text, model)] == [("joe.d[at]mail3.example.com", "email")]
 
 
+def test_clusters_hold_near_words():
+    text = "a b c d e f g jane (at) example (dot) com h i      j k 5\tl\n m"
+    assert [[text[a:b] for a, b in words] for words in pii.clusters(text)] == [
+        "d e f g jane (at) example (dot) com h i".split(), "j k 5 l m".split()]
+    text = "1 a b c d e f g h i 2 a b c d e f g h i j k 3"
+    assert [[text[a:b] for a, b in words] for words in pii.clusters(text)] == [
+        "1 a b c d e f g h i 2 a b c d e".split(), "g h i j k 3".split()]
+
+
+def test_spaced_forms_are_found(spark):
+    rng = random.Random(4)
+    rows = [(k, f"please write to {rng.choice(['m', 'jo', 'ann'])}{rng.choice(['x', 'e', 'y'])}@site{k % 7}.com today or call "
+                f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)} about the {rng.randint(1, 99)} old houses") for k in range(300)]
+    model = pii.fit(spark.createDataFrame(rows, SCHEMA))
+    for form, kind in [("jane (at) example (dot) com", "email"), ("jane [at] example.com", "email"), ("(696)  555-2293", "phone"),
+                       ("(696)\t555-2293", "phone"), ("(696)\n555-2293", "phone")]:
+        text = f"please send word to {form} about the old houses"
+        assert [(text[a:b], k) for a, b, k, _ in pii.all_spans(text, model)] == [(form, kind)], form
+
+
 def test_pii_digest(spark):
     assert pii.digest([(1, 3, "ip"), (4, 9, "card")]) == hashlib.sha256(b"ip:1:3,card:4:9").hexdigest()
 
