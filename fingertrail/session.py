@@ -75,4 +75,12 @@ def store(df: DataFrame) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "stage")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete a table that ``store`` wrote and that nothing will read again."""
+    path = stored.sparkSession._jvm.org.apache.hadoop.fs.Path(stored._stored_at)
+    path.getFileSystem(stored.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
