@@ -200,7 +200,7 @@ def compress(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embeddin
 
     A component x is the integer floor(scale * x), held within LIMIT. The codebooks begin as the parts of the vectors of
     the smallest ids (null ids come last, equal ids by their vectors); fewer vectors make smaller codebooks. Vectors of
-    another length than the first of these have no code and are left out. Errors beyond a long count as the largest long.
+    another length than that of the smallest id have no code and are left out. Errors beyond a long count as the largest long.
     No vector at all gives an empty table and empty codebooks.
     """
     code, error = fresh("code", list(keep)), fresh("error", list(keep))
@@ -208,9 +208,11 @@ def compress(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embeddin
     number = F.transform(F.col(vector), lambda x: F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), F.floor(x.cast("double") * scale).cast("long"))))
     own = vectors.filter(F.coalesce(finite, F.lit(False)) & (F.size(vector) > 0)).select(
         F.struct(*quoted(list(keep))).alias("row"), F.col(vec_id).alias("id"), number.alias("v"))
-    first = own.select("id", "v").orderBy(F.col("id").asc_nulls_last(), "v").limit(entries).collect()  # the entries of a codebook
-    size = len(first[0]["v"]) if first else 0
-    start = np.array([r["v"] for r in first if len(r["v"]) == size], np.int64).reshape(-1, size)
+    order = own.select("id", "v").orderBy(F.col("id").asc_nulls_last(), "v")
+    head = order.first()
+    size = len(head["v"]) if head else 0
+    first = [r["v"] for r in order.filter(F.size("v") == size).limit(entries).collect()]  # the entries of a codebook
+    start = np.array(first, np.int64).reshape(len(first), size)
     bounds = cuts(size, parts)
     history = [[start[:, a:b] for a, b in zip(bounds, bounds[1:])]]
     state = {"code": "array<smallint>", "low": "array<float>", "stamp": "array<tinyint>", "error": "long", "part": "int", "entry": "int",
