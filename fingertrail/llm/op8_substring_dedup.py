@@ -5,13 +5,17 @@ each six neighbouring gaps give up the one whose two words have the smallest has
 around them alone, and a passage of 50 words or more holds a whole run that is the same wherever it stands. From every
 sentence starts a run: as many consecutive sentences as are needed for 30 words. Runs are hashed and joined over all documents; a run
 whose first document is another one, or that stands earlier in the same text, is a repeat, and all sentences that
-a repeat covers are removed. Only hashes and ids are shuffled until the texts are joined with their own repeats.
+a repeat covers are removed. Runs of a text are computed once and stored. Only hashes and ids are shuffled until the
+texts are joined with their own repeats: all runs once, with a combined count, then only those that a bitmap of fixed size says may be repeated.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +23,16 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import per_text, quoted, table
+from fingertrail.llm.common import fresh, per_text, quoted, table
+from fingertrail.session import store
 
 #: Words in a run, and the most words of a sentence before it is cut.
 RUN_WORDS, LONGEST = 30, 8
 #: Stretches of more words than FIXED are cut at the smallest hash of each GAPS neighbouring gaps, others after LONGEST words.
 #: A passage of 4 * GAPS + 26 words has its whole run in it; FIXED must stay below 22 less the first run's latest start.
 FIXED, GAPS = 10, 6
+#: Bits of the broadcast filter of repeated runs (16 MB); the more runs repeat, the less it spares.
+FILTER_BITS = 1 << 27
 # Classes of characters: 1 space or tab, 2 other white space, 4 a mark that ends a piece; places in a word have odd factors.
 _CLASS = np.zeros(129, np.uint8)
 _CLASS[[9, 32]], _CLASS[10:14], _CLASS[[ord(c) for c in ".!?,;:"]] = 1, 2, 4
@@ -107,38 +114,84 @@ def without(text: str, foreign: list[int] | None, run_words: int = RUN_WORDS) ->
     for i, j in [*repeats_within(found), *((i, j) for h, i, j in found if h in others)]:
         gone[i:j] = True
     kept = "".join(p for p, g in zip(parts, gone) if not g) if gone.any() else text
-    return {"text": kept, "n_sentences": len(parts), "n_removed": int(gone.sum())}
+    return {"text": kept, "n_removed": int(gone.sum())}
+
+
+FACTS = T.StructType([T.StructField("n_sentences", T.LongType()), T.StructField("twice", T.BooleanType()),
+                      T.StructField("runs", T.ArrayType(T.LongType()))])
+
+
+def facts_of(text: str, run_words: int) -> dict:
+    """Number of sentences, whether the text repeats a run of its own, and its different runs."""
+    parts = sentences(text)
+    found = runs(parts, run_words)
+    return {"n_sentences": len(parts), "twice": bool(repeats_within(found)), "runs": list({h for h, _, _ in found})}
+
+
+def run_filter(repeated: DataFrame) -> np.ndarray:
+    """A bitmap of FILTER_BITS bits with those of all repeated runs: of fixed size, whatever their number."""
+    at = F.pmod("run", F.lit(FILTER_BITS))
+    rows = repeated.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()  # FILTER_BITS / 32768 rows of 4 KB at most
+    bits = np.zeros(FILTER_BITS // 8 + 8192, np.uint8)
+    for r in rows:  # bucket 0 holds the number 0 alone, at its first bit
+        start = r["bucket"] * 4096
+        bits[start:start + len(r["bits"])] |= np.frombuffer(bytes(r["bits"]), np.uint8)
+    return bits
+
+
+def in_filter(bits: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Which runs may be repeated ones; the arithmetic is that of the bitmap functions."""
+    at = found % FILTER_BITS
+    bucket, place = np.where(at > 0, 1 + (at - 1) // 32768, 0), np.where(at > 0, (at - 1) % 32768, 0)
+    return bits[bucket * 4096 + place // 8] >> (place % 8).astype(np.uint8) & 1 > 0
 
 
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", run_words: int = RUN_WORDS) -> DataFrame:
-    """docs with the repeats taken out of their text, and with n_sentences and n_removed (columns of these names, _order, _foreign and _clean are left out).
+    """docs with the repeats taken out of their text, and with n_sentences and n_removed (underscores follow if docs has such columns).
 
     The first document of a run is the one with the smallest id; rows of one id count as one document, and rows
     without an id come last, as one. A text of fewer than `run_words` words is left as it is; a null text stays null.
+    Texts are cut once for their runs, and once more only where something is to be taken out.
     """
-    order = F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1))
-    hashes = per_text(lambda texts: [list({h for h, _, _ in runs(sentences(t), run_words)}) for t in texts], T.ArrayType(T.LongType()))
-    spans = docs.select(order.alias("_order"), F.explode(hashes(F.col(text))).alias("_run"))
-    first = (spans.groupBy("_run").agg(F.min("_order").alias("_first"), F.max("_order").alias("_last"))
-             .filter(F.col("_last") > F.col("_first")).drop("_last"))
-    foreign = (spans.join(first, "_run").filter(F.col("_order") > F.col("_first"))
-               .groupBy("_order").agg(F.collect_set("_run").alias("_foreign")))
-    clean_type = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_sentences", T.LongType()),
-                               T.StructField("n_removed", T.LongType())])
-    clean = _clean_udf(run_words, clean_type)
-    kept = [c for c in docs.columns if c.lower() not in ("n_sentences", "n_removed", "_order", "_foreign", "_clean")]
-    joined = docs.select(*quoted(kept), order.alias("_order")).join(foreign, "_order", "left")
-    cleaned = joined.withColumn("_clean", clean(F.col(text), F.col("_foreign")))
-    changed = F.when(F.col(text).isNotNull(), F.col("_clean.text")).alias(text)
-    return cleaned.select(*[changed if c == text else column for c, column in zip(kept, quoted(kept))],
-                          "_clean.n_sentences", "_clean.n_removed")
-
-
-def _clean_udf(run_words: int, kind: T.StructType):
+    names = list(docs.columns)
+    order, key, foreign, twice, clean, many, gone = (fresh(n, names) for n in ("_order", "_text", "_foreign", "_twice", "_clean", "n_sentences", "n_removed"))
+    place = F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1))
+    facts = per_text(lambda texts: [facts_of(t, run_words) for t in texts], FACTS)
+    known = store(docs.select(place.alias("order"), F.xxhash64(text).alias("key"), facts(F.col(text)).alias("f")).select("order", "key", "f.*"))
+    first = (known.select("order", F.explode("runs").alias("run")).groupBy("run")
+             .agg(F.min("order").alias("first"), F.max("order").alias("last")).filter("last > first").select("run", "first"))
+    first = store(first)
+    bits = known.sparkSession.sparkContext.broadcast(run_filter(first))
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            found = lists.flatten().to_numpy(zero_copy_only=False)
+            owner = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
+            keep = in_filter(bits.value, found)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[keep])), batch.column(1).take(pa.array(owner[keep])),
+                                              pa.array(found[keep])], names=["order", "key", "run"])
+
+    spans = known.select("order", "key", "runs").mapInArrow(likely, "order long, key long, run long")
+    others = (spans.join(first, "run").filter(F.col("order") > F.col("first"))
+              .groupBy("order", "key").agg(F.collect_set("run").alias("foreign")))  # runs of one text
+    own = known.select("order", "key", "n_sentences", "twice").dropDuplicates(["order", "key"]).join(others, ["order", "key"], "left").select(
+        F.col("order").alias(order), F.col("key").alias(key), F.col("n_sentences").alias(many), F.col("twice").alias(twice), F.col("foreign").alias(foreign))
+    joined = docs.withColumns({order: place, key: F.xxhash64(text)}).join(own, [order, key])
+    changed = F.col(twice) | F.col(foreign).isNotNull()
+    cleaned = joined.withColumn(clean, _clean_udf(run_words)(F.when(changed, F.col(text)), F.col(foreign)))
+    value = F.when(changed, F.col(f"{clean}.text")).otherwise(F.col(text)).alias(text)
+    return cleaned.select(*[value if c == text else column for c, column in zip(names, quoted(names))], many,
+                          F.coalesce(F.col(f"{clean}.n_removed"), F.lit(0).cast("long")).alias(gone))
+
+
+def _clean_udf(run_words: int):
+    kind = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_removed", T.LongType())])
     arrow = to_arrow_type(kind)
 
     def run(texts: pa.Array, foreign: pa.Array) -> pa.Array:
-        return pa.array([without(t.as_py() or "", f.as_py(), run_words) for t, f in zip(texts, foreign)], arrow)
+        return pa.array([None if t is None else without(t, f, run_words) for t, f in zip(texts.to_pylist(), foreign.to_pylist())], arrow)
 
     run.__annotations__ = {"texts": pa.Array, "foreign": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, kind)

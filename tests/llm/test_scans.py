@@ -4,12 +4,15 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import functions as F
 
 from fingertrail.llm import op5_secret_scan as secrets
 from fingertrail.llm import op6_license_scan as licenses
 from fingertrail.llm import op8_substring_dedup as dedup
+from fingertrail.llm.common import quoted
 from fingertrail.llm import op9_decontamination as leaks
 
 SCHEMA = "doc_id long, text string"
@@ -232,13 +235,22 @@ def test_mid_sentence_copy_is_removed(spark):
 
 
 def test_dedup_defined_cases(spark):
-    docs = odd_rows(spark)
+    docs = odd_rows(spark).withColumn("n_removed", F.col("row") * 7)
     got = dedup.deduplicate(docs)
-    assert got.columns == ["doc_id", "text", "row", "a.b", "n_sentences", "n_removed"] and got.count() == 12
+    assert got.columns == [*docs.columns, "n_sentences", "n_removed_"] and got.count() == 12
+    assert sorted(map(str, got.select(*quoted(docs.columns[2:])).collect())) == sorted(map(str, docs.select(*quoted(docs.columns[2:])).collect()))
     assert {r["text"] for r in got.collect() if r["doc_id"] != 5} == {t for k, t in enumerate(ODD) if k != 5} | {"no id"}
     assert dedup.deduplicate(docs.limit(0)).count() == 0
 
 
+def test_run_filter_knows_all_repeated_runs(spark):
+    rng = np.random.default_rng(8)
+    found = np.r_[rng.integers(-1 << 63, (1 << 63) - 1, 3000), 0, 1, dedup.FILTER_BITS, -1, -(1 << 63)]
+    bits = dedup.run_filter(spark.createDataFrame([(int(h),) for h in found[:2000].tolist() + found[-5:].tolist()], "run long"))
+    hit = dedup.in_filter(bits, found)
+    assert hit[:2000].all() and hit[-5:].all() and hit[2000:3000].sum() < 10
+
+
 # decontamination
 
 def edits(pattern, text):
