@@ -1,40 +1,50 @@
 """N-gram Jaccard join with prefix trees.
 
-A document is the set of its word n-grams, kept as 64-bit hashes in their numeric order, which is the global order.
-Equal sets become one. Sets with the same two first hashes are joined first, in blocks, as most links lie there;
-then only links between different components are sought. Sets that can reach the threshold share a hash in their prefixes; such hashes are found
-by one combinable count, and a join on them gives candidate pairs after four exact bounds: sizes, places in
-the prefixes, the parity bitmaps of both sets (their distance never exceeds the symmetric difference), and no
-common hash just before. A candidate pair is checked at the home of its smaller set: sets of one home and block form a trie
-over the ordered hashes, and the probing sets walk it together. A node's overlaps with all probes are
-counted once for all sets below it, and a subtree is left by every probe that what remains of both can
-no longer lift to the required overlap. A block gives back a spanning forest of its links, not all pairs.
+A document is the set of its word n-grams, kept as 64-bit hashes. Equal sets become one. The global order is by rising
+frequency: a sketch of counters of fixed size, summed over all tasks, gives every hash a class that takes its top bits,
+so numeric order is the order of prefixes, tries and bounds, and prefixes hold rare n-grams. (Any total order is exact;
+the counters only decide how much is compared.) Sets that can reach the threshold share a hash in their prefixes.
+
+Hashes in the prefixes of few sets give candidate pairs by a join, with exact bounds: sizes, places in the prefixes,
+no common hash just before, and the parity bitmaps of both sets, whose distance never exceeds the symmetric difference.
+Hashes of many sets give no pairs: rounds over one set per component tie most of their sets first, and if several
+components are left, their sets are dealt to cells as members, in blocks of bounded number and size.
+
+In a cell, the sets form a trie over their ordered hashes, and the probing sets walk it together. A node's overlaps with
+all probes are counted once for all sets below it, and a subtree is left by every probe that what remains of both
+can no longer lift to the required overlap. A cell gives back a spanning forest of its links, not all pairs.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import fresh, per_text, table
+from fingertrail.llm.common import fresh, per_text, slices, table
 from fingertrail.llm.components import components
 from fingertrail.session import store
 
 WORDS, PERCENT = 3, 90
-#: Sets of one home that form a trie, and probing sets that walk it at once; more of either make further blocks.
-BLOCK = 1_000
+#: Sets on either side of a cell, and the n-grams that they may have together; more of either make further cells.
+BLOCK, BLOCK_GRAMS = 1_000, 20_000_000
 #: Bits of the short bitmap; sets that need more than WIDE_FROM bits have a bitmap of that size or more instead.
 BITS, WIDE_FROM = 256, 200
-#: Prefix hashes of more sets are joined by size band, too, so that their pairs are spread over tasks and fewer.
-FREQUENT = 256
+#: Hashes in more prefixes than this are worked on in cells of members, others by pairs, which are at most so many for each entry.
+FREQUENT = 64
+#: Counters of the frequency sketch, and how many of them make a row.
+COUNTERS, CHUNK = 1 << 21, 1 << 12
+#: Bits of a hash below its frequency class.
+LOW_BITS = 57
 #: Ids of candidate documents that may be broadcast to fetch their texts; more are joined by a shuffle of the texts.
 MOST_IDS = 1_000_000
 
@@ -70,6 +80,14 @@ def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
+@dataclass
+class Hashing:
+    """What turns a text into its ordered hashes, and the threshold; classes is a broadcast variable."""
+    words: int
+    percent: int
+    classes: object
+
+
 def probe_prefix(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -79,57 +97,91 @@ def digest(s: np.ndarray) -> tuple[int, int]:
     return (value >> 64) - (1 << 63), (value & ((1 << 64) - 1)) - (1 << 63)
 
 
-SKETCH = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()),
+SKETCH = T.StructType([T.StructField("n", T.LongType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()),
                        T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("bits", T.ArrayType(T.LongType())),
                        T.StructField("wide", T.ArrayType(T.LongType()))])
 
 
+def counter_of(s: np.ndarray) -> np.ndarray:
+    return (s >> np.int64(20)) & np.int64(COUNTERS - 1)
+
+
+def by_frequency(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """The hashes with their frequency class as top bits, in rising order."""
+    return np.sort(classes[counter_of(s)].astype(np.int64) << np.int64(LOW_BITS) | s & np.int64((1 << LOW_BITS) - 1))
+
+
 def parity_bitmap(s: np.ndarray, bits: int) -> np.ndarray:
     """Which of so many residues of the hashes occur an odd number of times; both halves together are that of half the bits."""
     odd = np.bincount((s >> np.int64(17)) & np.int64(bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
-def sketches(texts: list[str], words: int, percent: int) -> list[dict]:
+def sketches(texts: list[str], words: int, percent: int, classes: np.ndarray) -> list[dict]:
     """Of each set: size, 128-bit digest, the hashes of its prefix and its parity bitmap."""
     out = []
-    for s in shingle_sets(texts, words):
-        if not len(s):
-            out.append({"n_shingles": 0, "k1": None, "k2": None, "prefix": None, "bits": None, "wide": None})
+    for raw in shingle_sets(texts, words):
+        if not len(raw):
+            out.append({"n": 0, "k1": None, "k2": None, "prefix": None, "bits": None, "wide": None})
             continue
+        s = by_frequency(raw, classes)
         # unrelated sets differ in half of the bits, which must be more than linked sets may differ in hashes
         need = max(64, 480 * len(s) * (100 - percent) // (100 + percent) // 100)
         wide = parity_bitmap(s, 1 << (need - 1).bit_length()) if need > WIDE_FROM else None
-        k1, k2 = digest(s)
-        out.append({"n_shingles": len(s), "k1": k1, "k2": k2, "prefix": s[:probe_prefix(len(s), percent)],
+        k1, k2 = digest(raw)
+        out.append({"n": len(s), "k1": k1, "k2": k2, "prefix": s[:probe_prefix(len(s), percent)],
                     "bits": parity_bitmap(s, BITS) if wide is None else None, "wide": wide})
     return out
 
 
-def candidates(reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) of different components, y the smaller set or of equal size and smaller id, that the bounds leave.
+def count_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
+    """Per row of docs (id, value) the size and digest of its set, and the frequency class of every counter.
 
-    reps has columns id, component, n_shingles, prefix, bits and wide.
+    Every task counts all n-grams of its texts in counters of fixed size; these are summed per row of counters.
     """
-    entries = reps.select("id", F.posexplode("prefix").alias("place", "token"), F.expr(_inner("n_shingles", percent)).alias("inner"))
-    # a hash counts if another set has it and at least one of them in the shorter prefix: both counts in one sum
-    shared = (entries.groupBy("token").agg(F.sum(F.when(F.col("place") < F.col("inner"), (1 << 32) + 1).otherwise(1)).alias("c"))
-              .withColumn("inner", F.shiftright("c", 32)).withColumn("c", F.col("c") - F.shiftleft("inner", 32))
-              .filter("c > 1 and inner > 0").drop("inner"))
-    bits = [F.get("bits", k).alias(f"b{k}") for k in range(BITS // 64)]
-    facts = reps.select("id", "component", F.col("n_shingles").alias("n"), "prefix", "wide", *bits)
-    live = entries.select("id", "token").join(shared, "token").join(facts, "id").withColumn(
-        "place", F.array_position("prefix", F.col("token")).cast("int") - 1).select(
-        "token", "c", "id", "component", "n", "place", "wide", *[f"b{k}" for k in range(BITS // 64)],
-        F.when(F.col("place") > 0, F.get("prefix", F.col("place") - 1)).alias("before"))
-    live = store(live)  # read from four sides
-    # a band is a little wider than the sizes of a pair may differ, so the larger set looks into its own and the band below
-    band = F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / percent) or 1.0))
-    frequent = live.filter(F.col("c") > FREQUENT).withColumn("band", band)
-    looking = frequent.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
-    rare = live.filter(F.col("c") <= FREQUENT).withColumn("band", F.lit(0).cast("long"))
-    found = _bounded_pairs(rare, rare, percent).unionByName(_bounded_pairs(looking, frequent, percent))
-    return found.distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            facts = []
+            for part in slices(batch.column(1).to_pylist()):
+                for s in shingle_sets(part, words):
+                    facts.append((len(s), *digest(s)) if len(s) else (0, None, None))
+                    counts += np.bincount(counter_of(s), minlength=COUNTERS) if len(s) > COUNTERS // 8 else 0
+                    if len(s) <= COUNTERS // 8:
+                        np.add.at(counts, counter_of(s), 1)
+            yield filled(batch.num_rows, id=batch.column(0), n=[f[0] for f in facts], k1=[f[1] for f in facts], k2=[f[2] for f in facts])
+        rows = np.minimum(counts, 65535).astype("<u2").reshape(-1, CHUNK)
+        used = np.flatnonzero(rows.any(1))
+        yield filled(len(used), chunk=used, counts=[r.tobytes() for r in rows[used]])
+
+    def filled(size: int, **columns) -> pa.RecordBatch:
+        kinds = {"id": pa.int64(), "n": pa.int64(), "k1": pa.int64(), "k2": pa.int64(), "chunk": pa.int64(), "counts": pa.binary()}
+        return pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(size, t) for k, t in kinds.items()], names=list(kinds))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts, "<u2").astype(np.int64)
+        classes = [np.log2(v + 1).astype(np.uint8).tobytes() for v in sums.values()]
+        yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(sums), pa.int64()), "classes": pa.array(classes, pa.binary())})
+
+    found = store(docs.mapInArrow(run, "id long, n long, k1 long, k2 long, chunk long, counts binary"))
+    rows = found.filter("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(add, "chunk long, classes binary")
+    classes = np.zeros((COUNTERS // CHUNK, CHUNK), np.uint8)
+    for r in rows.collect():  # a byte per counter
+        classes[r["chunk"]] = np.frombuffer(bytes(r["classes"]), np.uint8)
+    return found.filter("chunk is null").select("id", "n", "k1", "k2"), classes.reshape(-1)
+
+
+def live_entries(reps: DataFrame, percent: int) -> DataFrame:
+    """Prefix entries (token, c, id, n, place, before) whose hash c sets have, at least one of them in its shorter prefix."""
+    entries = reps.select("id", "n", F.posexplode("prefix").alias("place", "token"), "prefix")
+    entries = entries.select("token", "id", "n", "place", F.when(F.col("place") > 0, F.get("prefix", F.col("place") - 1)).alias("before"))
+    inside = F.when(F.col("place") < F.expr(_inner("n", percent)), (1 << 32) + 1).otherwise(1)
+    shared = (entries.groupBy("token").agg(F.sum(inside).alias("c")).withColumn("inner", F.shiftright("c", 32))
+              .withColumn("c", F.col("c") - F.shiftleft("inner", 32)).filter("c > 1 and inner > 0").drop("inner"))
+    return entries.join(shared, "token")
 
 
 def _inner(n: str, percent: int) -> str:
@@ -137,17 +189,21 @@ def _inner(n: str, percent: int) -> str:
     return f"({n} - ({2 * percent} * {n} + {99 + percent}) div {100 + percent} + 1)"
 
 
-def _bounded_pairs(probing: DataFrame, indexed: DataFrame, percent: int) -> DataFrame:
-    x, y = probing.alias("x"), indexed.alias("y")
+def candidate_pairs(live: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (token, x, y) that the bounds leave, y the smaller set or of equal size and smaller id; tokens are of few sets."""
+    x, y = live.alias("x"), live.alias("y")
     need = f"(({percent} * (x.n + y.n) + {99 + percent}) div {100 + percent})"
-    distance = " + ".join(f"bit_count(x.b{k} ^ y.b{k})" for k in range(BITS // 64))
     pairs = x.join(y, F.expr(f"""
-        x.token = y.token and x.band = y.band and x.component <> y.component and (y.n < x.n or y.n = x.n and y.id < x.id) and 100 * y.n >= {percent} * x.n
+        x.token = y.token and (y.n < x.n or y.n = x.n and y.id < x.id) and 100 * y.n >= {percent} * x.n
         and y.place < {_inner("y.n", percent)}
         and least(x.n - x.place, y.n - y.place) >= {need}
-        and (x.before is null or y.before is null or x.before <> y.before)
-        and coalesce({distance}, {_wide_distance("x.wide", "y.wide")}, 0) <= x.n + y.n - 2 * {need}"""))
-    return pairs.select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
+        and (x.before is null or y.before is null or x.before <> y.before)""")).select(
+        F.col("x.token").alias("token"), F.col("x.id").alias("x"), F.col("y.id").alias("y"), F.expr(f"x.n + y.n - 2 * {need}").alias("apart"))
+    maps = reps.select("id", F.col("bits"), F.col("wide"))
+    both = (pairs.join(maps.select(F.col("id").alias("x"), F.col("bits").alias("xb"), F.col("wide").alias("xw")), "x")
+            .join(maps.select(F.col("id").alias("y"), F.col("bits").alias("yb"), F.col("wide").alias("yw")), "y"))
+    distance = F.coalesce(F.expr(_wide_distance("xb", "yb")), F.expr(_wide_distance("xw", "yw")), F.lit(0))
+    return both.filter(distance <= F.col("apart")).select("token", "x", "y")
 
 
 def _wide_distance(a: str, b: str) -> str:
@@ -224,31 +280,63 @@ def forest(ids: dict, residents: list[int], probes: list[int], percent: int) ->
     return out
 
 
-def first_links(reps: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """Links between sets whose two first hashes are the same, within blocks: most links, not all."""
-    own = reps.select("id", "k1", F.get("prefix", 0).alias("g1"), F.coalesce(F.get("prefix", 1), F.lit(0)).alias("g2"))
-    several = own.groupBy("g1", "g2").agg(F.count("*").alias("c")).filter("c > 1")
-    members = own.join(several, ["g1", "g2"]).select(
-        "g1", "g2", F.pmod(F.xxhash64("id"), F.ceil(F.col("c") / BLOCK)).alias("g3"), F.lit(2).alias("role"), "id", "k1")
-    return walk(members, docs, percent, words)
+def _blocks(sets: Column, grams: Column) -> Column:
+    return F.greatest(F.ceil(sets / BLOCK), F.ceil(grams / BLOCK_GRAMS), F.lit(1))
 
 
-def further_links(reps: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """Links that tie all components which links tie at all: each candidate pair meets at the home of its smaller set."""
-    pairs = store(candidates(reps, percent))
-    home = reps.select(F.col("id").alias("y"), F.col("k1").alias("y1"), F.get("prefix", 0).alias("g1"))
-    own = store(pairs.join(home, "y").join(reps.select(F.col("id").alias("x"), F.col("k1").alias("x1")), "x"))
-    load = own.groupBy("g1").agg(F.approx_count_distinct("y").alias("ys"), F.approx_count_distinct("x").alias("xs"))
-    part = lambda c, n: F.pmod(F.xxhash64(c), F.ceil(F.col(n) / BLOCK))
-    placed = own.join(load, "g1").select("g1", part("y", "ys").alias("g2"), part("x", "xs").alias("g3"), "x", "x1", "y", "y1")
-    sides = F.array(F.struct(F.lit(0).alias("role"), F.col("y").alias("id"), F.col("y1").alias("k1")),
-                    F.struct(F.lit(1).alias("role"), F.col("x").alias("id"), F.col("x1").alias("k1")))
-    members = placed.select("g1", "g2", "g3", F.inline(sides)).distinct()
-    return walk(members, docs, percent, words)
+def _part(blocks: str, salt: int = 0) -> Column:
+    return F.pmod(F.xxhash64("id", F.lit(salt)), F.col(blocks))
 
 
-def walk(members: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """Links a, b of the forests of all blocks (g1, g2, g3): members are sets in the trie (role 0), probes (1) or both (2).
+def early_links(heavy: DataFrame, docs: DataFrame, hashing: Hashing) -> tuple[DataFrame, DataFrame]:
+    """(links, components) found among the sets of frequent hashes, from one set per hash and component in each round.
+
+    Rounds differ in the cells' cuts; they end when a round finds nothing new. What they leave out is left to the cells of members.
+    """
+    links, tied, found = None, None, 0
+    for salt in itertools.count():
+        named = _with_component(heavy, tied)
+        first = named.groupBy("token", "component").agg(F.min_by(F.struct("id", "k1", "n"), "id").alias("s")).select("token", "s.*")
+        load = first.groupBy("token").agg(_blocks(F.count("*"), F.sum("n")).alias("parts"), F.count("*").alias("sets")).filter("sets > 1")
+        members = first.join(load, "token").select(F.col("token").alias("g1"), _part("parts", salt).alias("g2"), F.lit(0).cast("long").alias("g3"),
+                                                   F.lit(2).alias("role"), "id", "k1")
+        new = store(walk(members, docs, hashing))
+        links = new if links is None else links.unionByName(new)
+        if new.isEmpty():
+            return links, tied
+        tied = store(components(links))
+
+
+def _with_component(entries: DataFrame, tied: DataFrame | None) -> DataFrame:
+    if tied is None:
+        return entries.withColumn("component", F.col("id"))
+    return entries.join(tied, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id")).drop("node")
+
+
+def cells(heavy: DataFrame, percent: int) -> DataFrame:
+    """Members of cells of frequent hashes that several components have; a set goes to the cells of its block's row and column.
+
+    A band is a little wider than the sizes of a pair may differ, so a set probes its own band and the one below.
+    """
+    several = heavy.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("token")
+    band = F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / percent) or 1.0))
+    rows = heavy.join(several, "token", "left_semi").withColumn("own", band)
+    rows = rows.withColumn("band", F.explode(F.array(F.col("own"), F.col("own") - 1)))
+    lives = F.col("own") == F.col("band")
+    load = rows.groupBy("token", "band").agg(
+        _blocks(F.count_if(lives), F.sum(F.when(lives, F.col("n")).otherwise(0))).alias("residents"),
+        _blocks(F.count("*"), F.sum("n")).alias("probes"), F.count_if(lives).alias("sets")).filter("sets > 0")
+    rows = rows.join(load, ["token", "band"])
+    home = F.struct("token", "band")
+    probing = rows.select(home.alias("h"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("residents") - 1)).alias("g2"), _part("probes").alias("g3"),
+                          F.lit(1).alias("role"), "id", "k1")
+    living = rows.filter(lives).select(home.alias("h"), _part("residents").alias("g2"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("probes") - 1)).alias("g3"),
+                                       F.lit(0).alias("role"), "id", "k1")
+    return probing.unionByName(living).select(F.xxhash64("h").alias("g1"), "g2", "g3", "role", "id", "k1")
+
+
+def walk(members: DataFrame, docs: DataFrame, hashing: Hashing) -> DataFrame:
+    """Links a, b of the forests of all cells (g1, g2, g3): members are sets in the trie (role 0), probes (1) or both (2).
 
     docs has columns id and value; a text is read only if its id is a member's.
     """
@@ -257,6 +345,7 @@ def walk(members: DataFrame, docs: DataFrame, percent: int, words: int) -> DataF
     ids = members.select("id").distinct()
     if members.count() <= MOST_IDS:
         docs = docs.join(F.broadcast(ids), "id", "left_semi")
+    percent, words, classes = hashing.percent, hashing.words, hashing.classes
     texts = members.join(docs, "id").repartition(*block).sortWithinPartitions(*block, "id").select(*block, "role", "id", "k1", "value")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,7 +367,7 @@ def walk(members: DataFrame, docs: DataFrame, percent: int, words: int) -> DataF
                     s = shingle_sets([values[i].as_py()], words)[0]
                     if not len(s) or digest(s)[0] != k1:
                         continue  # another text under the same id
-                    sets[doc] = s
+                    sets[doc] = by_frequency(s, classes.value)
                 for side in (0, 1):
                     if role in (side, 2) and (not sides[side] or sides[side][-1] != doc):
                         sides[side].append(doc)
@@ -295,18 +384,30 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int
     component of its copies that have one, else null.
     """
     value = F.col(text)
-    sketch = per_text(lambda texts: sketches(texts, words, percent), SKETCH)
-    sets = store(docs.select(F.col(doc_id).cast("long").alias("doc_id"), sketch(value).alias("s")).select("doc_id", "s.*"))
-    first = sets.filter("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"))
-    first = store(first)
-    reps = store(sets.join(first, ["k1", "k2"]).filter("doc_id = id").drop("doc_id"))
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), value.alias("value")).filter("id is not null and value is not null")
-    early = store(first_links(reps, texts, percent, words))
-    tied = reps.join(components(early), F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id"))
-    found = components(early.unionByName(further_links(tied.drop("node"), texts, percent, words)))
-    named = first.join(found, F.col("id") == F.col("node"), "left").select("k1", "k2", F.coalesce("component", "id").alias("component"))
-    out = sets.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), value.alias("value"))
+    sets, classes = count_sets(texts, words)
+    hashing = Hashing(words, percent, docs.sparkSession.sparkContext.broadcast(classes))
+    named = sets.filter("n > 0 and id is not null")
+    first = store(named.groupBy("k1", "k2").agg(F.min("id").alias("id")))
+    copies = named.select("id").distinct().join(first.select("id"), "id", "left_anti")
+    texts = texts.filter("id is not null and value is not null")
+    sketch = per_text(lambda part: sketches(part, words, percent, hashing.classes.value), SKETCH)
+    reps = store(texts.join(_few(store(copies)), "id", "left_anti").select("id", sketch(F.col("value")).alias("s")).filter("s.n > 0").select("id", "s.*"))
+    if reps.count() > first.count():  # repeated rows, or texts of which another id is the first
+        reps = store(reps.dropDuplicates(["id", "k1", "k2"]).join(first, ["k1", "k2", "id"], "left_semi"))
+    live = store(live_entries(reps, percent))
+    key = reps.select("id", "k1")
+    heavy = store(live.filter(F.col("c") > FREQUENT).select("token", "id", "n").join(key, "id"))
+    early, tied = early_links(heavy, texts, hashing)
+    pairs = store(candidate_pairs(live.filter(F.col("c") <= FREQUENT), reps, percent))
+    sides = F.array(F.struct(F.lit(0).alias("role"), F.col("y").alias("id")), F.struct(F.lit(1).alias("role"), F.col("x").alias("id")))
+    zero = F.lit(0).cast("long")
+    light = pairs.select(F.col("token").alias("g1"), zero.alias("g2"), zero.alias("g3"), F.inline(sides)).distinct().join(key, "id")
+    members = light.unionByName(cells(_with_component(heavy, tied), percent))
+    found = components(early.unionByName(walk(members, texts, hashing)))
+    tops = first.join(found, F.col("id") == F.col("node"), "left").select("k1", "k2", F.coalesce("component", "id").alias("component"))
+    out = sets.join(tops, ["k1", "k2"], "left")
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, percent: int = 80) -> DataFrame:
