@@ -350,6 +350,11 @@ class Touches:
             *hot.columns, *[c for c in table.columns if c not in keys])
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    """Columns that a hash takes: no maps and no variants, not even inside."""
+    return [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+
+
 def split_sessions(df: DataFrame, hot_rows: int | None = None, at_most: int | None = None) -> Touches:
     """Separate the sessions too large for one task.
 
@@ -372,5 +377,5 @@ def split_sessions(df: DataFrame, hot_rows: int | None = None, at_most: int | No
     # until an order is declared, a hash of the row spreads each large session
     pieces = max(2, -(-int(rows) // limit))
     hot = (df.join(keys, match, "left_semi")
-           .withColumn(CHUNK, F.pmod(F.xxhash64(*df.columns), F.lit(pieces)).cast("int")))
+           .withColumn(CHUNK, F.pmod(F.xxhash64(*_hashable(df)), F.lit(pieces)).cast("int")))
     return Touches(df.join(keys, match, "left_anti"), hot, hot_rows=limit, at_most=bound, hot_count=int(rows))

@@ -11,7 +11,7 @@ from fingertrail.operators import detect, reports
 from fingertrail.operators.groups import Touches, split_sessions
 from fingertrail.plans import cleaning
 from fingertrail.session import store
-from fingertrail.sources import documents, sinks, tables
+from fingertrail.sources import documents, sinks, tables, variants
 
 
 TOUCH_IDS = ["Touchdata_id", "event_index"]
@@ -99,3 +99,29 @@ def process_document_folder(spark: SparkSession, source: str, target: str, anoma
     """The same for a folder of JSON session documents, one session per file."""
     parsed = documents.read_session_documents(spark, source)
     return process_events(documents.flatten_documents(parsed), target, anomalies)
+
+
+def enhance_document_folder(spark: SparkSession, source: str, target: str, full: bool = False, per_session: bool = False) -> DataFrame:
+    """Clean the Coloring documents of a folder and write them again, enhanced, below ``target``; return a row per file.
+
+    Documents keep their header and all fields of their events, known or not, and gain the computed columns and
+    ``ml_metadata``. ``full`` takes the path with all features in place of the simple one. A file that is no JSON, has no
+    touches, or is of another type costs only itself: its status says why it has no document.
+    """
+    parsed = variants.parse_documents(variants.read_documents(spark, source))
+    events = store(variants.flatten_documents(parsed))
+    types = store(detect.detect_data_type(events))
+    coloring = events.join(types.filter("data_type = 'Coloring'").select("session_id"), "session_id")
+    touches = split_sessions(coloring)
+    cleaned = cleaning.clean_and_enhance(touches) if full else cleaning.clean_simple(touches)
+    rows = store(cleaned.rows())
+    columns = [c for c in rows.columns if c not in ("session_id", "extra")]
+    built = store(sinks.enhanced_documents(rows, columns, variants.document_headers(parsed)))
+    sinks.write_documents(built, f"{target}/documents", per_session)
+    counts = built.groupBy("session_id").agg(F.count(F.lit(1)).alias("documents"), F.sum("n_events").alias("events"))
+    report = variants.document_report(parsed).select("session_id", F.col("status").alias("read"))
+    status = report.join(types.select("session_id", "data_type"), "session_id", "left").join(counts, "session_id", "left").select(
+        "session_id", F.when(F.col("read") != "ok", F.col("read")).when(F.col("documents").isNull(), "not_coloring").otherwise("success").alias("status"),
+        "data_type", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("events", F.lit(0)).alias("events"))
+    sinks.write_report(status, f"{target}/processing_summary")
+    return status

@@ -20,6 +20,8 @@ def build_session(app: str = "fingertrail", master: str | None = None, **conf: s
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # a join on (session, touch) may reuse rows already clustered by session
         "spark.sql.requireAllClusterKeysForCoPartition": "false",
+        # of a repeated key in a document the last one counts
+        "spark.sql.variant.allowDuplicateKeys": "true",
         **conf,
     }
     for key, value in settings.items():
