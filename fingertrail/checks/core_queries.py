@@ -114,7 +114,7 @@ def csv_event_scan(spark, sf_dir):
     path = scratch_path(spark, "csv")
     names = ["session_id", *EVENTS]
     touch_view(spark, sf_dir).rows().select(*names).write.option("header", True).csv(path)
-    return _event_rows(tables.read_event_csv(spark, path, session_column="session_id"))
+    return _event_rows(tables.scan_event_csv(spark, path, session_column="session_id"))
 
 
 @query("csv_comment_scan", sql(TOUCH, _event_sql("event_index")))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import csv
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fingertrail.session import store
+from fingertrail.sources import csv_scan
+
 # Column types of known event and result columns; anything else is read as text.
 _DOUBLES = {"x", "y", "time", "accx", "accy", "accz", "completionPerc", "distance", "startTime",
             "endTime", "durationSec", "totalDistance", "ml_quality_score", "temporal_consistency",
@@ -37,31 +37,14 @@ def _file_name() -> F.Column:
                             r"\.csv$", "")
 
 
-def csv_headers(spark: SparkSession, path: str, comment: str | None = None, file_glob: str = "*.csv") -> dict[tuple[str, ...], list[str]]:
-    """The files of a folder by their header's column names.
-
-    A file's first line is the one of smallest number in the task that reads the file's start, so this is a scan with
-    a combinable minimum. The result names every file once, as Spark's own file listing on the driver does.
-    """
-    lines = spark.read.text(path, pathGlobFilter=file_glob).filter(F.col("_metadata.file_block_start") == 0)
-    if comment:
-        lines = lines.filter(~F.col("value").startswith(comment))
-    first = (lines.select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n"))
-             .groupBy("file").agg(F.min_by("value", "n").alias("header")))
-    found: dict[tuple[str, ...], list[str]] = {}
-    for row in first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect():
-        found.setdefault(tuple(next(csv.reader([row.header]), [])), []).extend(row.files)
-    return found
-
-
 def read_event_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
                    comment: str | None = None, header: bool = True, file_glob: str = "*.csv",
                    session_column: str | None = None) -> DataFrame:
     """Event rows of all matching files of a folder; each file is a session, or a column names it.
 
-    Each file is read by its own header: files of one header share a reader, and the tables are united
-    by name. With ``columns`` all files have these. Rows are not sorted here; every ordered operation
-    states its own order.
+    Each file is read by its own header, in one pass over all files whose rows are stored (see ``csv_scan``), and has
+    the columns of all headers; names that differ by case only are one column. With ``columns`` all files have these.
+    Rows are not sorted here; every ordered operation states its own order.
     """
     def read(names: list[str], files: str | list[str]) -> DataFrame:
         schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
@@ -74,11 +57,23 @@ def read_event_csv(spark: SparkSession, path: str, columns: list[str] | None = N
 
     if columns:
         return read(columns, path)
-    layouts = csv_headers(spark, path, comment, file_glob)
-    if not layouts:
-        return read(["touchPhase", *([session_column] if session_column else [])], path)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
-                  [read(list(names), files) for names, files in layouts.items()])
+    rows = store(csv_scan.scan_lines(spark, path, comment, file_glob))
+    names: dict[str, list[str]] = {}
+    for name in csv_scan.column_names(rows):
+        names.setdefault(name.lower(), []).append(name)
+    values = [F.coalesce(*[F.col(n) if n in csv_scan.KNOWN else F.element_at("extra", n) for n in same]).alias(same[0])
+              for same in names.values() if same[0].lower() != "session_id"]
+    own = csv_scan.with_session(rows.filter("_names is null"), session_column)
+    if not values:
+        values = [F.lit(None).cast("string").alias("touchPhase")]
+    return _typed(own.select(*values, "session_id"))
+
+
+def scan_event_csv(spark: SparkSession, path: str, comment: str | None = None, file_glob: str = "*.csv",
+                   session_column: str | None = None) -> DataFrame:
+    """The same lazily and with fixed columns: session_id, the known event columns, and ``extra`` with all others as text."""
+    rows = csv_scan.with_session(csv_scan.scan_lines(spark, path, comment, file_glob).filter("_names is null"), session_column)
+    return _typed(rows.select("session_id", *csv_scan.KNOWN, "extra"))
 
 
 def read_commented_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
