@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fingertrail.functions.phases import any_phase, is_phase
+from fingertrail.operators import segment_large
 from fingertrail.operators.groups import LastBefore, Previous, RunningSum, Touches
 from fingertrail.schema import time_order
 
@@ -30,15 +33,18 @@ def segment_sequences(touches: Touches) -> Touches:
            .otherwise(is_phase("Ended", "Canceled", "E", "S")))
     middle = F.when(long_names, is_phase("Moved", "Stationary")).when(short_names, is_phase("M"))
 
-    rows = (touches.arrange(FINGER, time_order(touches.columns))
-            .totals(["session_id"], _any_began=any_phase("Began"), _any_b=any_phase("B"))
+    order, session = time_order(touches.columns), {"_any_began": any_phase("Began"), "_any_b": any_phase("B")}
+    laid = touches.arrange(FINGER, order)
+    rows = (replace(laid, hot=None).totals(["session_id"], **session)
             .with_columns(_begin=begin, _end=end, _middle=F.coalesce(middle, F.lit(False))))
     rows = rows.running(_count=RunningSum(F.col("_begin").cast("long")),
                         _open=_open_before(F.col("_begin"), F.col("_end")))
     inside = F.col("_begin") | F.coalesce(F.col("_open"), F.lit(False))
     rows = rows.with_columns(seqId=F.when(inside, F.col("_count")).otherwise(F.lit(0)))
     rows = rows.totals(FINGER, _last_seq=F.max("_count"))
-    rows = rows.totals(SEQUENCE, _has_end=F.max("_end"), _has_middle=F.max("_middle"))
+    rows = rows.totals(SEQUENCE, _has_end=F.max("_end"), _has_middle=F.max("_middle")).drop("_open", "_middle", *session)
+    if laid.hot is not None:
+        rows = replace(rows, hot=segment_large.coloring(laid.hot, order, begin, end, middle, session), stored=False)
 
     in_sequence = F.col("seqId") > 0
     interrupted = in_sequence & ~F.col("_has_end") & (F.col("seqId") < F.col("_last_seq"))
@@ -49,8 +55,7 @@ def segment_sequences(touches: Touches) -> Touches:
         # ends are counted only while a sequence is open and the first one closes it
         multiple_end_events=F.lit(False),
         improper_sequence_order=interrupted | (in_sequence & F.col("_has_end") & ~F.col("_has_middle")),
-    ).drop("_any_began", "_any_b", "_begin", "_end", "_middle", "_count", "_open", "_last_seq",
-           "_has_end", "_has_middle")
+    ).drop("_begin", "_end", "_count", "_last_seq", "_has_end", "_has_middle")
 
 
 def segment_tracing_sequences(touches: Touches) -> Touches:
@@ -62,12 +67,16 @@ def segment_tracing_sequences(touches: Touches) -> Touches:
     begin, end = is_phase("B"), is_phase("E")
 
     distance = F.col("distance") if "distance" in touches.columns else F.lit(None).cast("double")
-    rows = (touches.arrange(FINGER, order)
+    previous = {"_x": F.col("x"), "_y": F.col("y"), "_d": distance}
+    laid = touches.arrange(FINGER, order)
+    rows = (replace(laid, hot=None)
             .running(_count=RunningSum(begin.cast("long")), _open=_open_before(begin, end),
-                     _x=Previous(F.col("x")), _y=Previous(F.col("y")), _d=Previous(distance))
+                     **{name: Previous(value) for name, value in previous.items()})
             .with_columns(_open=F.coalesce(F.col("_open"), F.lit(False)),
                           seqId=F.when(tracked, F.col("_count")).otherwise(F.lit(0))))
     rows = rows.totals(SEQUENCE, _has_end=F.max(end))
+    if laid.hot is not None:
+        rows = replace(rows, hot=segment_large.tracing(laid.hot, order, begin, end, tracked, previous), stored=False)
     still = (F.abs(F.col("x") - F.col("_x")) < 0.01) & (F.abs(F.col("y") - F.col("_y")) < 0.01)
     rows = rows.with_columns(
         ORPHANED_FINGER=tracked & is_phase("M", "S", "E") & ~F.col("_open"),
