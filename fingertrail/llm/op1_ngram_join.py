@@ -36,7 +36,7 @@ from fingertrail.session import store
 
 WORDS, PERCENT = 3, 90
 #: Sets on either side of a cell, and the n-grams that they may have together; more of either make further cells.
-BLOCK, BLOCK_GRAMS = 1_000, 20_000_000
+BLOCK, BLOCK_GRAMS = 1_000, 2_000_000
 #: Bits of the short bitmap; sets that need more than WIDE_FROM bits have a bitmap of that size or more instead.
 BITS, WIDE_FROM = 256, 200
 #: Hashes in more prefixes than this are worked on in cells of members, others by pairs, which are at most so many for each entry.
@@ -107,8 +107,13 @@ def counter_of(s: np.ndarray) -> np.ndarray:
 
 
 def by_frequency(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """The hashes with their frequency class as top bits, in rising order."""
-    return np.sort(classes[counter_of(s)].astype(np.int64) << np.int64(LOW_BITS) | s & np.int64((1 << LOW_BITS) - 1))
+    """The hashes with their frequency class as top bits."""
+    return classes[counter_of(s)].astype(np.int64) << np.int64(LOW_BITS) | s & np.int64((1 << LOW_BITS) - 1)
+
+
+def smallest(s: np.ndarray, k: int) -> np.ndarray:
+    """The k smallest values in rising order."""
+    return np.sort(np.partition(s, k - 1)[:k] if k < len(s) else s)
 
 
 def parity_bitmap(s: np.ndarray, bits: int) -> np.ndarray:
@@ -129,7 +134,7 @@ def sketches(texts: list[str], words: int, percent: int, classes: np.ndarray) ->
         need = max(64, 480 * len(s) * (100 - percent) // (100 + percent) // 100)
         wide = parity_bitmap(s, 1 << (need - 1).bit_length()) if need > WIDE_FROM else None
         k1, k2 = digest(raw)
-        out.append({"n": len(s), "k1": k1, "k2": k2, "prefix": s[:probe_prefix(len(s), percent)],
+        out.append({"n": len(s), "k1": k1, "k2": k2, "prefix": smallest(s, probe_prefix(len(s), percent)),
                     "bits": parity_bitmap(s, BITS) if wide is None else None, "wide": wide})
     return out
 
@@ -144,11 +149,9 @@ def count_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
         for batch in batches:
             facts = []
             for part in slices(batch.column(1).to_pylist()):
-                for s in shingle_sets(part, words):
-                    facts.append((len(s), *digest(s)) if len(s) else (0, None, None))
-                    counts += np.bincount(counter_of(s), minlength=COUNTERS) if len(s) > COUNTERS // 8 else 0
-                    if len(s) <= COUNTERS // 8:
-                        np.add.at(counts, counter_of(s), 1)
+                sets = shingle_sets(part, words)
+                facts += [(len(s), *digest(s)) if len(s) else (0, None, None) for s in sets]
+                counts += np.bincount(counter_of(np.concatenate(sets)), minlength=COUNTERS)
             yield filled(batch.num_rows, id=batch.column(0), n=[f[0] for f in facts], k1=[f[1] for f in facts], k2=[f[2] for f in facts])
         rows = np.minimum(counts, 65535).astype("<u2").reshape(-1, CHUNK)
         used = np.flatnonzero(rows.any(1))
@@ -367,7 +370,7 @@ def walk(members: DataFrame, docs: DataFrame, hashing: Hashing) -> DataFrame:
                     s = shingle_sets([values[i].as_py()], words)[0]
                     if not len(s) or digest(s)[0] != k1:
                         continue  # another text under the same id
-                    sets[doc] = by_frequency(s, classes.value)
+                    sets[doc] = np.sort(by_frequency(s, classes.value))
                 for side in (0, 1):
                     if role in (side, 2) and (not sides[side] or sides[side][-1] != doc):
                         sides[side].append(doc)
