@@ -175,33 +175,69 @@ def _running_hot(df: DataFrame, keys, order, columns: dict) -> DataFrame:
           for name, spec in columns.items()])
 
 
-def hot_quantiles(df: DataFrame, keys, columns: dict[str, Quantile], chunk_rows: int) -> DataFrame:
-    """Exact quantiles of groups of any size: count values, rank them along chunks, interpolate."""
-    result = None
+# size of the quantile sketch, the share of values on either side of a wanted rank that its error cannot leave, and the
+# number of values up to which a group is ranked whole
+SKETCH_SIZE, MARGIN, RANKED_WHOLE = 1024, 0.014, 1_000
+
+
+def hot_quantiles(df: DataFrame, keys, columns: dict[str, Quantile], chunk_rows: int, bracketed: bool = True) -> DataFrame:
+    """Exact quantiles of groups of any size, all at once.
+
+    One pass keeps a mergeable sketch per group and value, which brackets each wanted rank between two values. A second
+    pass counts what lies below a bracket and keeps only the different values inside it, which are ranked and
+    interpolated. Should a bracket miss its rank, as a sketch may, all values of the table are ranked instead.
+    """
+    values: dict[str, tuple[str, Column]] = {}
     for name, spec in columns.items():
-        values = (df.select(*keys, spec.value.cast("double").alias("_v"))
-                  .filter(F.col("_v").isNotNull())
-                  .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")))
-        values = _range_chunks(values, keys, ["_v"], chunk_rows)
-        ranked = _running_hot(values, keys, ["_v"], {"_upto": RunningSum(F.col("_n"))})
-        size = values.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-        pairs = _null_safe(values.select(*keys, CHUNK).distinct(), size, keys, "inner")
-        ranked = _null_safe(ranked, pairs, [*keys, CHUNK], "inner")
-        at = F.lit(spec.q) * (F.col("_size") - 1)
-
-        def holds(rank):
-            return (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
-
-        one = (ranked.withColumn("_at", at)
-               .filter(holds(F.floor("_at")) | holds(F.ceil("_at")))
-               .groupBy(*keys)
-               .agg(F.max(F.when(holds(F.floor("_at")), F.col("_v"))).alias("_lo"),
-                    F.max(F.when(holds(F.ceil("_at")), F.col("_v"))).alias("_hi"),
-                    F.max("_at").alias("_at"))
-               .select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo"))
-                               * (F.col("_at") - F.floor("_at"))).alias(name)))
-        result = one if result is None else _null_safe(result, one, keys, "left")
-    return result
+        values.setdefault(str(spec.value), (f"_v{len(values)}", spec.value.cast("double")))
+    of = {name: values[str(spec.value)][0] for name, spec in columns.items()}
+    rows = df.select(*keys, *([CHUNK] if CHUNK in df.columns else []), *[c.alias(v) for v, c in values.values()])
+    found = rows.groupBy(*keys).agg(*[F.count(v).alias(f"_n{v}") for v, _ in values.values()],
+                                    *[F.kll_sketch_agg_double(v, F.lit(SKETCH_SIZE)).alias(f"_s{v}") for v, _ in values.values() if bracketed])
+
+    def bound(name: str, rank: float) -> Column:
+        if not bracketed or not 0 < rank < 1:
+            return F.lit(None).cast("double")
+        large = F.col(f"_n{of[name]}") > RANKED_WHOLE
+        return F.when(large, F.kll_sketch_get_quantile_double(F.when(large, F.col(f"_s{of[name]}")), F.lit(rank)))
+
+    limits = store(found.select(
+        *keys, *[F.col(f"_n{v}") for v, _ in values.values()], *[bound(n, s.q - MARGIN).alias(f"_lo_{n}") for n, s in columns.items()],
+        *[bound(n, s.q + MARGIN).alias(f"_hi_{n}") for n, s in columns.items()]))
+    if CHUNK in rows.columns:  # the chunk in the join key spreads a large group over many tasks
+        pairs = _null_safe(rows.select(*keys, CHUNK).distinct(), limits, keys, "inner")
+        rows = _null_safe(rows, pairs, [*keys, CHUNK], "inner")
+    else:
+        rows = _null_safe(rows, limits, keys, "inner")
+
+    def entry(name: str) -> Column:
+        v, low, high = F.col(of[name]), F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        below = F.coalesce(v < low, F.lit(False))
+        wanted = v.isNotNull() & (below | F.coalesce(v <= high, high.isNull()))
+        return F.when(wanted, F.struct(F.lit(name).alias("_name"), F.when(~below, v).alias("_v")))
+
+    counted = (rows.select(*keys, F.explode(F.array_compact(F.array(*[entry(n) for n in columns]))).alias("_e")).select(*keys, "_e.*")
+               .groupBy(*keys, "_name", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    group = [*keys, "_name"]
+    laid = _range_chunks(counted, group, ["_v"], chunk_rows)  # nulls first: what lies below counts before all others
+    ranked = _running_hot(laid, group, ["_v"], {"_upto": RunningSum(F.col("_n"))}).filter(F.col("_v").isNotNull())
+    sizes = limits.select(*keys, F.inline(F.array(*[
+        F.struct(F.lit(n).alias("_name"), F.col(f"_n{of[n]}").alias("_size"), (F.lit(s.q) * (F.col(f"_n{of[n]}") - 1)).alias("_at"))
+        for n, s in columns.items()]))).filter("_size > 0")
+    ranks = _null_safe(laid.select(*group, CHUNK).distinct(), sizes, group, "inner")
+    ranked = _null_safe(ranked, ranks, [*group, CHUNK], "inner")
+
+    def holds(rank):
+        return (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
+
+    picked = (ranked.filter(holds(F.floor("_at")) | holds(F.ceil("_at"))).groupBy(*group)
+              .agg(F.max(F.when(holds(F.floor("_at")), F.col("_v"))).alias("_lo"), F.max(F.when(holds(F.ceil("_at")), F.col("_v"))).alias("_hi"),
+                   F.max("_at").alias("_at")))
+    picked = store(picked.select(*group, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_at") - F.floor("_at"))).alias("_q")))
+    if bracketed and picked.filter("_q is not null").count() < sizes.count():
+        return hot_quantiles(df, keys, columns, chunk_rows, False)
+    wide = picked.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == n, F.col("_q"))).alias(n) for n in columns])
+    return _null_safe(limits.select(*keys), wide, keys, "left")
 
 
 def table_quantiles(df: DataFrame, columns: dict[str, Quantile], hot_rows: int = HOT_ROWS_DEFAULT,
