@@ -9,6 +9,7 @@ are drawn. Cutting is a per-document function, so the job has no shuffle at all.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from functools import lru_cache
 
@@ -20,12 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import per_text, quoted, table
+from fingertrail.llm.common import fresh, per_text, quoted, table
 
 MAX_TOKENS = 2048
 END_ID = 1
 #: The ranks file holds the vocabulary of byte_bpe_50k.json and gives the same ids several times faster.
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Its added tokens are single ids wherever they stand in a text, as the tokenizers library has it by default.
+TOKENIZER = "byte_bpe_50k.json"
 
 PIECE = [T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
          T.StructField("ids_crc32", T.LongType())]
@@ -33,10 +36,15 @@ IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
 
 @lru_cache(maxsize=2)
-def encoding(path: str) -> tiktoken.Encoding:
+def encoding(path: str, tokenizer: str | None) -> tiktoken.Encoding:
+    """The ranks of a vocabulary, with the added tokens that a tokenizer file lists (none without such a file)."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    added = {}
+    if tokenizer:
+        with open(tokenizer, encoding="utf-8") as text:
+            added = {t["content"]: t["id"] for t in json.load(text)["added_tokens"]}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
 def piece_lengths(n: int, most: int = MAX_TOKENS) -> list[int]:
@@ -46,23 +54,24 @@ def piece_lengths(n: int, most: int = MAX_TOKENS) -> list[int]:
 
 
 def pack(docs: DataFrame, text: str = "text", *, max_tokens: int = MAX_TOKENS, end_id: int = END_ID,
-         vocabulary: str | None = None, keep_ids: bool = True) -> DataFrame:
+         vocabulary: str | None = None, tokenizer: str | None = None, keep_ids: bool = True) -> DataFrame:
     """One row per piece: the columns of docs except the text, then start, length, ids_crc32, ids (if kept),
-    doc_tokens, sequence_id and offset.
+    doc_tokens, sequence_id and offset, with underscores where docs has a column of that name.
 
     `max_tokens` is a power of two. A null or empty text packs its end id alone. Repeated rows are packed
-    each, whatever their ids. Columns of docs that have one of the new names (or _packed, _piece) are left out. sequence_id is
-    unique but has gaps; the bucket of a sequence is its length.
+    each, whatever their ids. Added tokens of the `tokenizer` file are single ids; an own vocabulary without such a file has
+    none. sequence_id is unique but has gaps; the bucket of a sequence is its length.
     """
     if max_tokens & (max_tokens - 1):
         raise ValueError("max_tokens is a power of two")
     path = vocabulary or public_tokenizers.path(VOCABULARY)
+    added = tokenizer or (None if vocabulary else public_tokenizers.path(TOKENIZER))
 
     def cut(texts: list[str]) -> list[dict]:
-        encode = encoding(path).encode_ordinary
+        encode = encoding(path, added).encode
         out = []
         for value in texts:
-            ids = np.array([*encode(value), end_id], dtype="<u4")
+            ids = np.array([*encode(value, allowed_special="all"), end_id], dtype="<u4")
             pieces, start = [], 0
             for length in piece_lengths(len(ids), max_tokens):
                 part = ids[start:start + length]
@@ -75,14 +84,13 @@ def pack(docs: DataFrame, text: str = "text", *, max_tokens: int = MAX_TOKENS, e
     piece = T.StructType([*PIECE, IDS] if keep_ids else PIECE)
     packed = per_text(cut, T.StructType([T.StructField("doc_tokens", T.LongType()),
                                          T.StructField("pieces", T.ArrayType(piece))]))
-    new = [*piece.names, "doc_tokens", "sequence_id", "offset"]
-    hidden = [text, *new, "_packed", "_piece"]
-    kept = quoted([c for c in docs.columns if c.lower() not in {h.lower() for h in hidden}])
-    rows = docs.select(*kept, packed(F.col(text)).alias("_packed"))
-    rows = rows.select(*kept, F.col("_packed.doc_tokens").alias("doc_tokens"),
-                       F.explode("_packed.pieces").alias("_piece"))
-    return rows.select(*kept, *[F.col(f"_piece.{c}").alias(c) for c in piece.names], "doc_tokens",
-                       F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    kept = [c for c in docs.columns if c != text]
+    names = {name: fresh(name, kept) for name in [*piece.names, "doc_tokens", "sequence_id", "offset"]}
+    whole, one = fresh("_packed", kept), fresh("_piece", kept)
+    rows = docs.select(*quoted(kept), packed(F.col(text)).alias(whole))
+    rows = rows.select(*quoted(kept), F.col(f"{whole}.doc_tokens").alias(names["doc_tokens"]), F.explode(f"{whole}.pieces").alias(one))
+    return rows.select(*quoted(kept), *[F.col(f"{one}.{c}").alias(names[c]) for c in piece.names], names["doc_tokens"],
+                       F.monotonically_increasing_id().alias(names["sequence_id"]), F.lit(0).cast("long").alias(names["offset"]))
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:

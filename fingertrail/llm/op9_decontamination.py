@@ -3,7 +3,8 @@
 An item of m characters may differ from a passage by a budget of edits. Cut into one piece more than the
 budget, at least one piece must occur unchanged; all pieces of a block of items are searched at once in each
 text, and each hit's surroundings are verified with Myers' bit-parallel edit distance. Both sides are
-lower-cased and their white space is folded first.
+lower-cased and their white space is folded first. A passage begins and ends at word borders, so that a short item
+does not count inside longer words.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import per_text, table
+from fingertrail.llm.common import fresh, per_text, table
 from fingertrail.session import store
 
 #: One edit for every so many characters of an item; shorter items must occur unchanged.
@@ -62,15 +63,24 @@ def scan(pattern: str, text: str, anchored: bool = False) -> Iterator[int]:
         yield score
 
 
-def best_passage(item: str, text: str, most: int) -> tuple[int, int, int] | None:
-    """Distance, start and end of the closest passage within the budget; ties go to the leftmost end, then the
-    shortest passage."""
-    distance, end = min(((d, j + 1) for j, d in enumerate(scan(item, text))), default=(most + 1, 0))
-    if distance > most:
-        return None
-    back = text[:end][::-1][:len(item) + most]
-    length = next(j + 1 for j, d in enumerate(scan(item[::-1], back, True)) if d == distance)
-    return distance, end - length, end
+def at_border(text: str, k: int) -> bool:
+    """Whether no word goes on over the place before character k."""
+    return k <= 0 or k >= len(text) or not (text[k - 1].isalnum() and text[k].isalnum())
+
+
+def best_passage(item: str, text: str, most: int, low: int = 0, high: int | None = None) -> tuple[int, int, int] | None:
+    """Distance, start and end of the closest passage of text[low:high] within the budget that begins and ends at word borders;
+    ties go to the leftmost end, then the shortest passage."""
+    part, best = text[low:high], None
+    for j, d in enumerate(scan(item, part)):
+        end = j + 1
+        if d > most or best and d >= best[0] or not at_border(text, low + end):
+            continue
+        back = part[:end][::-1][:len(item) + most]
+        for k, own in enumerate(scan(item[::-1], back, True)):
+            if own <= most and (best is None or own < best[0]) and at_border(text, low + end - k - 1):
+                best = (own, low + end - k - 1, low + end)
+    return best
 
 
 class Matcher:
@@ -100,7 +110,7 @@ class Matcher:
         out = []
         for number, at in starts.items():
             item_id, item = self.items[number]
-            exact = min((a for a in at if a >= 0 and text.startswith(item, a)), default=None)
+            exact = min((a for a in at if a >= 0 and text.startswith(item, a) and at_border(text, a) and at_border(text, a + len(item))), default=None)
             if exact is not None:
                 out.append((item_id, 0, exact, exact + len(item)))
                 continue
@@ -113,8 +123,7 @@ class Matcher:
                     windows[-1][1] = high
                 else:
                     windows.append([low, high])
-            found = [(d, low + a, low + b) for low, high in windows
-                     if (hit := best_passage(item, text[low:high], most)) for d, a, b in [hit]]
+            found = [hit for low, high in windows if (hit := best_passage(item, text, most, low, high))]
             if found:
                 out.append((item_id, *min(found)))
         return out
@@ -157,14 +166,14 @@ def item_blocks(benchmark: DataFrame, text: str = "text", item_id: str = "item_i
         yield tuple(sorted({(r["i"], f) for r in own.collect() if (f := folded(r["t"]))}))
 
 
-def with_hits(docs: DataFrame, items: tuple[tuple[int, str], ...], text: str = "text") -> DataFrame:
-    """docs with one more column `_hits`: the items of one block that a text holds. Null and empty texts hold none."""
+def with_hits(docs: DataFrame, items: tuple[tuple[int, str], ...], hits: str, text: str = "text") -> DataFrame:
+    """docs with one more column `hits`: the items of one block that a text holds. Null and empty texts hold none."""
     def run(texts: list[str]) -> list:
         search = matcher(items).search
         return [[{"item_id": i, "distance": d, **dict(zip(("start", "end"), unfolded(value, a, b)))}
                  for i, d, a, b in sorted(search(folded(value)))] for value in texts]
 
-    return docs.withColumn("_hits", per_text(run, HITS)(F.col(text)))
+    return docs.withColumn(hits, per_text(run, HITS)(F.col(text)))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -172,7 +181,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str
     closest passage. Repeated documents give repeated rows."""
     found = None
     for items in item_blocks(benchmark):
-        rows = with_hits(docs.select(doc_id, text), items, text).select(F.col(doc_id).alias("doc_id"), F.explode("_hits").alias("_h"))
+        rows = with_hits(docs.select(doc_id, text), items, "_hits", text).select(F.col(doc_id).alias("doc_id"), F.explode("_hits").alias("_h"))
         rows = rows.select("doc_id", "_h.*")
         found = rows if found is None else store(found).unionByName(rows)
     return found
@@ -183,7 +192,8 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
     for number, items in enumerate(item_blocks(benchmark)):
         if number:
             docs = store(docs)
-        docs = with_hits(docs, items, text).filter(F.size("_hits") == 0).drop("_hits")
+        hits = fresh("_hits", docs.columns)
+        docs = with_hits(docs, items, hits, text).filter(F.size(hits) == 0).drop(hits)
     return docs
 
 

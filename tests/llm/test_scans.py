@@ -254,13 +254,23 @@ def test_run_filter_knows_all_repeated_runs(spark):
 # decontamination
 
 def edits(pattern, text):
-    """Least edit distance of the pattern to any passage of the text, by the full table."""
-    row = [0] * (len(text) + 1)
+    """Edit distance of the pattern to the whole text, by the full table."""
+    row = list(range(len(text) + 1))
     for i, p in enumerate(pattern, 1):
         before, row = row, [i]
         for j, t in enumerate(text, 1):
             row.append(min(before[j - 1] + (p != t), before[j] + 1, row[j - 1] + 1))
-    return min(row)
+    return row
+
+
+def closest(item, text, most):
+    """Least distance of the item to a passage between word borders, if within the budget."""
+    found = []
+    for a in range(len(text)):
+        if a == 0 or not (text[a - 1].isalnum() and text[a].isalnum()):
+            row = edits(item, text[a:a + len(item) + most])
+            found += [d for k, d in enumerate(row) if k and (a + k == len(text) or not (text[a + k - 1].isalnum() and text[a + k].isalnum()))]
+    return min((d for d in found if d <= most), default=None)
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -275,13 +285,21 @@ def test_matches_equal_the_full_table(seed):
         text = leaks.folded("".join(text))
         if not item:
             continue
-        got, best = leaks.Matcher(((1, item),)).search(text), edits(item, text)
-        assert bool(got) == (best <= leaks.budget(item))
+        got, best = leaks.Matcher(((1, item),)).search(text), closest(item, text, leaks.budget(item))
+        assert bool(got) == (best is not None)
         if got:
             _, distance, a, b = got[0]
             assert distance == best == list(leaks.scan(item, text[a:b], True))[-1]
 
 
+def test_items_do_not_count_inside_words(spark):
+    bench = spark.createDataFrame([(1, "yes"), (2, "the answer is forty two")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "There were yesterdays of long ago", 5), (2, "Oh yes, he said", 6), (3, "well, YES", 7), (4, "bathe answer is forty twofold", 8),
+                                  (5, "and the answer is  fourty two.", 9)], SCHEMA + ", _hits int")
+    assert {(r["doc_id"], r["item_id"]) for r in leaks.leaks(docs, bench).collect()} == {(2, 1), (3, 1), (5, 2)}
+    assert sorted((r["doc_id"], r["_hits"]) for r in leaks.without_leaks(docs, bench).collect()) == [(1, 5), (4, 8)]
+
+
 def test_leaks_in_blocks_and_defined_cases(spark, monkeypatch):
     items = [(k, " ".join(f"Item{k}word{j}" for j in range(12)) + ".") for k in range(8)] + [(None, "no id here"), (20, None), (21, "  "), (3, "Item3 again is a second text")]
     bench = spark.createDataFrame(items, "item_id long, text string")

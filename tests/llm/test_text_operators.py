@@ -256,12 +256,15 @@ def test_pieces_are_powers_of_two():
         assert sum(lengths) == n and all(x & (x - 1) == 0 and x <= 2048 for x in lengths) and lengths == sorted(lengths, reverse=True)
 
 
-def test_packing_round_trip(spark):
+def test_packing_round_trip(spark, tmp_path):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
-    texts = ODD + ["<|endoftext|> stays text", "it's 12's  \n\n x" * 700]
-    docs = spark.createDataFrame([(k, t, 5) for k, t in enumerate(texts)], SCHEMA + ", length int")
+    texts = ODD + ["hello <|endoftext|> x", "<|endoftext|><|endoftext|> a<|endoftext|>b <|endoftext| >", "it's 12's  \n\n x" * 700]
+    given = spark.createDataFrame([(k, t, k * 10, "own") for k, t in enumerate(texts)], SCHEMA + ", length int, _piece string")
+    both = packing.pack(given)
+    assert both.columns[:3] == ["doc_id", "length", "_piece"] and both.filter("length <> doc_id * 10 or _piece <> 'own'").count() == 0
+    docs = given.select("doc_id", "text")
     pieces = packing.pack(docs).collect()
+    assert [r["length_"] for r in both.orderBy("doc_id", "start").collect()] == [p["length"] for p in sorted(pieces, key=lambda p: (p["doc_id"], p["start"]))]
     for k, text in enumerate(texts):
         own = sorted((p for p in pieces if p["doc_id"] == k), key=lambda p: p["start"])
         ids = [i for p in own for i in p["ids"]]
@@ -271,3 +274,7 @@ def test_packing_round_trip(spark):
     assert len({p["sequence_id"] for p in pieces}) == len(pieces) and {p["offset"] for p in pieces} == {0}
     assert packing.pack(odd_rows(spark)).filter("doc_id = 3").count() == 3  # "a" and the end id are one piece of two, in each of three rows
     assert packing.pack(docs.limit(0)).count() == 0
+    packing.write_buckets(packing.pack(docs), str(tmp_path / "buckets"))
+    buckets = spark.read.parquet(str(tmp_path / "buckets"))
+    assert buckets.count() == len(pieces) and buckets.filter("bucket <> length").count() == 0
+    assert buckets.select("bucket").distinct().count() == len({p["length"] for p in pieces})
