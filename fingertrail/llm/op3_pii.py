@@ -14,8 +14,10 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import per_text, table
+from fingertrail.llm.common import fresh, per_text, table
 from fingertrail.session import store
 
 #: At most so many different pieces of clusters are learned from: of each kind of plain match, and of those without any,
@@ -35,6 +37,8 @@ SAMPLE_ROWS, PIECE_WORDS = 3_000, 48
 SHORT_SPACE = 4
 #: Words in a segment, and by how much the chosen reading must beat leaving the segment out.
 LONGEST, MARGIN = 6, 2.0
+#: Fewest and most code points of a segment; a field's `chars` may say otherwise.
+SPAN_CHARS = (5, 120)
 
 # The base patterns, kinds in their order of output.
 KINDS = ["email", "ip", "card", "phone"]
@@ -191,9 +195,9 @@ def features(text: str, start: int, end: int) -> list[str]:
     return f
 
 
-def candidates(text: str, words: list[tuple[int, int]]):
+def candidates(text: str, words: list[tuple[int, int]], chars: tuple[int, int] = SPAN_CHARS):
     """(first word, word after, start, end) of each run of a cluster's words that could be a span: it has a trigger,
-    and without outer punctuation it still reaches into its first and last word."""
+    without outer punctuation it still reaches into its first and last word, and its length is within `chars`."""
     near, nearest = [0] * len(words), len(words) + LONGEST
     for k in range(len(words) - 1, -1, -1):
         nearest = k if _TRIGGER.search(text, *words[k]) else nearest
@@ -201,7 +205,7 @@ def candidates(text: str, words: list[tuple[int, int]]):
     for i in range(len(words)):
         for j in range(max(i, near[i]) + 1, min(i + LONGEST, len(words)) + 1):
             a, b = trimmed(text, words[i][0], words[j - 1][1])
-            if 5 <= b - a <= 120 and (j == i + 1 or a < words[i][1] and b > words[j - 1][0]):
+            if chars[0] <= b - a <= chars[1] and (j == i + 1 or a < words[i][1] and b > words[j - 1][0]):
                 yield i, j, a, b
 
 
@@ -210,36 +214,42 @@ class SpanField:
     """Weights by kind and feature; a feature that training never saw in a span of any kind speaks against it."""
     weights: dict[str, dict[str, float]] = field(default_factory=dict)
     unseen: float = -4.0
+    chars: tuple[int, int] = SPAN_CHARS
 
     def score(self, kind: str, names: list[str]) -> float:
         own = self.weights[kind]
         return sum(own.get(f, self.unseen) for f in names)
 
-    def segments(self, text: str, words: list[tuple[int, int]]) -> dict[tuple[int, int], list[tuple[float, str, int, int]]]:
-        """Scored candidates of a cluster by (first word, word after)."""
-        out = {}
-        for i, j, a, b in candidates(text, words):
-            names = features(text, a, b)
-            out[i, j] = [(self.score(k, names), k, a, b) for k in self.weights]
-        return out
-
     def spans(self, text: str) -> list[tuple[int, int, str]]:
-        """The best reading: segments that together score most, leaving a word out counts 0."""
+        """The best reading: segments that together score most, leaving a word out counts 0.
+
+        A cluster is read once from its first word; only the last LONGEST places are open at a time, so a cluster
+        of any length needs a number and a way back per word.
+        """
         found = []
         if not self.weights:
             return found
         for words in clusters(text):
-            options = self.segments(text, words)
-            best, back = [0.0] * (len(words) + 1), [None] * (len(words) + 1)
-            for j in range(1, len(words) + 1):
-                best[j] = best[j - 1]
-                for i in range(max(0, j - LONGEST), j):
-                    for score, kind, a, b in options.get((i, j), ()):
-                        if score > MARGIN and best[i] + score > best[j]:
-                            best[j], back[j] = best[i] + score, (i, a, b, kind)
+            best, back, settled = [0.0] * (len(words) + 1), {}, 0
+
+            def settle(upto: int, best: list[float], back: dict, settled: int) -> None:
+                for k in range(settled + 1, upto + 1):
+                    if best[k - 1] >= best[k]:  # leaving the word out is as good
+                        best[k] = best[k - 1]
+                        back.pop(k, None)
+
+            for i, j, a, b in candidates(text, words, self.chars):
+                settle(i, best, back, settled)
+                settled = max(settled, i)
+                names = features(text, a, b)
+                for kind in self.weights:
+                    score = self.score(kind, names)
+                    if score > MARGIN and best[i] + score > best[j]:
+                        best[j], back[j] = best[i] + score, (i, a, b, kind)
+            settle(len(words), best, back, settled)
             j = len(words)
             while j > 0:
-                if back[j]:
+                if j in back:
                     j, a, b, kind = back[j]
                     found.append((a, b, kind))
                 else:
@@ -373,18 +383,22 @@ def all_spans(text: str, model: SpanField) -> list[tuple[int, int, str, bool]]:
     base = base_spans(text)
     found = [(a, b, k, True) for a, b, k in base]
     if _TRIGGER.search(text):
-        taken = [(a, b) for a, b, _ in base]
-        found += [(a, b, k, False) for a, b, k in model.spans(text) if not any(a < y and x < b for x, y in taken)]
+        starts, reach = [a for a, _, _ in base], list(accumulate((b for _, b, _ in base), max))
+        for a, b, k in model.spans(text):
+            before = bisect_left(starts, b)  # base spans that begin before this one ends
+            if not before or reach[before - 1] <= a:
+                found.append((a, b, k, False))
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
 def find(docs: DataFrame, model: SpanField, text: str = "text") -> DataFrame:
-    """docs with one more column `_spans`: kind, start and end (code points, end exclusive) and whether a plain
-    pattern found it, by start, then kind. A null or empty text has none."""
+    """docs with one more column `_spans` (underscores follow if docs has it): kind, start and end (code points, end
+    exclusive) and whether a plain pattern found it, by start, then kind. A null or empty text has none. Spans of the
+    field are of `model.chars` code points; plain ones of any length."""
     def run(texts: list[str]) -> list:
         return [[{"kind": k, "start": a, "end": b, "base": base} for a, b, k, base in all_spans(t, model)] for t in texts]
 
-    return docs.withColumn("_spans", per_text(run, SPANS)(F.col(text)))
+    return docs.withColumn(fresh("_spans", docs.columns), per_text(run, SPANS)(F.col(text)))
 
 
 def mask(docs: DataFrame, model: SpanField, text: str = "text") -> DataFrame:

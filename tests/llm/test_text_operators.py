@@ -164,6 +164,62 @@ def test_pii_digest(spark):
     assert pii.digest([(1, 3, "ip"), (4, 9, "card")]) == hashlib.sha256(b"ip:1:3,card:4:9").hexdigest()
 
 
+def readings(options, n, at=0):
+    """All ways to read words at.. as segments and words left out: (score, segments)."""
+    if at >= n:
+        yield 0.0, ()
+        return
+    for score, rest in readings(options, n, at + 1):
+        yield score, rest
+    for (i, j), scored in options.items():
+        if i == at:
+            for own, kind, a, b in scored:
+                if own > pii.MARGIN:
+                    for score, rest in readings(options, n, j):
+                        yield own + score, ((a, b, kind), *rest)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_best_reading_equals_all_readings(seed):
+    rng = random.Random(seed)
+    names = set()
+    texts = [" ".join(rng.choice(["12-34", "555", "a@b.com", "(at)", "x", "0044", "(212)", "7.7.7.7", "call", "4111"]) for _ in range(rng.randint(1, 8))) for _ in range(25)]
+    for text in texts:
+        for words in pii.clusters(text):
+            for _, _, a, b in pii.candidates(text, words):
+                names |= set(pii.features(text, a, b))
+    model = pii.SpanField({k: {f: rng.uniform(-1.5, 2.5) for f in sorted(names)} for k in ("email", "phone")})
+    for text in texts:
+        got = model.spans(text)
+        best = 0.0
+        for words in pii.clusters(text):
+            options = {}
+            for i, j, a, b in pii.candidates(text, words):
+                options[i, j] = [(model.score(k, pii.features(text, a, b)), k, a, b) for k in model.weights]
+            best += max(score for score, _ in readings(options, len(words)))
+        assert sum(model.score(k, pii.features(text, a, b)) for a, b, k in got) == pytest.approx(best)
+        assert all(x[1] <= y[0] for x, y in zip(got, got[1:]))
+
+
+def test_long_runs_of_numbers_take_bounded_memory():
+    import tracemalloc
+    model = pii.SpanField({"phone": {"one": 1.0}}, unseen=-1.0)
+    text = " ".join(str(k % 977) for k in range(60_000))
+    tracemalloc.start()
+    model.spans(text)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60 * len(text)
+
+
+def test_span_lengths_are_an_argument():
+    model = pii.SpanField({"phone": {"one": 9.0}}, unseen=0.0)
+    assert model.spans("123") == []
+    assert pii.SpanField(model.weights, 0.0, (3, 200)).spans("123") == [(0, 3, "phone")]
+    long = "1" * 150
+    assert model.spans(long) == [] and pii.SpanField(model.weights, 0.0, (3, 200)).spans(long) == [(0, 150, "phone")]
+
+
 # quality classifier
 
 def test_trees_equal_a_walk_and_learn():
