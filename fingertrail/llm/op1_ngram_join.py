@@ -57,26 +57,57 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Bytes of words hashed at once, and the longest word that the table of places covers; longer ones are hashed alone.
+CHUNK_BYTES, LONGEST_WORD = 1 << 18, 1 << 10
+_PLACES = np.random.default_rng(1).integers(0, 1 << 63, LONGEST_WORD, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_IS_WORD = np.ones(256, bool)
+_IS_WORD[[9, 10, 11, 12, 13, 32]] = False
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words of all texts, and where each text's words begin (and, last, where they end)."""
+    parts = [t.encode("utf-8", "replace").lower() for t in texts]
+    joined = b"\n".join(parts)
+    letters = np.frombuffer(joined, np.uint8)
+    inside = _IS_WORD[letters]
+    edges = np.flatnonzero(np.diff(np.r_[False, inside, False]))
+    starts, ends = edges[::2], edges[1::2]
+    sizes = ends - starts
+    out = np.zeros(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        last = max(at + 1, int(np.searchsorted(ends, starts[at] + CHUNK_BYTES)))
+        size = np.minimum(sizes[at:last], LONGEST_WORD)
+        begins = np.r_[0, np.cumsum(size)[:-1]]
+        place = np.arange(size.sum()) - np.repeat(begins, size)
+        values = letters[np.repeat(starts[at:last], size) + place].astype(np.uint64) + np.uint64(1)
+        out[at:last] = np.add.reduceat(values * _PLACES[place], begins)
+        at = last
+    out = _mixed(out ^ sizes.astype(np.uint64) * _ODD)
+    for k in np.flatnonzero(sizes > LONGEST_WORD).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(joined[starts[k]:ends[k]])
+    offsets = np.cumsum([0, *(len(p) + 1 for p in parts)])
+    return out, np.searchsorted(starts, offsets)
+
+
 def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     """The ordered distinct hashes of each text's word n-grams; a text of fewer words has one for all of them."""
-    known: dict[bytes, int] = {}
-    out = []
-    for text in texts:
-        ids = []
-        for word in text.encode("utf-8", "replace").lower().split():
-            h = known.get(word)
-            if h is None:
-                h = known[word] = xxhash.xxh3_64_intdigest(word)
-            ids.append(h)
-        if not ids:
-            out.append(np.zeros(0, np.int64))
-            continue
-        w = np.array(ids, dtype=np.uint64)
-        size = min(words, len(w))
-        h = np.full(len(w) - size + 1, size, np.uint64)
+    w, begins = word_hashes(texts)
+
+    def grams(own: np.ndarray, size: int) -> np.ndarray:
+        h = np.full(len(own) - size + 1, size, np.uint64)
         for k in range(size):
-            h = _mixed(h + _ODD ^ w[k:len(w) - size + 1 + k])
-        out.append(np.unique(h.view(np.int64)))
+            h = _mixed(h + _ODD ^ own[k:len(own) - size + 1 + k])
+        return h.view(np.int64)
+
+    whole = grams(w, words) if len(w) >= words else np.zeros(0, np.int64)
+    out = []
+    for a, b in zip(begins[:-1].tolist(), begins[1:].tolist()):
+        if b - a >= words:
+            s = np.sort(whole[a:b - words + 1])
+            out.append(s[np.r_[True, s[1:] != s[:-1]]])
+        else:
+            out.append(grams(w[a:b], b - a) if b > a else np.zeros(0, np.int64))
     return out
 
 
@@ -148,7 +179,7 @@ def count_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
         counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             facts = []
-            for part in slices(batch.column(1).to_pylist()):
+            for part in (p for at in range(0, batch.num_rows, 256) for p in slices(batch.column(1).slice(at, 256).to_pylist())):
                 sets = shingle_sets(part, words)
                 facts += [(len(s), *digest(s)) if len(s) else (0, None, None) for s in sets]
                 counts += np.bincount(counter_of(np.concatenate(sets)), minlength=COUNTERS)
