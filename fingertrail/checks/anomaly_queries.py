@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fingertrail.checks.catalog import query
 from fingertrail.checks.feature_queries import out
 from fingertrail.checks.sql import STEPS, TOUCH, TRACE, sql, tidy as t
-from fingertrail.operators import anomaly, cluster, compare, density, features, forest, neighbours
+from fingertrail.operators import anomaly, cluster, compare, density, features, forest, neighbours, ward
 from fingertrail.operators.groups import HOT_ROWS_DEFAULT, split_sessions
 from fingertrail.operators.metrics import TOUCH as TOUCH_KEYS
 from fingertrail.sources.touch_view import base_touches, events_table, touch_view
@@ -335,6 +335,24 @@ def clustering_totals(spark, sf_dir):
     return result
 
 
+@query("ward_clusters")
+def ward_clusters(spark, sf_dir):
+    """Ward linkage over cluster features, cut at four clusters."""
+    return _cluster_sizes(spark, sf_dir, "ward")
+
+
+@query("silhouette_by_distance", sql(POINTS + """,
+lb AS (SELECT row_number() OVER () AS r, CAST(mean_x // 480 AS INTEGER) AS c, coalesce(mean_x, 0) AS a, coalesce(duration, 0) AS b FROM pts),
+pr AS (SELECT x.r, x.c, y.c AS yc, sum(sqrt(power(x.a - y.a, 2) + power(x.b - y.b, 2))) AS s, count(*) AS n FROM lb x CROSS JOIN lb y GROUP BY ALL),
+pd AS (SELECT r, max(CASE WHEN yc = c AND n > 1 THEN s / (n - 1) END) AS own, min(CASE WHEN yc <> c THEN s / n END) AS other FROM pr GROUP BY r)""", """
+SELECT round(avg(CASE WHEN own IS NULL THEN 0 ELSE (other - own) / greatest(own, other) END), 6) AS silhouette FROM pd"""))
+def silhouette_by_distance(spark, sf_dir):
+    """Mean silhouette by true distances of touches grouped by their place."""
+    table, _ = touch_points(spark, sf_dir)
+    grouped = table.withColumn("cluster", F.floor(F.col("mean_x") / 480).cast("int"))
+    return ward.silhouette(grouped, CLUSTER_FEATURES).select(F.round("silhouette", 6).alias("silhouette"))
+
+
 @query("clustering_comparison")
 def clustering_comparison(spark, sf_dir):
     """One line per clustering of the touches."""

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fingertrail.functions.numeric import finite_or_zero
+from fingertrail.operators import ward
 
 CLUSTERS = 4
 SEED = 42
@@ -22,8 +23,9 @@ def _vectors(df: DataFrame, features: list[str]) -> DataFrame:
 
 
 def cluster(df: DataFrame, features: list[str], how: str = "kmeans", k: int = CLUSTERS) -> DataFrame:
-    """Rows with their ``cluster``: kmeans, gaussian_mixture, or bisecting (in place of ward linkage,
-    which needs all pairwise distances)."""
+    """Rows with their ``cluster``: kmeans, gaussian_mixture, bisecting, or ward (over a bounded number of cluster features)."""
+    if how == "ward":
+        return ward.ward(df, features, k)
     models = {"kmeans": KMeans, "gaussian_mixture": GaussianMixture, "bisecting": BisectingKMeans}
     if how not in models:
         raise ValueError(f"unknown clustering {how}")
@@ -77,7 +79,8 @@ def anomaly_comparison_line(marked: DataFrame, name: str) -> DataFrame:
 def clustering_comparison_line(clustered: DataFrame, features: list[str], name: str) -> DataFrame:
     """Clusters, noise share, silhouette, balance and weighted score of one clustering (-1 is noise).
 
-    The silhouette is MLlib's squared-distance form, which needs one pass and no pairs.
+    The silhouette is by true distances, exact for up to ``ward.LEAVES`` different points and within bounds beyond (see
+    ``ward.silhouette``); noise counts as a cluster of its own there. For more clusters than a quarter of that it is the squared form.
     """
     counts = clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n"))
     line = counts.agg(
@@ -85,12 +88,13 @@ def clustering_comparison_line(clustered: DataFrame, features: list[str], name:
         (F.sum(F.when(F.col("cluster") < 0, F.col("_n")).otherwise(0)) / F.sum("_n")).alias("noise_ratio"),
         F.avg(F.when(F.col("cluster") >= 0, F.col("_n"))).alias("_mean"),
         F.stddev_pop(F.when(F.col("cluster") >= 0, F.col("_n"))).alias("_std"))
-    several = line.first()["n_clusters"] > 1
-    silhouette = 0.0
-    if several:
-        vectors = clustered if "_features" in clustered.columns else _vectors(clustered, features)
+    clusters = line.first()["n_clusters"]
+    if clusters > ward.LEAVES // 4:  # more than a bounded table of leaves can hold
         evaluator = ClusteringEvaluator(featuresCol="_features", predictionCol="cluster")
+        vectors = clustered if "_features" in clustered.columns else _vectors(clustered, features)
         silhouette = evaluator.evaluate(vectors.withColumn("cluster", F.col("cluster").cast("double")))
+    else:
+        silhouette = ward.silhouette(clustered, features).first()["silhouette"] if clusters > 1 else 0.0
     balance = F.when(F.col("n_clusters") > 1, F.greatest(F.lit(0.0), F.lit(1.0) - F.col("_std") / F.col("_mean"))).otherwise(0.0)
     line = line.withColumns({"silhouette_score": F.lit(silhouette), "cluster_balance": balance})
     score = (F.col("silhouette_score") * 0.4 + (F.lit(1.0) - F.col("noise_ratio")) * 0.3 + F.col("cluster_balance") * 0.2)

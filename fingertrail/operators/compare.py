@@ -13,7 +13,7 @@ from fingertrail.operators.groups import SESSION, Touches, split_sessions
 from fingertrail.operators.neighbours import local_outlier_factor
 
 DETECTORS = ["statistical", "isolation_forest", "covariance", "local_outlier_factor"]
-CLUSTERINGS = ["kmeans", "gaussian_mixture", "bisecting", "dbscan"]
+CLUSTERINGS = ["kmeans", "dbscan", "gaussian_mixture", "ward"]
 
 
 def detect_with(touches: Touches, how: str, features: list[str]) -> Touches:
