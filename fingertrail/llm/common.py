@@ -12,6 +12,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 #: Characters of text that a per-text function handles at once; longer texts come alone, and whole.
 SLICE_CHARS = 2_000_000
+#: Texts of a batch that are Python strings at one time.
+SLICE_TEXTS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,14 +34,21 @@ def slices(texts: list[str | None], limit: int = SLICE_CHARS) -> Iterator[list[s
         yield part
 
 
+def text_slices(texts: pa.Array, limit: int = SLICE_CHARS) -> Iterator[list[str]]:
+    """`slices` of an Arrow column, of which only some texts are converted at a time."""
+    for at in range(0, len(texts), SLICE_TEXTS):
+        yield from slices(texts.slice(at, SLICE_TEXTS).to_pylist(), limit)
+
+
 def per_text(fn: Callable[[list[str]], list], result: T.DataType) -> Callable[[Column], Column]:
     """An Arrow function of a text column: `fn` maps a list of texts to a list of results."""
     kind = to_arrow_type(result)
 
     def run(texts: pa.Array) -> pa.Array:
         out: list[pa.Array] = [pa.array([], kind)]
-        for part in slices(texts.to_pylist()):
+        for part in text_slices(texts):
             out.append(pa.array(fn(part), kind))
+        pa.default_memory_pool().release_unused()  # workers stay, and what they hold counts
         return pa.concat_arrays(out)
 
     run.__annotations__ = {"texts": pa.Array, "return": pa.Array}

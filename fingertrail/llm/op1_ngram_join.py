@@ -30,13 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import fresh, per_text, slices, table
+from fingertrail.llm.common import fresh, per_text, table, text_slices
 from fingertrail.llm.components import components
 from fingertrail.session import store
 
 WORDS, PERCENT = 3, 90
 #: Sets on either side of a cell, and the n-grams that they may have together; more of either make further cells.
-BLOCK, BLOCK_GRAMS = 1_000, 2_000_000
+BLOCK, BLOCK_GRAMS = 1_000, 500_000
 #: Bits of the short bitmap; sets that need more than WIDE_FROM bits have a bitmap of that size or more instead.
 BITS, WIDE_FROM = 256, 200
 #: Hashes in more prefixes than this are worked on in cells of members, others by pairs, which are at most so many for each entry.
@@ -179,7 +179,7 @@ def count_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
         counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             facts = []
-            for part in (p for at in range(0, batch.num_rows, 256) for p in slices(batch.column(1).slice(at, 256).to_pylist())):
+            for part in text_slices(batch.column(1), 500_000):
                 sets = shingle_sets(part, words)
                 facts += [(len(s), *digest(s)) if len(s) else (0, None, None) for s in sets]
                 counts += np.bincount(counter_of(np.concatenate(sets)), minlength=COUNTERS)
@@ -405,6 +405,8 @@ def walk(members: DataFrame, docs: DataFrame, hashing: Hashing) -> DataFrame:
                 for side in (0, 1):
                     if role in (side, 2) and (not sides[side] or sides[side][-1] != doc):
                         sides[side].append(doc)
+            del batch, values, columns
+            pa.default_memory_pool().release_unused()
         yield flush()
 
     return texts.mapInArrow(run, "a long, b long")
