@@ -12,15 +12,18 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import per_text, table
+from fingertrail.llm.common import fresh, per_text, table
 
 #: At most so many labelled documents are learned from, those with the smallest hash of their id.
 SAMPLE_ROWS = 3_000
+#: Lines of one document that the field is learned from, at most.
+SAMPLE_LINES = 500
 #: A document stays if at least this share of its characters lies in content lines.
 MIN_CONTENT = 0.5
 WINDOW = 5
@@ -194,19 +197,31 @@ def learn(sequences: list[np.ndarray], good: list[bool], rounds: int = 3) -> Fie
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality",
         rows: int = SAMPLE_ROWS) -> Field:
-    """A field learned from at most `rows` labelled documents (whole texts); rows without id or label are left out."""
+    """A field learned from at most `rows` labelled documents; rows without id or label are left out.
+
+    Of a document of more than SAMPLE_LINES lines, so many consecutive ones are learned from, at a place that its text's hash
+    says; all are labelled later.
+    """
     chosen = (labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label"))
               .filter(F.col("_id").isNotNull() & F.col("_label").isNotNull()).dropDuplicates()
               .orderBy(F.xxhash64("_id"), "_id", "_label").limit(rows))
 
     def features(texts: list[str]) -> list:
         _, x, owner, _ = analyse(texts)
-        return [x[owner == i].ravel() for i in range(len(texts))]
+        ends = np.searchsorted(owner, np.arange(len(texts) + 1))
+        out = []
+        for text, a, b in zip(texts, ends, ends[1:]):
+            start = a + xxhash.xxh3_64_intdigest(text) % int(b - a - SAMPLE_LINES + 1) if b - a > SAMPLE_LINES else a
+            out.append(x[start:min(b, start + SAMPLE_LINES)].ravel())
+        return out
 
     sample = (docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")
               .select("_id", "_label", per_text(features, T.ArrayType(T.FloatType()))(F.col("_text")).alias("_x")))
-    found = sorted((r["_id"], r["_label"], r["_x"]) for r in sample.collect())[:rows]
-    found = [(np.array(x, float).reshape(-1, N_FEATURES), label > 0) for _, label, x in found if x]
+    # an id may stand on any number of rows, so the bound is kept before anything reaches the driver
+    sample = sample.orderBy(F.xxhash64("_id"), "_id", "_label", "_x").limit(rows).orderBy("_id", "_label", "_x").toArrow()
+    numbers, sizes = sample["_x"].combine_chunks(), sample["_label"].to_pylist()
+    found = [(x.values.to_numpy(zero_copy_only=False).astype(float).reshape(-1, N_FEATURES), label > 0) for x, label in zip(numbers, sizes)]
+    found = [(x, good) for x, good in found if len(x)]
     return learn([x for x, _ in found], [g for _, g in found])
 
 
@@ -216,7 +231,7 @@ RESULT = T.StructType([T.StructField(c, T.LongType()) for c in BASE]
 
 
 def label_lines(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
-    """docs with one more column `_rules`: the base figures, the share of characters in content lines, and the
+    """docs with one more column at the end, `_rules` (underscores follow if docs has it): the base figures, the share of characters in content lines, and the
     numbers (from 0, among lines with a word) of the boilerplate lines.
 
     A null text counts as empty; without any word the share is 0.
@@ -231,7 +246,7 @@ def label_lines(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
             row["boilerplate_lines"] = np.flatnonzero(states).tolist()
         return out
 
-    return docs.withColumn("_rules", per_text(run, RESULT)(F.col(text)))
+    return docs.withColumn(fresh("_rules", docs.columns), per_text(run, RESULT)(F.col(text)))
 
 
 @query("op2_quality_rules")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import id_remainder, per_text, table
+from fingertrail.llm.common import fresh, id_remainder, per_text, table
 
 #: At most so many labelled rows are learned from, those with the smallest hash of their id.
 SAMPLE_ROWS = 20_000
@@ -133,15 +133,18 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     stats = per_text(lambda texts: list(statistics(texts)), T.ArrayType(T.DoubleType()))
     sample = (docs.select(key.alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")
               .select("_id", "_label", stats(F.col("_text")).alias("_x")))
-    found = sorted((r["_id"], r["_label"], r["_x"]) for r in sample.collect())[:rows]
+    # an id may stand on any number of rows, so the bound is kept before anything reaches the driver
+    sample = sample.orderBy(F.xxhash64("_id"), "_id", "_label", "_x").limit(rows)
+    found = sorted((r["_id"], r["_label"], r["_x"]) for r in sample.collect())
     x = np.array([r[2] for r in found]).reshape(-1, len(FEATURES))
     return grow(x, np.array([r[1] for r in found]))
 
 
 def classify(docs: DataFrame, model: Trees, text: str = "text") -> DataFrame:
-    """docs with one more column `_score`, 0 to 1; null and empty texts are scored by their zero statistics."""
+    """docs with one more column at the end, `_score` (underscores follow if docs has it), 0 to 1; null and empty texts
+    are scored by their zero statistics."""
     score = per_text(lambda texts: list(model.score(statistics(texts))), T.DoubleType())
-    return docs.withColumn("_score", score(F.col(text)))
+    return docs.withColumn(fresh("_score", docs.columns), score(F.col(text)))
 
 
 @query("op4_quality_classifier")

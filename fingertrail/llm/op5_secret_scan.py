@@ -154,13 +154,16 @@ def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", share: flo
     random = random.withColumn("reach", F.max("end").over(outer)).filter(F.col("reach").isNull() | (F.col("reach") < F.col("end")))
     every = rows.unionByName(split.drop("whole").withColumns({"kind": F.lit(3), "holds": F.lit(False)}))
     marked = every.join(random.drop("whole", "reach"), ["row", "start", "end", "kind"], "left")
+    # a random span meets a plain one if one that begins no later reaches into it, or the next one begins before its end
+    plain, along = (F.col("kind") < 3) & F.col("holds"), Window.partitionBy("row").orderBy("start")
+    reach = F.max(F.when(plain, F.col("end"))).over(along.rangeBetween(Window.unboundedPreceding, 0))
+    ahead = F.min(F.when(plain, F.col("start"))).over(along.rangeBetween(1, Window.unboundedFollowing))
+    free = ~(F.coalesce(F.col("reach") > F.col("start"), F.lit(False)) | F.coalesce(F.col("ahead") < F.col("end"), F.lit(False)))
+    marked = marked.withColumns({"reach": reach, "ahead": ahead})
     names = F.array(*map(F.lit, kinds))
-    span = F.when(F.when(F.col("kind") == 3, F.col("random")).otherwise(F.col("holds")), F.struct(
+    span = F.when(F.when(F.col("kind") == 3, F.col("random") & free).otherwise(F.col("holds")), F.struct(
         "start", "kind", F.get(names, F.col("kind")).alias("name"), "end", (F.col("kind") < 3).alias("base")))
-    spans = marked.groupBy("row", "doc_id").agg(F.sort_array(F.collect_list(span)).alias("all"))
-    base = F.filter("all", lambda s: s["base"])
-    kept = F.filter("all", lambda s: s["base"] | ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return spans.select("doc_id", kept.alias("spans"))
+    return marked.groupBy("row", "doc_id").agg(F.sort_array(F.collect_list(span)).alias("spans")).select("doc_id", "spans")
 
 
 def joined(spans: Column) -> Column:

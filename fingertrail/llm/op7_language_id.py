@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import id_remainder, per_text, slices, table
+from fingertrail.llm.common import fresh, id_remainder, per_text, slices, table
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
+#: Languages that profiles may be learned for; a column with more values is no language column and is refused.
+MOST_LANGUAGES = 1_000
 #: Cells of a counting table that may be laid out whole, and pairs of text and trigram that are bound at once beyond that.
 CUBE, BLOCK = 1 << 24, 1 << 13
 
@@ -176,20 +178,22 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: int
                                               "v": np.asarray(vector, np.float64)})
 
     summed = rows.mapInArrow(bundle, "lang string, d int, v double").groupBy("lang", "d").agg(F.sum("v").alias("v"))
-    found = summed.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("d", "v"))).alias("v")).orderBy("lang").collect()
+    found = summed.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("d", "v"))).alias("v")).orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"the language column has more than {MOST_LANGUAGES} values")
     unit = np.array([[x["v"] for x in r["v"]] for r in found], np.float32).reshape(-1, dimensions)
     unit /= np.maximum(np.sqrt((unit * unit).sum(1, keepdims=True)), 1e-9)
     return Profiles([r["lang"] for r in found], unit, dimensions)
 
 
 def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
-    """docs with one more column `_lang`: struct of lang_pred and score.
+    """docs with one more column at the end, `_lang` (underscores follow if docs has it): struct of lang_pred and score.
 
     `und` with score 0 where the text is null, has no letter, or nothing was learned; equal cosines go to the
     language first in the alphabet.
     """
     kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.withColumn("_lang", per_text(profiles.predict, kind)(F.col(text)))
+    return docs.withColumn(fresh("_lang", docs.columns), per_text(profiles.predict, kind)(F.col(text)))
 
 
 @query("op7_language_id")

@@ -247,11 +247,26 @@ def test_classifier_defined_cases(spark):
     docs = odd_rows(spark)
     model = quality.fit(docs, labels)
     for m in (model, quality.fit(docs.limit(0), labels.limit(0))):
-        scores = [r["_score"] for r in quality.classify(docs, m).collect()]
-        assert len(scores) == 13 and all(0 <= s <= 1 for s in scores)
+        scored = quality.classify(docs, m)
+        assert scored.columns == [*docs.columns, "_score_"]
+        scores = [r["_score_"] for r in scored.collect()]
+        assert len(scores) == 13 and all(0 <= s <= 1 for s in scores) and {r["_score"] for r in scored.collect()} == {1, 2, 3}
     assert quality.classify(docs.limit(0), model).count() == 0
 
 
+def test_samples_are_bounded_before_they_reach_the_driver(spark, monkeypatch):
+    rows = [(k % 3, "\n".join(f"line {j} of text {k}" for j in range(30))) for k in range(300)]
+    docs, labels = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(k, k % 2) for k in range(3)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "grow", lambda x, y: seen.append(len(x)))
+    quality.fit(docs, labels, rows=20)
+    assert 0 < seen[0] <= 20
+    monkeypatch.setattr(rules, "learn", lambda sequences, good: seen.append([len(x) for x in sequences]))
+    monkeypatch.setattr(rules, "SAMPLE_LINES", 7)
+    rules.fit(docs, labels, rows=20)
+    assert seen[1] == [7] * 20
+
+
 def test_held_out_rows_are_not_learned_from(spark):
     docs = spark.createDataFrame([(k, "good text" if k % 2 else "### bad") for k in range(200)], SCHEMA)
     held = [k for k in range(200) if zlib.crc32(str(k).encode()) % 5 == 0]
@@ -291,7 +306,7 @@ def test_binding_is_a_product_of_rotated_letters():
     assert (got == np.roll(v["a"], 2) * np.roll(v["b"], 1) * v["c"]).all()
 
 
-def test_language_defined_cases(spark):
+def test_language_defined_cases(spark, monkeypatch):
     rows = [(k, "the cat and the dog with them " * 3, "en") for k in range(5)] + [(k + 9, "le chat et le chien avec eux " * 3, "fr") for k in range(5)]
     docs = spark.createDataFrame(rows + [(50, "unlabelled", None), (51, None, "fr")], SCHEMA + ", lang string")
     profiles = language.fit(docs)
@@ -300,6 +315,11 @@ def test_language_defined_cases(spark):
     assert [r["_lang"]["lang_pred"] for r in got.orderBy("doc_id").collect()] == ["en", "fr", "und", "und", "und"]
     found = language.identify(odd_rows(spark), profiles).collect()
     assert len(found) == 13 and all(0 <= r["_lang"]["score"] <= 1 for r in found)
+    own = language.identify(odd_rows(spark).withColumnRenamed("_score", "_lang"), profiles)
+    assert own.columns[-2:] == ["a.b", "_lang_"] and {r["_lang"] for r in own.collect()} == {1, 2, 3}
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 1)
+    with pytest.raises(ValueError, match="more than 1 values"):
+        language.fit(docs)
     nothing = language.fit(docs.limit(0))
     assert language.identify(docs, nothing).first()["_lang"]["lang_pred"] == "und"
 
