@@ -22,7 +22,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents whose score reaches the threshold stay; empty and null texts are scored like all others."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     scored = quality.classify(docs, model)
-    return scored.filter(F.col("_score") >= quality.THRESHOLD).select(*quoted(docs.columns))
+    score = scored.columns[-1]  # docs may have a column of the usual name
+    return scored.filter(F.col(score) >= quality.THRESHOLD).select(*quoted(docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
