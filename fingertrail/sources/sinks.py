@@ -32,6 +32,15 @@ def write_events(df: DataFrame, path: str, fmt: str = "parquet", per_session: bo
     (writer.partitionBy("session_id") if per_session else writer).save(path)
 
 
+def write_event_table(df: DataFrame, name: str, buckets: int) -> None:
+    """Events as a table of the session's catalogue in so many buckets of whole sessions, each bucket in order.
+
+    Jobs by session over such a table (``tables.read_event_table``) start without an exchange, however often they run.
+    """
+    flat_events(df).repartition(buckets, "session_id").write.mode("errorifexists").format("parquet").bucketBy(buckets, "session_id").sortBy(
+        "session_id", "fingerId", "time").saveAsTable(name)
+
+
 def write_flagged(events: DataFrame, metrics: DataFrame, path: str, fmt: str = "csv") -> None:
     """Flagged export of Coloring data: events and metrics as two tables."""
     coloring_output(events, "Coloring").write.option("header", True).format(fmt).save(f"{path}/events")

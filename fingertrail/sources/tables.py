@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fingertrail.operators.groups import Touches, split_sessions
 from fingertrail.session import store
 from fingertrail.sources import csv_scan
 
@@ -76,6 +79,15 @@ def scan_event_csv(spark: SparkSession, path: str, comment: str | None = None, f
     return _typed(rows.select("session_id", *csv_scan.KNOWN, "extra"))
 
 
+def read_event_table(spark: SparkSession, name: str, hot_rows: int | None = None) -> Touches:
+    """Events of a table in buckets of sessions, ready for jobs by session: the buckets take the place of the exchange.
+
+    Sessions too large for one task are still set apart and laid out in chunks.
+    """
+    touches = split_sessions(spark.table(name), hot_rows)
+    return replace(touches, clustered=touches.hot is None)
+
+
 def read_commented_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """CSV whose first lines are ``#`` comments."""
     return read_event_csv(spark, path, columns, comment="#")
