@@ -342,7 +342,7 @@ def ward_clusters(spark, sf_dir):
 
 
 @query("silhouette_by_distance", sql(POINTS + """,
-lb AS (SELECT row_number() OVER () AS r, CAST(mean_x // 480 AS INTEGER) AS c, coalesce(mean_x, 0) AS a, coalesce(duration, 0) AS b FROM pts),
+lb AS (SELECT row_number() OVER () AS r, CAST(floor(mean_x / 480) AS INTEGER) AS c, coalesce(mean_x, 0) AS a, coalesce(duration, 0) AS b FROM pts),
 pr AS (SELECT x.r, x.c, y.c AS yc, sum(sqrt(power(x.a - y.a, 2) + power(x.b - y.b, 2))) AS s, count(*) AS n FROM lb x CROSS JOIN lb y GROUP BY ALL),
 pd AS (SELECT r, max(CASE WHEN yc = c AND n > 1 THEN s / (n - 1) END) AS own, min(CASE WHEN yc <> c THEN s / n END) AS other FROM pr GROUP BY r)""", """
 SELECT round(avg(CASE WHEN own IS NULL THEN 0 ELSE (other - own) / greatest(own, other) END), 6) AS silhouette FROM pd"""))

@@ -101,6 +101,19 @@ sets AS (SELECT session_id, Touchdata_id, count(*) AS points, max(time) - min(ti
          FROM flagged GROUP BY session_id, Touchdata_id)"""
 
 
+@query("flagged_comparison_by_finger", sql(FLAGS + """,
+fsets AS (SELECT session_id, fingerId, seqId, count(*) AS points, max(time) - min(time) AS duration, bool_or(flags <> '') AS has_flags
+          FROM flagged WHERE seqId > 0 GROUP BY session_id, fingerId, seqId)""", f"""
+SELECT has_flags, count(*) AS sequences, round(count(*) / sum(count(*)) OVER () * 100, 2) AS share,
+       {t('avg(points)')} AS mean_points, {t('median(points)')} AS median_points, {t('avg(duration)')} AS mean_duration,
+       {t('median(duration)')} AS median_duration FROM fsets GROUP BY has_flags"""))
+def flagged_comparison_by_finger(spark, sf_dir):
+    """The comparison where events have no touch ids: a sequence is (finger, seqId)."""
+    table = reports.compare_flagged(flagged(spark, sf_dir).drop("Touchdata_id", "event_index"))
+    return out(table, {"sequences": None, "share": None, "mean_points": 6, "median_points": 6, "mean_duration": 6,
+                       "median_duration": 6}, ("has_flags",))
+
+
 @query("flagged_comparison", sql(FLAGS + _SETS, f"""
 SELECT has_flags, count(*) AS sequences, round(count(*) / sum(count(*)) OVER () * 100, 2) AS share,
        {t('avg(points)')} AS mean_points, {t('median(points)')} AS median_points, {t('avg(duration)')} AS mean_duration,

@@ -158,10 +158,17 @@ def cleaning_summary(df: DataFrame, marks: tuple[str, ...] = ("outlier", "impute
 
 
 def sequence_sizes(touches: Touches) -> DataFrame:
-    """Per touch: points, duration, distinct flags, and whether it has any."""
-    sizes = touches.filter(F.col("Touchdata_id").isNotNull()).aggregate(
-        TOUCH, points=F.count(F.lit(1)), duration=F.max("time") - F.min("time"))
-    return sizes.join(sequence_flag_sets(touches), TOUCH)
+    """Per sequence: points, duration, distinct flags, and whether it has any.
+
+    A sequence is a touch; where events have no touch ids, it is a finger's sequence, and events outside of
+    sequences (seqId 0) or without a finger are left out.
+    """
+    if "Touchdata_id" in touches.columns:
+        keys, rows = TOUCH, touches.filter(F.col("Touchdata_id").isNotNull())
+    else:
+        keys, rows = SEQUENCE, touches.filter((F.col("seqId") > 0) & F.col("fingerId").isNotNull())
+    sizes = rows.aggregate(keys, points=F.count(F.lit(1)), duration=F.max("time") - F.min("time"))
+    return sizes.join(sequence_flag_sets(rows, keys), keys)
 
 
 def compare_flagged(touches: Touches) -> DataFrame:
