@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,13 +41,25 @@ def text_slices(texts: pa.Array, limit: int = SLICE_CHARS) -> Iterator[list[str]
         yield from slices(texts.slice(at, SLICE_TEXTS).to_pylist(), limit)
 
 
-def per_text(fn: Callable[[list[str]], list], result: T.DataType) -> Callable[[Column], Column]:
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
+    """Jobs started inside send texts to Python in batches of so many rows, which bounds what both sides hold."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def per_text(fn: Callable[[list[str]], list], result: T.DataType, limit: int = SLICE_CHARS) -> Callable[[Column], Column]:
     """An Arrow function of a text column: `fn` maps a list of texts to a list of results."""
     kind = to_arrow_type(result)
 
     def run(texts: pa.Array) -> pa.Array:
         out: list[pa.Array] = [pa.array([], kind)]
-        for part in text_slices(texts):
+        for part in text_slices(texts, limit):
             out.append(pa.array(fn(part), kind))
         pa.default_memory_pool().release_unused()  # workers stay, and what they hold counts
         return pa.concat_arrays(out)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import fresh, per_text, table, text_slices
+from fingertrail.llm.common import fresh, per_text, small_batches, table, text_slices
 from fingertrail.llm.components import components
 from fingertrail.session import store
 
@@ -43,6 +43,8 @@ BITS, WIDE_FROM = 256, 200
 FREQUENT = 64
 #: Counters of the frequency sketch, and how many of them make a row.
 COUNTERS, CHUNK = 1 << 21, 1 << 12
+#: Characters of texts that are hashed together.
+SLICE = 500_000
 #: Bits of a hash below its frequency class.
 LOW_BITS = 57
 #: Ids of candidate documents that may be broadcast to fetch their texts; more are joined by a shuffle of the texts.
@@ -179,7 +181,7 @@ def count_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
         counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             facts = []
-            for part in text_slices(batch.column(1), 500_000):
+            for part in text_slices(batch.column(1), SLICE):
                 sets = shingle_sets(part, words)
                 facts += [(len(s), *digest(s)) if len(s) else (0, None, None) for s in sets]
                 counts += np.bincount(counter_of(np.concatenate(sets)), minlength=COUNTERS)
@@ -200,7 +202,8 @@ def count_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
         classes = [np.log2(v + 1).astype(np.uint8).tobytes() for v in sums.values()]
         yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(sums), pa.int64()), "classes": pa.array(classes, pa.binary())})
 
-    found = store(docs.mapInArrow(run, "id long, n long, k1 long, k2 long, chunk long, counts binary"))
+    with small_batches(docs.sparkSession):
+        found = store(docs.mapInArrow(run, "id long, n long, k1 long, k2 long, chunk long, counts binary"))
     rows = found.filter("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(add, "chunk long, classes binary")
     classes = np.zeros((COUNTERS // CHUNK, CHUNK), np.uint8)
     for r in rows.collect():  # a byte per counter
@@ -334,7 +337,7 @@ def early_links(heavy: DataFrame, docs: DataFrame, hashing: Hashing) -> tuple[Da
         load = first.groupBy("token").agg(_blocks(F.count("*"), F.sum("n")).alias("parts"), F.count("*").alias("sets")).filter("sets > 1")
         members = first.join(load, "token").select(F.col("token").alias("g1"), _part("parts", salt).alias("g2"), F.lit(0).cast("long").alias("g3"),
                                                    F.lit(2).alias("role"), "id", "k1")
-        new = store(walk(members, docs, hashing))
+        new = walk(members, docs, hashing)
         links = new if links is None else links.unionByName(new)
         if new.isEmpty():
             return links, tied
@@ -409,7 +412,8 @@ def walk(members: DataFrame, docs: DataFrame, hashing: Hashing) -> DataFrame:
             pa.default_memory_pool().release_unused()
         yield flush()
 
-    return texts.mapInArrow(run, "a long, b long")
+    with small_batches(docs.sparkSession):
+        return store(texts.mapInArrow(run, "a long, b long"))
 
 
 def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -427,8 +431,10 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int
     first = store(named.groupBy("k1", "k2").agg(F.min("id").alias("id")))
     copies = named.select("id").distinct().join(first.select("id"), "id", "left_anti")
     texts = texts.filter("id is not null and value is not null")
-    sketch = per_text(lambda part: sketches(part, words, percent, hashing.classes.value), SKETCH)
-    reps = store(texts.join(_few(store(copies)), "id", "left_anti").select("id", sketch(F.col("value")).alias("s")).filter("s.n > 0").select("id", "s.*"))
+    sketch = per_text(lambda part: sketches(part, words, percent, hashing.classes.value), SKETCH, SLICE)
+    single = texts.join(_few(store(copies)), "id", "left_anti")
+    with small_batches(docs.sparkSession):
+        reps = store(single.select("id", sketch(F.col("value")).alias("s")).filter("s.n > 0").select("id", "s.*"))
     if reps.count() > first.count():  # repeated rows, or texts of which another id is the first
         reps = store(reps.dropDuplicates(["id", "k1", "k2"]).join(first, ["k1", "k2", "id"], "left_semi"))
     live = store(live_entries(reps, percent))
