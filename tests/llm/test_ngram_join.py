@@ -113,3 +113,35 @@ def test_connected_components(spark):
     edges = [(k, k + 1) for k in range(100, 130)] + [(1, 50), (50, 7), (7, 9), (200, 201), (201, 200), (5, 5)]
     got = {r["node"]: r["component"] for r in cc.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 100 for k in range(100, 131)}, 1: 1, 50: 1, 7: 1, 9: 1, 200: 200, 201: 200}
+
+
+def test_rows_sent_to_cells_grow_with_a_group_not_with_its_square(spark, monkeypatch):
+    """A group of different near copies, several cells wide: what is sent doubles with it, and pairs are bounded."""
+    monkeypatch.setattr(op, "BLOCK", 60)
+    sent, walk = [], op.walk
+    monkeypatch.setattr(op, "walk", lambda members, *a: sent.append(members.count()) or walk(members, *a))
+    totals = []
+    for n in (300, 600):
+        base = [f"w{k}" for k in range(120)]
+        rows = [(k, " ".join([*base[:40 + k % 60], f"own{k}", *base[40 + k % 60:]])) for k in range(n)]
+        sent.clear()
+        got = op.join(spark.createDataFrame(rows, SCHEMA)).collect()
+        assert {r["component_id"] for r in got} == {0}
+        totals.append(sum(sent))
+    assert totals[1] < 2.6 * totals[0] and totals[1] < 20 * 600
+
+
+def test_words_are_hashed_alike_in_any_chunk(monkeypatch):
+    rng = random.Random(3)
+    texts = ["", " \n", "a", "A b", "x" * 3000 + " y " + "x" * 3000 + " y z", "é É ß"] + [
+        "".join(rng.choice("ab \n\té") for _ in range(rng.randint(0, 60))) for _ in range(200)]
+    for k in (1, 3, 5):
+        found = op.shingle_sets(texts, k)
+        assert [len(s) for s in found] == [len(grams(t, k)) for t in texts]
+        alike = {}
+        for t, s in zip(texts, found):
+            alike.setdefault(frozenset(grams(t, k)), set()).add(s.tobytes())
+        assert all(len(v) == 1 for v in alike.values()) and len({x for v in alike.values() for x in v}) == len(alike)
+    whole = [s.tobytes() for s in op.shingle_sets(texts, 3)]
+    monkeypatch.setattr(op, "CHUNK_BYTES", 7)
+    assert [op.shingle_sets([t], 3)[0].tobytes() for t in texts] == whole
