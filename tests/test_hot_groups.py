@@ -11,8 +11,8 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
-@pytest.mark.parametrize("name", ["tracing_segmentation", "strict_touch_pattern", "temporal_features",
-                                  "statistical_outliers", "flagged_row_ranges", "isolation_forest"])
+@pytest.mark.parametrize("name", ["coloring_segmentation", "tracing_segmentation", "json_unknown_fields", "strict_touch_pattern",
+                                  "temporal_features", "statistical_outliers", "flagged_row_ranges", "isolation_forest"])
 def test_large_sessions(spark, name):
     spark.conf.set("fingertrail.hotRows", "450")
     try:
