@@ -81,3 +81,17 @@ def test_no_rows_and_one_cluster(spark):
     assert ward.silhouette(df, ["a", "b"], "label").first()["silhouette"] == 0.0
     assert parts(ward.ward(df, ["a", "b"])) == {frozenset({0, 1, 2})}
     assert ward.ward(df.limit(0), ["a", "b"]).count() == 0
+
+
+def test_values_that_change_between_passes(spark):
+    """Means added up anew differ in the last digits: leaves and rows must still be those of one pass."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    shaken = F.udf(lambda v: v + random.random() * 1e-3, "double").asNondeterministic()
+    rng = np.random.default_rng(5)
+    df = frame(spark, rng.normal(size=(900, 2)), rng.integers(0, 3, 900)).withColumn("a", shaken("a"))
+    line = ward.silhouette(df, ["a", "b"], "label", most=100).first()
+    assert line["lowest"] <= line["silhouette"] <= line["highest"]
+    assert ward.ward(df, ["a", "b"], 3, most=100).count() == 900
