@@ -1,6 +1,7 @@
 """Neighbours, density clusters and long spectra against brute force on small data."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from fingertrail.operators.density import dbscan
 from fingertrail.operators.near import nearest
@@ -74,3 +75,32 @@ def test_long_spectrum(spark):
     df = spark.createDataFrame([(1, i, 37, float(v)) for i, v in enumerate(values)], "k long, _pos long, _n long, _w double")
     power = np.abs(np.fft.rfft(values)) ** 2
     assert long_spectrum_peaks(df, ["k"]).first()["_peak"] == int(np.argmax(power))
+
+
+def test_sessions_of_one_cell_are_searched_where_they_are(spark, monkeypatch):
+    """No layout and no table of forests for sessions that one task holds, however many there are."""
+    from fingertrail.operators import near
+    from fingertrail.operators.forest import isolation_forest
+    from fingertrail.operators.groups import split_sessions
+
+    def layout(*_):
+        raise AssertionError("small sessions are not laid out")
+
+    monkeypatch.setattr(near, "cells_of", layout)
+    rng = np.random.default_rng(3)
+    at = rng.integers(0, 6, (90, 2)).astype(float)  # many ties
+    copies = rng.integers(1, 3, 90)
+    rows = [(i % 6, i, int(copies[i]), True, True, *map(float, at[i])) for i in range(90)]
+    points = spark.createDataFrame(rows, "session_id int, pid long, weight long, asks boolean, gives boolean, a double, b double")
+    found = {}
+    for r in nearest(points, ["a", "b"], ["a", "b"], 4, cell_rows=15, at_most=90).collect():
+        found.setdefault(r["pid"], []).append((r["dist"], r["nid"], r["take"]))
+    for i in range(90):
+        others = sorted((float(np.sqrt(((at[i] - at[j]) ** 2).sum())), j) for j in range(i % 6, 90, 6) for _ in range(copies[j] - (i == j)))
+        want = {}
+        for d, j in others[:4]:
+            want[d, j] = want.get((d, j), 0) + 1
+        assert sorted(found[i]) == sorted((d, j, n) for (d, j), n in want.items())
+    events = points.select("session_id", F.col("pid").alias("event_id"), "a", "b")
+    marked = isolation_forest(split_sessions(events), ["a", "b"]).rows()
+    assert "CoGroups" not in marked._jdf.queryExecution().toString() and marked.count() == 90
