@@ -1,8 +1,10 @@
 """Neighbours, density clusters and long spectra against brute force on small data."""
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
+from fingertrail.operators import near
 from fingertrail.operators.density import dbscan
 from fingertrail.operators.near import nearest
 from fingertrail.operators.spectrum import long_spectrum_peaks
@@ -104,3 +106,29 @@ def test_sessions_of_one_cell_are_searched_where_they_are(spark, monkeypatch):
     events = points.select("session_id", F.col("pid").alias("event_id"), "a", "b")
     marked = isolation_forest(split_sessions(events), ["a", "b"]).rows()
     assert "CoGroups" not in marked._jdf.queryExecution().toString() and marked.count() == 90
+
+
+def test_distances_are_held_in_bounded_blocks(monkeypatch):
+    """A search holds a bounded number of distances at once, and finds what one block finds, gaps or not."""
+    rng, held = np.random.default_rng(3), []
+    whole = near._distances
+
+    def watched(a, b):
+        held.append(len(a) * len(b))
+        return whole(a, b)
+
+    monkeypatch.setattr(near, "_distances", watched)
+    for gaps in (False, True):
+        values = rng.integers(0, 12, (700, 3)).astype(float)
+        if gaps:
+            values[rng.random(values.shape) < 0.1] = np.nan
+        points = pd.DataFrame(values, columns=["a", "b", "c"]).assign(pid=rng.permutation(700), weight=1, asks=True, gives=True)
+        found = near.whole_session(points, ["a", "b", "c"], 5)
+        distance = whole(values, values)
+        np.fill_diagonal(distance, np.inf)
+        ids = points["pid"].to_numpy()
+        for row in range(0, 700, 50):
+            best = sorted((d, i) for d, i in zip(distance[row], ids) if np.isfinite(d))[:5]
+            own = found[found["pid"] == ids[row]]
+            assert list(zip(own["dist"], own["nid"])) == best and (own["take"] == 1).all()
+    assert max(held) <= 100_000
