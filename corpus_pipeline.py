@@ -14,7 +14,7 @@ from fingertrail.llm import op3_pii as pii
 from fingertrail.llm import op4_quality_classifier as quality
 from fingertrail.llm import op9_decontamination as decontamination
 from fingertrail.llm import op10_packing as packing
-from fingertrail.llm.common import quoted, table
+from fingertrail.llm.common import quoted, small_batches, table
 from fingertrail.session import store
 
 
@@ -38,7 +38,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data become their kind in angle brackets; n_chars follows the text."""
-    masked = pii.mask(docs, pii.fit(docs))
+    model = pii.fit(docs)
+    with small_batches(spark):
+        masked = store(pii.mask(docs, model))
     return masked.withColumn("n_chars", F.length("text").cast("long")).select(*quoted(docs.columns))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import fresh, per_text, table
+from fingertrail.llm.common import fresh, per_text, small_batches, table, text_slices
 from fingertrail.session import store
 
 #: At most so many different pieces of clusters are learned from: of each kind of plain match, and of those without any,
@@ -357,7 +357,7 @@ def fit(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> SpanFie
     def smallest(batches):
         best: dict[str, dict[int, str]] = {}
         for batch in batches:
-            for value in batch.column(0).to_pylist():
+            for value in (text for part in text_slices(batch.column(0)) for text in part):
                 for piece in pieces(value):
                     h = xxhash.xxh3_64_intdigest(piece) - (1 << 63)
                     for kind in {k for _, _, k in base_spans(piece)} or {""}:
@@ -365,11 +365,13 @@ def fit(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> SpanFie
                         own[h] = piece
                         if len(own) > 4 * share:
                             best[kind] = {x: own[x] for x in sorted(own)[:share]}
+            pa.default_memory_pool().release_unused()
         for kind, own in best.items():
             kept = sorted(own)[:share]
             yield pa.RecordBatch.from_pydict({"kind": [kind] * len(kept), "h": pa.array(kept, pa.int64()), "piece": [own[x] for x in kept]})
 
-    found = store(docs.filter(F.col(text).rlike("[0-9@]|[(\\[]at[)\\]]")).select(F.col(text).cast("string")).mapInArrow(smallest, "kind string, h long, piece string"))
+    with small_batches(docs.sparkSession):
+        found = store(docs.filter(F.col(text).rlike("[0-9@]|[(\\[]at[)\\]]")).select(F.col(text).cast("string")).mapInArrow(smallest, "kind string, h long, piece string"))
     chosen = [r["piece"] for kind in ["", *KINDS]
               for r in found.filter(F.col("kind") == kind).select("h", "piece").distinct().orderBy("h", "piece").limit(share).collect()]
     return train(sorted(set(chosen)))

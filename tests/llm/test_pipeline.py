@@ -54,3 +54,19 @@ def test_run(spark, tables):
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 def test_run_on_given_tables(spark):
     assert corpus_pipeline.run(spark, SF_DIR).count() > 0
+
+
+def test_personal_data_travels_in_small_batches(spark, monkeypatch):
+    """Both passes of the stage, over clusters and over texts to mask, run with bounded batches; the setting is put back."""
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(key)
+    for module in (corpus_pipeline, corpus_pipeline.pii):
+        def watched(df, keep=module.store):
+            seen.append(int(spark.conf.get(key)))
+            return keep(df)
+        monkeypatch.setattr(module, "store", watched)
+    rows = [(k, f"Write to user{k}@example.org or call +1 555 {k:07d} today.", "en", "web", 50) for k in range(40)] + [(40, None, "en", "web", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.personal_data(spark, docs, "").collect()}
+    assert len(seen) == 2 and max(seen) <= 1_000 and spark.conf.get(key) == before
+    assert len(got) == 41 and got[40] is None and all("<EMAIL>" in got[k] and "<PHONE>" in got[k] for k in range(40))
