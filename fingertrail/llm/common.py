@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -53,6 +54,14 @@ def small_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def release() -> None:
+    """Give freed memory back to the system: workers stay, and what they hold counts. C libraries without a trim keep theirs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def per_text(fn: Callable[[list[str]], list], result: T.DataType, limit: int = SLICE_CHARS) -> Callable[[Column], Column]:
     """An Arrow function of a text column: `fn` maps a list of texts to a list of results."""
     kind = to_arrow_type(result)
@@ -61,8 +70,10 @@ def per_text(fn: Callable[[list[str]], list], result: T.DataType, limit: int = S
         out: list[pa.Array] = [pa.array([], kind)]
         for part in text_slices(texts, limit):
             out.append(pa.array(fn(part), kind))
-        pa.default_memory_pool().release_unused()  # workers stay, and what they hold counts
-        return pa.concat_arrays(out)
+        joined = pa.concat_arrays(out)
+        del out
+        release()
+        return joined
 
     run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, result)

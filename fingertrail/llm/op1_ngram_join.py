@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import fresh, per_text, small_batches, table, text_slices
+from fingertrail.llm.common import fresh, per_text, release, small_batches, table, text_slices
 from fingertrail.llm.components import components
 from fingertrail.session import store
 
@@ -49,6 +49,8 @@ SLICE = 500_000
 LOW_BITS = 57
 #: Ids of candidate documents that may be broadcast to fetch their texts; more are joined by a shuffle of the texts.
 MOST_IDS = 1_000_000
+#: Texts of members that a cell's task gets at once.
+WALK_ROWS = 250
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -172,21 +174,29 @@ def sketches(texts: list[str], words: int, percent: int, classes: np.ndarray) ->
     return out
 
 
+def count_into(counts: np.ndarray, sets: list[np.ndarray]) -> None:
+    """Add the hashes of the sets to their counters, up to 65,535; only the counters that they have are touched."""
+    at, times = np.unique(counter_of(np.concatenate(sets)), return_counts=True)
+    counts[at] = np.minimum(counts[at] + times, 65535)
+
+
 def count_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
     """Per row of docs (id, value) the size and digest of its set, and the frequency class of every counter.
 
     Every task counts all n-grams of its texts in counters of fixed size; these are summed per row of counters.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, np.int64)
+        counts = np.zeros(COUNTERS, "<u2")
         for batch in batches:
             facts = []
             for part in text_slices(batch.column(1), SLICE):
                 sets = shingle_sets(part, words)
                 facts += [(len(s), *digest(s)) if len(s) else (0, None, None) for s in sets]
-                counts += np.bincount(counter_of(np.concatenate(sets)), minlength=COUNTERS)
+                count_into(counts, sets)
+                del sets
+            release()
             yield filled(batch.num_rows, id=batch.column(0), n=[f[0] for f in facts], k1=[f[1] for f in facts], k2=[f[2] for f in facts])
-        rows = np.minimum(counts, 65535).astype("<u2").reshape(-1, CHUNK)
+        rows = counts.reshape(-1, CHUNK)
         used = np.flatnonzero(rows.any(1))
         yield filled(len(used), chunk=used, counts=[r.tobytes() for r in rows[used]])
 
@@ -409,10 +419,10 @@ def walk(members: DataFrame, docs: DataFrame, hashing: Hashing) -> DataFrame:
                     if role in (side, 2) and (not sides[side] or sides[side][-1] != doc):
                         sides[side].append(doc)
             del batch, values, columns
-            pa.default_memory_pool().release_unused()
+            release()
         yield flush()
 
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, WALK_ROWS):
         return store(texts.mapInArrow(run, "a long, b long"))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fingertrail.llm.catalog import query
-from fingertrail.llm.common import fresh, per_text, small_batches, table, text_slices
+from fingertrail.llm.common import fresh, per_text, release, small_batches, table, text_slices
 from fingertrail.session import store
 
 #: At most so many different pieces of clusters are learned from: of each kind of plain match, and of those without any,
@@ -365,7 +365,7 @@ def fit(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> SpanFie
                         own[h] = piece
                         if len(own) > 4 * share:
                             best[kind] = {x: own[x] for x in sorted(own)[:share]}
-            pa.default_memory_pool().release_unused()
+            release()
         for kind, own in best.items():
             kept = sorted(own)[:share]
             yield pa.RecordBatch.from_pydict({"kind": [kind] * len(kept), "h": pa.array(kept, pa.int64()), "piece": [own[x] for x in kept]})

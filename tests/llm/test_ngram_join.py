@@ -1,9 +1,12 @@
+import os
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
 
+from fingertrail.llm import common
 from fingertrail.llm import components as cc
 from fingertrail.llm import op1_ngram_join as op
 
@@ -145,3 +148,40 @@ def test_words_are_hashed_alike_in_any_chunk(monkeypatch):
     whole = [s.tobytes() for s in op.shingle_sets(texts, 3)]
     monkeypatch.setattr(op, "CHUNK_BYTES", 7)
     assert [op.shingle_sets([t], 3)[0].tobytes() for t in texts] == whole
+
+
+def test_counting_touches_only_the_counters_of_its_sets():
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(-1 << 62, 1 << 62, size, dtype=np.int64) for size in (0, 1, 500, 4000)]
+    counts, expected = np.zeros(op.COUNTERS, "<u2"), np.zeros(op.COUNTERS, np.int64)
+    counts[op.counter_of(sets[1])] = 65535
+    expected[op.counter_of(sets[1])] = 65535
+    tracemalloc.start()
+    op.count_into(counts, sets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    expected += np.bincount(op.counter_of(np.concatenate(sets)), minlength=op.COUNTERS)
+    assert (counts == np.minimum(expected, 65535)).all()
+    assert peak < 2_000_000  # a full table of counters takes 16 MB
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="needs Linux")
+def test_release_gives_back_memory_between_what_stays():
+    def held():
+        return int(re.search(r"\nAnonymous: +(\d+)", open("/proc/self/smaps_rollup").read())[1])
+
+    parts = [bytes(4000) for _ in range(25_000)]
+    full = held()
+    kept = parts[::100]
+    del parts
+    common.release()
+    assert len(kept) == 250 and held() < full - 50_000
+
+
+def test_members_reach_python_in_small_batches(spark, monkeypatch):
+    seen = []
+    small = op.small_batches
+    monkeypatch.setattr(op, "small_batches", lambda session, rows=1_000: seen.append(rows) or small(session, rows))
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "a b c d e")], SCHEMA)
+    op.join(docs, words=1, percent=50).collect()
+    assert min(seen) <= 250
