@@ -68,8 +68,11 @@ def clean_simple(touches: Touches) -> Touches:
 
 
 def process_coloring(touches: Touches, anomalies: str = "forest") -> tuple[Touches, DataFrame]:
-    """Complete Coloring path: flagged and labelled events, and the metrics table with flags."""
-    rows = flag_coloring(touches)
+    """Complete Coloring path: flagged and labelled events, and the metrics table with flags.
+
+    Flagged events are stored: metrics, flags of sequences, labels and the result read them, and would each do the windows again.
+    """
+    rows = flag_coloring(touches).materialise()
     table = flags.attach_metric_flags(metrics.compute_sequence_metrics(rows), flags.sequence_flag_table(rows))
     keys, _ = features.sequence_keys(rows.columns)
     chosen = label_touches(rows, anomalies).select(*keys, *LABEL_COLUMNS)

@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from fingertrail.operators.groups import split_sessions
+from fingertrail.plans import cleaning
 from fingertrail.plans.directory import process_csv_folder
 from fingertrail.sources import documents, tables
 
@@ -35,6 +37,16 @@ def test_csv_folder(spark, tmp_path):
     assert events.filter(F.col("session_id") == "Coloring_good").first().research_suitability is not None
 
 
+def test_flagged_events_are_stored_once(spark):
+    rows = [("s", 1, i, 0, i / 10, p, i * 5.0, float(i), "Red", float(i), "Wall") for i, p in enumerate(["Began", "Moved", "Ended"])]
+    events = spark.createDataFrame(rows, "session_id string, Touchdata_id long, event_index long, fingerId long, time double, touchPhase string, "
+                                         "x double, y double, color string, completionPerc double, zone string")
+    labelled, metrics = cleaning.process_coloring(split_sessions(events), "simple")
+    for table in (labelled.rows(), metrics):  # neither does the windows of segmentation again
+        files = table.inputFiles()
+        assert files and all("/stage-" in f for f in files)
+
+
 def test_comment_lines(spark, tmp_path):
     (tmp_path / "a.csv").write_text("# made by a tool\n# on a day\nTouchdata_id,x,touchPhase\n1,2.5,Began\n")
     row = tables.read_commented_csv(spark, str(tmp_path)).first()
