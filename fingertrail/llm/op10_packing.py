@@ -35,16 +35,20 @@ PIECE = [T.StructField("start", T.LongType()), T.StructField("length", T.LongTyp
 IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
 
+def added_tokens(tokenizer: str | None) -> tuple[tuple[str, int], ...]:
+    """The added tokens that a tokenizer file lists, with their ids; none without such a file."""
+    if not tokenizer:
+        return ()
+    with open(tokenizer, encoding="utf-8") as text:
+        return tuple((t["content"], t["id"]) for t in json.load(text)["added_tokens"])
+
+
 @lru_cache(maxsize=2)
-def encoding(path: str, tokenizer: str | None) -> tiktoken.Encoding:
-    """The ranks of a vocabulary, with the added tokens that a tokenizer file lists (none without such a file)."""
+def encoding(path: str, added: tuple[tuple[str, int], ...]) -> tiktoken.Encoding:
+    """The ranks of a vocabulary, with added tokens. Workers read no tokenizer file, whose parsed tree would be their peak."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    added = {}
-    if tokenizer:
-        with open(tokenizer, encoding="utf-8") as text:
-            added = {t["content"]: t["id"] for t in json.load(text)["added_tokens"]}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=dict(added))
 
 
 def piece_lengths(n: int, most: int = MAX_TOKENS) -> list[int]:
@@ -65,7 +69,7 @@ def pack(docs: DataFrame, text: str = "text", *, max_tokens: int = MAX_TOKENS, e
     if max_tokens & (max_tokens - 1):
         raise ValueError("max_tokens is a power of two")
     path = vocabulary or public_tokenizers.path(VOCABULARY)
-    added = tokenizer or (None if vocabulary else public_tokenizers.path(TOKENIZER))
+    added = added_tokens(tokenizer or (None if vocabulary else public_tokenizers.path(TOKENIZER)))
 
     def cut(texts: list[str]) -> list[dict]:
         encode = encoding(path, added).encode

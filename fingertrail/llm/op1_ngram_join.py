@@ -7,8 +7,12 @@ the counters only decide how much is compared.) Sets that can reach the threshol
 
 Hashes in the prefixes of few sets give candidate pairs by a join, with exact bounds: sizes, places in the prefixes,
 no common hash just before, and the parity bitmaps of both sets, whose distance never exceeds the symmetric difference.
-Hashes of many sets give no pairs: rounds over one set per component tie most of their sets first, and if several
-components are left, their sets are dealt to cells as members, in blocks of bounded number and size.
+For hashes of many sets, rounds in which each set meets one pivot tie most sets first; if several components are left,
+their sketches are dealt to cells in blocks of bounded number and size, which apply the same bounds between components and
+give pairs, or if these are many the sets that have any, as members of smaller cells.
+
+A pair is verified in the cell of the smallest id around it, which near copies share, so a text is sent and hashed in few
+cells; more sets than a cell holds are dealt by blocks.
 
 In a cell, the sets form a trie over their ordered hashes, and the probing sets walk it together. A node's overlaps with
 all probes are counted once for all sets below it, and a subtree is left by every probe that what remains of both
@@ -41,6 +45,10 @@ BLOCK, BLOCK_GRAMS = 1_000, 500_000
 BITS, WIDE_FROM = 256, 200
 #: Hashes in more prefixes than this are worked on in cells of members, others by pairs, which are at most so many for each entry.
 FREQUENT = 64
+#: Rounds in which each set of frequent hashes meets one other; what they leave is found by candidates between components.
+ROUNDS = 1
+#: How many times BLOCK a side of a cell of sketches has, the pairs for each of its sets beyond which it gives members, and words of bitmaps compared at once.
+WIDER, PAIRS_EACH, PAIR_WORDS = 4, 16, 1 << 19
 #: Counters of the frequency sketch, and how many of them make a row.
 COUNTERS, CHUNK = 1 << 21, 1 << 12
 #: Characters of texts that are hashed together.
@@ -199,6 +207,8 @@ def count_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
         rows = counts.reshape(-1, CHUNK)
         used = np.flatnonzero(rows.any(1))
         yield filled(len(used), chunk=used, counts=[r.tobytes() for r in rows[used]])
+        del counts, rows
+        release()
 
     def filled(size: int, **columns) -> pa.RecordBatch:
         kinds = {"id": pa.int64(), "n": pa.int64(), "k1": pa.int64(), "k2": pa.int64(), "chunk": pa.int64(), "counts": pa.binary()}
@@ -246,11 +256,16 @@ def candidate_pairs(live: DataFrame, reps: DataFrame, percent: int) -> DataFrame
         and least(x.n - x.place, y.n - y.place) >= {need}
         and (x.before is null or y.before is null or x.before <> y.before)""")).select(
         F.col("x.token").alias("token"), F.col("x.id").alias("x"), F.col("y.id").alias("y"), F.expr(f"x.n + y.n - 2 * {need}").alias("apart"))
+    return _by_bitmaps(pairs, reps).select("token", "x", "y")
+
+
+def _by_bitmaps(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs (x, y, apart and other columns) whose bitmaps differ in at most `apart` bits."""
     maps = reps.select("id", F.col("bits"), F.col("wide"))
     both = (pairs.join(maps.select(F.col("id").alias("x"), F.col("bits").alias("xb"), F.col("wide").alias("xw")), "x")
             .join(maps.select(F.col("id").alias("y"), F.col("bits").alias("yb"), F.col("wide").alias("yw")), "y"))
     distance = F.coalesce(F.expr(_wide_distance("xb", "yb")), F.expr(_wide_distance("xw", "yw")), F.lit(0))
-    return both.filter(distance <= F.col("apart")).select("token", "x", "y")
+    return both.filter(distance <= F.col("apart")).drop("xb", "xw", "yb", "yw")
 
 
 def _wide_distance(a: str, b: str) -> str:
@@ -308,11 +323,11 @@ def trie_links(residents: list[np.ndarray], probes: list[np.ndarray], percent: i
         stack += [(a, b, end, overlap, live) for a, b in zip(cuts, cuts[1:])]
 
 
-def forest(ids: dict, residents: list[int], probes: list[int], percent: int) -> list[tuple[int, int]]:
+def forest(ids: dict, residents: list, probes: list, percent: int) -> list[tuple]:
     """Links of a block, without those between sets that earlier links already tie."""
-    root: dict[int, int] = {}
+    root: dict = {}
 
-    def top(v: int) -> int:
+    def top(v):
         while (up := root.get(v, v)) != v:
             root[v] = v = root.get(up, up)
         return v
@@ -327,31 +342,51 @@ def forest(ids: dict, residents: list[int], probes: list[int], percent: int) ->
     return out
 
 
-def _blocks(sets: Column, grams: Column) -> Column:
-    return F.greatest(F.ceil(sets / BLOCK), F.ceil(grams / BLOCK_GRAMS), F.lit(1))
+def _blocks(sets: Column, grams: Column, times: int = 1) -> Column:
+    return F.greatest(F.ceil(sets / (times * BLOCK)), F.ceil(grams / (times * BLOCK_GRAMS)), F.lit(1))
+
 
+def _part(blocks: str, doc: str = "id") -> Column:
+    return F.pmod(F.xxhash64(doc), F.col(blocks))
 
-def _part(blocks: str, salt: int = 0) -> Column:
-    return F.pmod(F.xxhash64("id", F.lit(salt)), F.col(blocks))
 
+def _band(percent: int) -> Column:
+    """Bands are a little wider than the sizes of a pair may differ, so a pair lies in one band or two neighbours."""
+    return F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / percent) or 1.0))
 
-def early_links(heavy: DataFrame, docs: DataFrame, hashing: Hashing) -> tuple[DataFrame, DataFrame]:
-    """(links, components) found among the sets of frequent hashes, from one set per hash and component in each round.
 
-    Rounds differ in the cells' cuts; they end when a round finds nothing new. What they leave out is left to the cells of members.
+def star_links(heavy: DataFrame, reps: DataFrame, docs: DataFrame, hashing: Hashing) -> tuple[DataFrame | None, DataFrame | None]:
+    """(links, components) found among the sets of frequent hashes when each set meets one other in each round.
+
+    Every hash and band of sizes has a pivot: first the set with most frequent hashes, as edits take places of a prefix, then one
+    by chance. Of the pivots that a set's bounds leave in other components it meets one, so a round sends no more than the sets
+    there are. What rounds leave out is left to the candidates between components.
     """
-    links, tied, found = None, None, 0
-    for salt in itertools.count():
-        named = _with_component(heavy, tied)
-        first = named.groupBy("token", "component").agg(F.min_by(F.struct("id", "k1", "n"), "id").alias("s")).select("token", "s.*")
-        load = first.groupBy("token").agg(_blocks(F.count("*"), F.sum("n")).alias("parts"), F.count("*").alias("sets")).filter("sets > 1")
-        members = first.join(load, "token").select(F.col("token").alias("g1"), _part("parts", salt).alias("g2"), F.lit(0).cast("long").alias("g3"),
-                                                   F.lit(2).alias("role"), "id", "k1")
-        new = walk(members, docs, hashing)
-        links = new if links is None else links.unionByName(new)
+    links, tied, percent = None, None, hashing.percent
+    if heavy.isEmpty():
+        return links, tied
+    for salt in range(ROUNDS):
+        named = _with_component(heavy.select("token", "id", "n", "k1"), tied).withColumn("band", _band(percent))
+        named = named.withColumn("w", F.lit(0)) if salt else named.join(heavy.groupBy("id").agg((-F.count("*")).alias("w")), "id")
+        first = F.min(F.struct("w", F.xxhash64("id", F.lit(salt)).alias("o"), F.col("id").alias("y"), F.col("n").alias("yn"),
+                               F.col("k1").alias("yk"), F.col("component").alias("yc")))
+        pivots = named.groupBy("token", "band").agg(first.alias("p")).select("token", "band", "p.*")
+        need = f"(({percent} * (n + yn) + {99 + percent}) div {100 + percent})"
+        met = (named.drop("w").join(pivots, ["token", "band"]).filter("component <> yc and least(n, yn) >= " + need)
+               .select(F.col("id").alias("x"), "n", "k1", "w", "o", "y", "yk", F.expr(f"n + yn - 2 * {need}").alias("apart")).distinct())
+        one = store(_by_bitmaps(met, reps).groupBy("x", "n", "k1").agg(F.min(F.struct("w", "o", "y", "yk")).alias("p")).select("x", "n", "k1", "p.y", "p.yk"))
+        load = one.groupBy("y", "yk").agg(_blocks(F.count("*"), F.sum("n")).alias("parts"))
+        zero = F.lit(0).cast("long")
+        probing = one.join(load.select("y", "parts"), "y").select(F.col("y").alias("g1"), zero.alias("g2"), _part("parts", "x").alias("g3"),
+                                                                 F.lit(1).alias("role"), F.col("x").alias("id"), "k1")
+        living = load.select(F.col("y").alias("g1"), zero.alias("g2"), F.explode(F.sequence(zero, F.col("parts") - 1)).alias("g3"),
+                             F.lit(0).alias("role"), F.col("y").alias("id"), F.col("yk").alias("k1"))
+        new = walk(probing.unionByName(living), docs, hashing)
         if new.isEmpty():
-            return links, tied
+            break
+        links = new if links is None else links.unionByName(new)
         tied = store(components(links))
+    return links, tied
 
 
 def _with_component(entries: DataFrame, tied: DataFrame | None) -> DataFrame:
@@ -360,26 +395,176 @@ def _with_component(entries: DataFrame, tied: DataFrame | None) -> DataFrame:
     return entries.join(tied, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id")).drop("node")
 
 
+def _untied(pairs: DataFrame, tied: DataFrame | None) -> DataFrame:
+    """Pairs x, y without those of one component."""
+    if tied is None:
+        return pairs
+    for side in ("x", "y"):
+        pairs = pairs.join(tied.select(F.col("node").alias(side), F.col("component").alias(f"{side}c")), side, "left")
+    return pairs.filter("coalesce(xc, x) <> coalesce(yc, y)").select("x", "y")
+
+
 def cells(heavy: DataFrame, percent: int) -> DataFrame:
-    """Members of cells of frequent hashes that several components have; a set goes to the cells of its block's row and column.
+    """Rows of cells of frequent hashes that several components have; a set goes to the cells of its block's row and column.
 
-    A band is a little wider than the sizes of a pair may differ, so a set probes its own band and the one below.
+    A set probes its own band and the one below. Columns g1, g2, g3, role (0 lives there, 1 probes) and those of heavy.
     """
     several = heavy.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("token")
-    band = F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / percent) or 1.0))
-    rows = heavy.join(several, "token", "left_semi").withColumn("own", band)
+    rows = heavy.join(several, "token", "left_semi").withColumn("own", _band(percent))
     rows = rows.withColumn("band", F.explode(F.array(F.col("own"), F.col("own") - 1)))
     lives = F.col("own") == F.col("band")
     load = rows.groupBy("token", "band").agg(
-        _blocks(F.count_if(lives), F.sum(F.when(lives, F.col("n")).otherwise(0))).alias("residents"),
-        _blocks(F.count("*"), F.sum("n")).alias("probes"), F.count_if(lives).alias("sets")).filter("sets > 0")
+        _blocks(F.count_if(lives), F.sum(F.when(lives, F.col("n")).otherwise(0)), WIDER).alias("residents"),
+        _blocks(F.count("*"), F.sum("n"), WIDER).alias("probes"), F.count_if(lives).alias("sets")).filter("sets > 0")
     rows = rows.join(load, ["token", "band"])
-    home = F.struct("token", "band")
+    home, own = F.struct("token", "band"), [c for c in heavy.columns if c != "token"]
     probing = rows.select(home.alias("h"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("residents") - 1)).alias("g2"), _part("probes").alias("g3"),
-                          F.lit(1).alias("role"), "id", "k1")
+                          F.lit(1).alias("role"), *own)
     living = rows.filter(lives).select(home.alias("h"), _part("residents").alias("g2"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("probes") - 1)).alias("g3"),
-                                       F.lit(0).alias("role"), "id", "k1")
-    return probing.unionByName(living).select(F.xxhash64("h").alias("g1"), "g2", "g3", "role", "id", "k1")
+                                       F.lit(0).alias("role"), *own)
+    return probing.unionByName(living).select(F.xxhash64("h").alias("g1"), "g2", "g3", "role", *own)
+
+
+@dataclass
+class Sketches:
+    """Sets of one side of a cell without their hashes: ids, sizes, places of the cell's hash, hashes just before, components, bitmaps."""
+    id: np.ndarray
+    n: np.ndarray
+    place: np.ndarray
+    before: np.ndarray
+    first: np.ndarray
+    component: np.ndarray
+    maps: list[np.ndarray]
+
+    @classmethod
+    def of(cls, t: pa.Table) -> Sketches:
+        plain = {c: t[c].to_numpy() for c in ("id", "n", "place", "component")}
+        maps = [np.array(b if b is not None else w, np.int64).view(np.uint64) for b, w in zip(t["bits"].to_pylist(), t["wide"].to_pylist())]
+        return cls(before=t["before"].fill_null(0).to_numpy(), first=t["before"].is_null().to_numpy(), maps=maps, **plain)
+
+
+def folded(a: np.ndarray, words: int) -> np.ndarray:
+    """Rows of bitmaps brought to so many words."""
+    while a.shape[1] > words:
+        a = a[:, :a.shape[1] // 2] ^ a[:, a.shape[1] // 2:]
+    return a
+
+
+def between(residents: Sketches, probes: Sketches, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places of probes, places of residents): pairs of different components that the bounds of `candidate_pairs` leave."""
+    def by_length(s: Sketches) -> list[tuple[np.ndarray, np.ndarray]]:
+        lengths = np.array([len(m) for m in s.maps], int)
+        return [(at := np.flatnonzero(lengths == k), np.stack([s.maps[i] for i in at])) for k in np.unique(lengths)]
+
+    inner = residents.n - (2 * percent * residents.n + 99 + percent) // (100 + percent) + 1
+    left, living = residents.n - residents.place, by_length(residents)
+    for at, maps in by_length(probes):
+        for home, theirs in living:
+            words = min(maps.shape[1], theirs.shape[1])
+            mine, other = folded(maps, words), folded(theirs, words)
+            home_n = residents.n[home]
+            step = max(1, PAIR_WORDS // (words * len(home)))
+            for k in range(0, len(at), step):
+                x = at[k:k + step, None]
+                n = probes.n[x]
+                need = (percent * (n + home_n) + 99 + percent) // (100 + percent)
+                near = ((probes.component[x] != residents.component[home]) & ((home_n < n) | (home_n == n) & (residents.id[home] < probes.id[x]))
+                        & (residents.place[home] < inner[home]) & (np.minimum(n - probes.place[x], left[home]) >= need) & (100 * home_n >= percent * n)
+                        & (probes.first[x] | residents.first[home] | (probes.before[x] != residents.before[home])))
+                i, j = np.nonzero(near)
+                if len(i):
+                    distance = np.bitwise_count(mine[k + i] ^ other[j]).sum(1, dtype=np.int64)
+                    close = distance <= (n + home_n - 2 * need)[i, j]
+                    if close.any():
+                        yield at[k + i[close]], home[j[close]]
+
+
+def tiles(n: np.ndarray) -> np.ndarray:
+    """The number of the block of each set, in order; blocks have at most BLOCK sets, and about BLOCK_GRAMS n-grams."""
+    return np.maximum(np.arange(len(n)) // BLOCK, np.cumsum(n) // BLOCK_GRAMS)
+
+
+def cell_candidates(key: tuple[int, int, int], residents: Sketches, probes: Sketches, percent: int) -> pa.RecordBatch:
+    """Pairs x, y of a cell; if they are many, members (x, without y) of smaller cells, which are those sets that have a pair there."""
+    home, away = tiles(residents.n), tiles(probes.n)
+    lives, probing = np.zeros((away.max() + 1, len(home)), bool), np.zeros((home.max() + 1, len(away)), bool)
+    found, count, most = [], 0, PAIRS_EACH * (len(home) + len(away))
+    for p, r in between(residents, probes, percent):
+        lives[away[p], r] = True
+        probing[home[r], p] = True
+        count += len(p)
+        found = [*found, (p, r)] if count <= most else []
+    if count <= most:
+        x = np.concatenate([probes.id[p] for p, _ in found]) if found else np.zeros(0, np.int64)
+        y = np.concatenate([residents.id[r] for _, r in found]) if found else np.zeros(0, np.int64)
+        return _candidates(x=x, y=y)
+    rows: list[tuple] = []
+    for h, a in itertools.product(range(home.max() + 1), range(away.max() + 1)):
+        for role, ids in ((0, residents.id[lives[a] & (home == h)]), (1, probes.id[probing[h] & (away == a)])):
+            rows += [(int(x), key[0], key[1] << 20 | h, key[2] << 20 | a, role) for x in ids]
+    x, g1, g2, g3, role = zip(*rows)
+    return _candidates(x=x, g1=g1, g2=g2, g3=g3, role=role)
+
+
+def _candidates(x, **columns) -> pa.RecordBatch:
+    kinds = {"y": pa.int64(), "g1": pa.int64(), "g2": pa.int64(), "g3": pa.int64(), "role": pa.int32()}
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), *(pa.array(columns[k], t) if k in columns else pa.nulls(len(x), t) for k, t in kinds.items())],
+                                      names=["x", *kinds])
+
+
+def heavy_candidates(heavy: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """What is left to compare between components that share frequent hashes: pairs x, y, or members (x; y is null) of cells g1, g2, g3.
+
+    Cells hold sketches, not texts. A pair is found at its first common hash only, if that is frequent.
+    """
+    block = ["g1", "g2", "g3"]
+    rows = cells(heavy.drop("k1").join(reps.select("id", "bits", "wide"), "id"), percent)
+    rows = rows.repartition(*block).sortWithinPartitions(*block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                t = pa.Table.from_batches(held)
+                role = t["role"].to_numpy()
+                sides = [Sketches.of(t.take(np.flatnonzero(role == k))) for k in (0, 1)]
+                if len(sides[0].id) and len(sides[1].id):
+                    yield cell_candidates(current, *sides, percent)
+
+        for batch in batches:
+            keys = np.stack([batch.column(k).to_numpy() for k in range(3)])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if b > a:
+                    if (key := tuple(keys[:, a].tolist())) != current:
+                        yield from flush()
+                        current, held = key, []
+                    held.append(batch.slice(a, b - a))
+            del batch
+            release()
+        yield from flush()
+        held.clear()
+        release()
+
+    with small_batches(heavy.sparkSession):
+        return store(rows.mapInArrow(run, "x long, y long, g1 long, g2 long, g3 long, role int"))
+
+
+def pair_cells(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Members of cells for pairs x, y of candidates: the cell of the smallest id that y is paired with, or cells of blocks of it.
+
+    Sets that are paired with each other share that id, so a text is sent to few cells, not once for each pair.
+    """
+    near = pairs.select("x", "y").unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    homes = near.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("y"), F.least("x", "m").alias("g1"))
+    placed = store(pairs.join(homes, "y").select("g1", "x", "y"))
+    sets = placed.select("g1", F.explode(F.array("x", "y")).alias("id")).distinct().join(reps.select("id", "n"), "id")
+    load = sets.groupBy("g1").agg(_blocks(F.count("*"), F.sum("n")).alias("parts"))
+    role = lambda k: F.when(F.col("parts") == 1, 2).otherwise(k).alias("role")
+    sides = F.array(F.struct(role(0), F.col("y").alias("id")), F.struct(role(1), F.col("x").alias("id")))
+    rows = placed.join(load, "g1").select("g1", _part("parts", "y").alias("g2"), _part("parts", "x").alias("g3"), F.inline(sides))
+    return rows.distinct()
 
 
 def walk(members: DataFrame, docs: DataFrame, hashing: Hashing) -> DataFrame:
@@ -393,34 +578,36 @@ def walk(members: DataFrame, docs: DataFrame, hashing: Hashing) -> DataFrame:
     if members.count() <= MOST_IDS:
         docs = docs.join(F.broadcast(ids), "id", "left_semi")
     percent, words, classes = hashing.percent, hashing.words, hashing.classes
-    texts = members.join(docs, "id").repartition(*block).sortWithinPartitions(*block, "id").select(*block, "role", "id", "k1", "value")
+    texts = members.join(docs, "id").repartition(*block).sortWithinPartitions(*block, "id", "k1").select(*block, "role", "id", "k1", "value")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, sets, sides = None, {}, ([], [])
 
         def flush():
             found = forest(sets, *sides, percent) if sides[0] and sides[1] else []
-            return pa.RecordBatch.from_pydict({"a": [a for a, _ in found], "b": [b for _, b in found]},
+            return pa.RecordBatch.from_pydict({"a": [a for (a, _), _ in found], "b": [b for _, (b, _) in found]},
                                               schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
         for batch in batches:
             columns = [batch.column(k).to_pylist() for k in range(6)]
-            values = batch.column(6)
-            for i, (h, yb, xb, role, doc, k1) in enumerate(zip(*columns)):
+            hashed = (s for part in text_slices(batch.column(6), SLICE) for s in shingle_sets(part, words))
+            for h, yb, xb, role, doc, k1, s in zip(*columns, hashed):
                 if (h, yb, xb) != current:
                     yield flush()
                     current, sets, sides = (h, yb, xb), {}, ([], [])
-                if doc not in sets:
-                    s = shingle_sets([values[i].as_py()], words)[0]
+                one = doc, k1  # there may be other texts under the same id
+                if one not in sets:
                     if not len(s) or digest(s)[0] != k1:
-                        continue  # another text under the same id
-                    sets[doc] = np.sort(by_frequency(s, classes.value))
+                        continue
+                    sets[one] = np.sort(by_frequency(s, classes.value))
                 for side in (0, 1):
-                    if role in (side, 2) and (not sides[side] or sides[side][-1] != doc):
-                        sides[side].append(doc)
-            del batch, values, columns
+                    if role in (side, 2) and (not sides[side] or sides[side][-1] != one):
+                        sides[side].append(one)
+            del batch, columns, hashed
             release()
         yield flush()
+        sets.clear()
+        release()
 
     with small_batches(docs.sparkSession, WALK_ROWS):
         return store(texts.mapInArrow(run, "a long, b long"))
@@ -449,14 +636,19 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int
         reps = store(reps.dropDuplicates(["id", "k1", "k2"]).join(first, ["k1", "k2", "id"], "left_semi"))
     live = store(live_entries(reps, percent))
     key = reps.select("id", "k1")
-    heavy = store(live.filter(F.col("c") > FREQUENT).select("token", "id", "n").join(key, "id"))
-    early, tied = early_links(heavy, texts, hashing)
-    pairs = store(candidate_pairs(live.filter(F.col("c") <= FREQUENT), reps, percent))
-    sides = F.array(F.struct(F.lit(0).alias("role"), F.col("y").alias("id")), F.struct(F.lit(1).alias("role"), F.col("x").alias("id")))
-    zero = F.lit(0).cast("long")
-    light = pairs.select(F.col("token").alias("g1"), zero.alias("g2"), zero.alias("g3"), F.inline(sides)).distinct().join(key, "id")
-    members = light.unionByName(cells(_with_component(heavy, tied), percent))
-    found = components(early.unionByName(walk(members, texts, hashing)))
+    heavy = store(live.filter(F.col("c") > FREQUENT).drop("c").join(key, "id"))
+    early, tied = star_links(heavy, reps, texts, hashing)
+    pairs = candidate_pairs(live.filter(F.col("c") <= FREQUENT), reps, percent).select("x", "y")
+    direct = None
+    if not heavy.isEmpty():
+        between_components = heavy_candidates(_with_component(heavy, tied), reps, percent)
+        pairs = pairs.unionByName(between_components.filter("y is not null").select("x", "y"))
+        direct = between_components.filter("y is null").select("g1", "g2", "g3", "role", F.col("x").alias("id")).distinct()
+    members = pair_cells(store(_untied(pairs, tied).distinct()), reps)
+    if direct is not None:
+        members = members.unionByName(direct)
+    late = walk(members.join(key, "id"), texts, hashing)
+    found = components(late if early is None else early.unionByName(late))
     tops = first.join(found, F.col("id") == F.col("node"), "left").select("k1", "k2", F.coalesce("component", "id").alias("component"))
     out = sets.join(tops, ["k1", "k2"], "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))

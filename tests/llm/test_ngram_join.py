@@ -134,6 +134,82 @@ def test_rows_sent_to_cells_grow_with_a_group_not_with_its_square(spark, monkeyp
     assert totals[1] < 2.6 * totals[0] and totals[1] < 20 * 600
 
 
+def family(n, seed, own=6, length=120):
+    """n different near copies, some of them too far from others to link, and texts that share a line with them only."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(length)]
+    rows = []
+    for k in range(n):
+        w = list(base)
+        for _ in range(rng.randint(1, own)):
+            w[rng.randrange(length)] = f"own{k}"
+        rows.append((k, " ".join(w)))
+    return rows + [(n + k, " ".join([*base[:30], *(f"other{k}n{j}" for j in range(90))])) for k in range(40)]
+
+
+def test_texts_sent_do_not_grow_with_the_frequent_hashes_that_sets_share(spark, monkeypatch):
+    """Near copies share many frequent hashes; each text goes to few cells all the same."""
+    monkeypatch.setattr(op, "FREQUENT", 8)
+    sent, walk = [], op.walk
+    monkeypatch.setattr(op, "walk", lambda members, *a: sent.append(members.count()) or walk(members, *a))
+    rows = family(200, 1)
+    got = op.join(spark.createDataFrame(rows, SCHEMA), words=2, percent=80).collect()
+    assert {tuple(r) for r in got} == brute(rows, 2, 80)
+    assert sum(sent) < 6 * len(rows)
+
+
+def test_cells_of_blocks_find_the_same_components(spark, monkeypatch):
+    """Groups of candidates and cells wider than a block, without rounds that tie sets before."""
+    monkeypatch.setattr(op, "BLOCK", 20)
+    monkeypatch.setattr(op, "WIDER", 2)
+    rows = family(150, 2)
+    want = brute(rows, 2, 80)
+    for frequent, rounds in ((4, 0), (4, 1), (1000, 3)):
+        monkeypatch.setattr(op, "FREQUENT", frequent)
+        monkeypatch.setattr(op, "ROUNDS", rounds)
+        got = op.join(spark.createDataFrame(rows, SCHEMA), words=2, percent=80).collect()
+        assert {tuple(r) for r in got} == want
+
+
+def sketch_side(sets, ids, components, place, before):
+    sketched = [op.parity_bitmap(s, 256 if len(s) < 30 else 512 if len(s) < 60 else 1024).view(np.uint64) for s in sets]
+    return op.Sketches(np.array(ids), np.array([len(s) for s in sets]), np.array(place), np.array(before), np.array(before) == 0,
+                       np.array(components), sketched)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_cells_of_sketches_keep_all_links_between_components(seed, monkeypatch):
+    """As pairs or as members of smaller cells; pairs of one component, and of one hash just before, are left out."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(1, 1 << 62, 70)
+    sets = [np.unique(np.r_[rng.choice(base, rng.integers(20, 70), replace=False), rng.integers(1, 1 << 62, 2)]) for _ in range(80)]
+    components, before = rng.integers(0, 6, 80), rng.integers(0, 4, 80)
+    at = range(80)
+    residents = sketch_side(sets[:50], at[:50], components[:50], [0] * 50, before[:50])
+    probes = sketch_side(sets[30:], at[30:], components[30:], [0] * 50, before[30:])
+    want = {(x, y) for x in at[30:] for y in at[:50] if components[x] != components[y] and (before[x] != before[y] or not before[x])
+            and (len(sets[y]), y) < (len(sets[x]), x) and 100 * len(np.intersect1d(sets[x], sets[y])) >= 60 * len(np.union1d(sets[x], sets[y]))}
+    assert want
+    pairs = {(r["x"], r["y"]) for r in op.cell_candidates((1, 2, 3), residents, probes, 60).to_pylist()}
+    assert want <= pairs and not any(components[x] == components[y] for x, y in pairs)
+    monkeypatch.setattr(op, "PAIRS_EACH", 0)
+    monkeypatch.setattr(op, "BLOCK", 16)
+    monkeypatch.setattr(op, "PAIR_WORDS", 64)
+    rows = op.cell_candidates((1, 2, 3), residents, probes, 60).to_pylist()
+    cells = {}
+    for r in rows:
+        cells.setdefault((r["g1"], r["g2"], r["g3"]), (set(), set()))[r["role"]].add(r["x"])
+    assert all(r["y"] is None for r in rows) and all(0 < len(side) <= 16 for sides in cells.values() for side in sides)
+    assert {(x, y) for ys, xs in cells.values() for x in xs for y in ys} >= pairs
+
+
+def test_texts_of_one_id_all_link(spark):
+    base = [f"w{k}" for k in range(80)]
+    rows = [(5, " ".join(base)), (9, " ".join([*base, "end"])), (9, " ".join(f"v{k}" for k in range(80))), (7, " ".join([*(f"v{k}" for k in range(80)), "end"]))]
+    got = op.join(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {tuple(r) for r in got} == brute(rows, 3, 90)
+
+
 def test_words_are_hashed_alike_in_any_chunk(monkeypatch):
     rng = random.Random(3)
     texts = ["", " \n", "a", "A b", "x" * 3000 + " y " + "x" * 3000 + " y z", "é É ß"] + [
