@@ -46,7 +46,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per sequence: doc_id, start, length, ids_crc32, the token ids, doc_tokens, sequence_id and offset."""
-    return packing.pack(docs.select("doc_id", "text"))
+    with small_batches(spark):
+        return store(packing.pack(docs.select("doc_id", "text")))
 
 
 STAGES = [

@@ -70,3 +70,12 @@ def test_personal_data_travels_in_small_batches(spark, monkeypatch):
     got = {r.doc_id: r.text for r in corpus_pipeline.personal_data(spark, docs, "").collect()}
     assert len(seen) == 2 and max(seen) <= 1_000 and spark.conf.get(key) == before
     assert len(got) == 41 and got[40] is None and all("<EMAIL>" in got[k] and "<PHONE>" in got[k] for k in range(40))
+
+
+def test_texts_to_pack_travel_in_small_batches(spark, monkeypatch):
+    key, seen, keep = "spark.sql.execution.arrow.maxRecordsPerBatch", [], corpus_pipeline.store
+    before = spark.conf.get(key)
+    monkeypatch.setattr(corpus_pipeline, "store", lambda df: seen.append(int(spark.conf.get(key))) or keep(df))
+    docs = spark.createDataFrame([(k, f"text {k}", "en", "web", 6) for k in range(5)], COLUMNS)
+    assert corpus_pipeline.sequence_packing(spark, docs, "").select("doc_id").distinct().count() == 5
+    assert seen and max(seen) <= 1_000 and spark.conf.get(key) == before
